@@ -1,8 +1,8 @@
-"""Sky geometry as pure column expressions: no UDF, all inside code generation."""
+"""Sky geometry in built-in expressions: no UDF, all inside code generation."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -40,56 +40,54 @@ def linspace(i: Column, start: float, stop: float, num: int) -> Column:
     return F.lit(float(start)) + F.lit(float(stop - start)) * i / F.lit(float(num - 1))
 
 
-def _isqrt(x: Column) -> Column:
-    # Arguments stay far below 2**53, where the floor of a double root is exact.
-    return F.floor(F.sqrt(x.cast("double")))
+def add_healpix(df: DataFrame, nside: int, ra: str, dec: str, name: str) -> DataFrame:
+    """Add the HEALPix pixel number in the RING scheme (Gorski et al. 2005); NULL without a position.
 
-
-def healpix(nside: int, ra: Column, dec: Column) -> Column:
-    """HEALPix pixel number in the RING scheme (Gorski et al. 2005)."""
+    Built as a chain of small projections: each intermediate is computed once per row, where one nested
+    expression would repeat it in every branch and grow too large for the JIT."""
     n, ncap, npix = nside, 2 * nside * (nside - 1), 12 * nside * nside
-    z = F.sin(F.radians(dec))
-    t = F.pmod(ra, F.lit(360.0)) / 90
+    z, t, up, down, ring, cap_ring = (F.col(f"_h{i}") for i in range(6))
+    step = df.withColumns({
+        "_h0": F.sin(F.radians(dec)),
+        "_h1": F.pmod(F.col(ra), F.lit(360.0)) / 90,
+    })
+    width = n * F.sqrt(3 * (1 - F.abs(z)))
+    frac = t - F.floor(t)
+    step = step.withColumns({
+        "_h2": F.floor(n * (t + 0.5) - 0.75 * n * z),
+        "_h3": F.floor(n * (t + 0.5) + 0.75 * n * z),
+        "_h5": F.floor(frac * width) + F.floor((1 - frac) * width) + 1,
+    }).withColumn("_h4", n + 1 + up - down)
 
-    rising, falling = n * (t + 0.5) - 0.75 * n * z, n * (t + 0.5) + 0.75 * n * z
-    up, down = F.floor(rising), F.floor(falling)
-    ring = n + 1 + up - down
     shift = 1 - F.pmod(ring, F.lit(2))
-    in_ring = F.pmod(F.floor((up + down - n + shift + 1) / 2), F.lit(4 * n))
-    belt = ncap + (ring - 1) * (4 * n) + in_ring
-
-    frac = t - F.floor(t)
-    width = n * F.sqrt(3 * (1 - F.abs(z)))
-    cap_ring = F.floor(frac * width) + F.floor((1 - frac) * width) + 1
+    belt = ncap + (ring - 1) * (4 * n) + F.pmod(F.floor((up + down - n + shift + 1) / 2), F.lit(4 * n))
     in_cap = F.pmod(F.floor(t * cap_ring), 4 * cap_ring)
     north = 2 * cap_ring * (cap_ring - 1) + in_cap
     south = npix - 2 * cap_ring * (cap_ring + 1) + in_cap
-
-    pix = F.when(F.abs(z) <= 2.0 / 3.0, belt).when(z > 0, north).otherwise(south)
-    return F.when(ra.isNotNull() & dec.isNotNull(), pix).cast("bigint")
+    pixel = F.when(z.isNull() | t.isNull(), None).when(F.abs(z) <= 2.0 / 3.0, belt).when(z > 0, north).otherwise(south)
+    return step.withColumn(name, pixel.cast("bigint")).drop(*[f"_h{i}" for i in range(6)])
 
 
-def healpix_center(nside: int, pix: Column) -> tuple[Column, Column]:
-    """(ra, dec) in degrees of the centre of a RING pixel."""
+def add_healpix_center(df: DataFrame, nside: int, pix: str, ra: str, dec: str) -> DataFrame:
+    """Add the position in degrees of the centre of a RING pixel."""
     n, ncap, npix = nside, 2 * nside * (nside - 1), 12 * nside * nside
-    p = pix.cast("bigint")
-
-    ni = F.floor((1 + _isqrt(1 + 2 * p)) / 2)
-    nj = p + 1 - 2 * ni * (ni - 1)
-    n_ra, n_z = (nj - 0.5) * 90 / ni, 1 - ni * ni / F.lit(3.0 * n * n)
-
+    p, i, j, cap, north = (F.col(f"_h{k}") for k in range(5))
+    # In a polar cap, r counts pixels from the pole; the square root gives the ring. Arguments stay far
+    # below 2**53, where the floor of a double root is exact.
+    r = F.when(north, p + 1).otherwise(npix - p)
+    ring = F.floor((1 + F.floor(F.sqrt((2 * r - 1).cast("double")))) / 2)
     q = p - ncap
-    bi = F.floor(q / F.lit(4 * n)) + n
-    bj = F.pmod(q, F.lit(4 * n)) + 1
-    b_ra = (bj - 0.5 * (1 + F.pmod(bi + n, F.lit(2)))) * 90 / F.lit(float(n))
-    b_z = (2 * n - bi) * 2 / F.lit(3.0 * n)
-
-    r = npix - p
-    si = F.floor((1 + _isqrt(2 * r - 1)) / 2)
-    sj = 4 * si + 1 - (r - 2 * si * (si - 1))
-    s_ra, s_z = (sj - 0.5) * 90 / si, si * si / F.lit(3.0 * n * n) - 1
-
-    in_north, in_belt = p < ncap, p < npix - ncap
-    ra = F.when(in_north, n_ra).when(in_belt, b_ra).otherwise(s_ra)
-    z = F.when(in_north, n_z).when(in_belt, b_z).otherwise(s_z)
-    return ra, F.degrees(F.asin(z))
+    step = (
+        df.withColumn("_h0", F.col(pix).cast("bigint"))
+        .withColumn("_h4", p < ncap).withColumn("_h3", north | (p >= npix - ncap))
+        .withColumn("_h1", F.when(cap, ring).otherwise(F.floor(q / F.lit(4 * n)) + n))
+        .withColumn("_h2", F.when(north, p + 1 - 2 * i * (i - 1))
+                    .when(cap, 4 * i + 1 - (npix - p - 2 * i * (i - 1)))
+                    .otherwise(F.pmod(q, F.lit(4 * n)) + 1))
+    )
+    z_cap = 1 - i * i / F.lit(3.0 * n * n)
+    z = F.when(north, z_cap).when(cap, -z_cap).otherwise((2 * n - i) * 2 / F.lit(3.0 * n))
+    in_cap = (j - 0.5) * 90 / F.greatest(i, F.lit(1))
+    in_belt = (j - 0.5 * (1 + F.pmod(i + n, F.lit(2)))) * 90 / F.lit(float(n))
+    return step.withColumns({ra: F.when(cap, in_cap).otherwise(in_belt), dec: F.degrees(F.asin(z))}).drop(
+        *[f"_h{k}" for k in range(5)])

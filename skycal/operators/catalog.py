@@ -21,14 +21,14 @@ def aperture(vector: str, n: int = APERTURES) -> list:
 
 def flatten_catalog(objects: DataFrame) -> DataFrame:
     """One scalar column per aperture, sky position under plain names, NaN as NULL.
-    Name-only work on columns: the plan stays a projection over the scan."""
-    o = nan_to_null(objects)
-    return o.select(
+    A projection over the scan: an aperture nobody asks for is not even taken from its vector."""
+    flat = objects.select(
         names.base_name(F.col("FILENAME")).alias("FILENAME"), "NUMBER", "X_IMAGE", "Y_IMAGE",
         ra_wrap(F.col("ALPHAWIN_J2000")).alias("RA_WRAP"),
         F.col("ALPHAWIN_J2000").alias("RA"), F.col("DELTAWIN_J2000").alias("DEC"),
         "FLUX_PSF", "FLUXERR_PSF", *aperture("FLUX_APER"), *aperture("FLUXERR_APER"),
         "CLASS_STAR", "SPREAD_MODEL", "SPREADERR_MODEL", "FLAGS")
+    return nan_to_null(flat)
 
 
 def stack_catalogs(frames: list[DataFrame]) -> DataFrame:

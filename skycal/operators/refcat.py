@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skycal.functions.numeric import round_fractions
-from skycal.functions.sky import healpix, ra_wrap
+from skycal.functions.sky import add_healpix, ra_wrap
 
 NSIDE = 8          # 768 pixels, each about 7.3 degrees wide
 PIXEL = "hpx8"
@@ -17,15 +17,16 @@ POINTS = [("RAC1", "DECC1"), ("RAC2", "DECC2"), ("RAC3", "DECC3"), ("RAC4", "DEC
 
 def image_pixels(images: DataFrame) -> DataFrame:
     """Distinct pixels under the corners and centres of the images: at most 768 rows."""
-    points = F.array(*[healpix(NSIDE, F.col(ra), F.col(dec)) for ra, dec in POINTS])
-    return images.select(F.explode(F.array_distinct(points)).alias(PIXEL)).where(F.col(PIXEL).isNotNull()).distinct()
+    points = F.array(*[F.struct(F.col(ra).alias("ra"), F.col(dec).alias("dec")) for ra, dec in POINTS])
+    points = images.select(F.explode(points).alias("p")).select("p.ra", "p.dec")
+    return add_healpix(points, NSIDE, "ra", "dec", PIXEL).select(PIXEL).where(F.col(PIXEL).isNotNull()).distinct()
 
 
 def with_pixel(refcat: DataFrame) -> DataFrame:
     """Add the storage pixel; a catalogue written with partitionBy(PIXEL) has it already."""
     if PIXEL in refcat.columns:
         return refcat
-    return refcat.withColumn(PIXEL, healpix(NSIDE, F.col("RA"), F.col("DEC")))
+    return add_healpix(refcat, NSIDE, "RA", "DEC", PIXEL)
 
 
 def prune_reference(refcat: DataFrame, images: DataFrame, decimals: int | None = 6) -> DataFrame:

@@ -30,7 +30,8 @@ SELECT p_partkey*2+1, CAST((p_partkey*3701) % 36000 AS DOUBLE)*1e-2+3e-4,
 FROM {part} WHERE p_size % 5 = 0
 """
 
-# Observed objects near the stars, with outliers and zero and negative fluxes among them.
+# Observed objects near the stars, with outliers and zero and negative fluxes among them. The sine
+# keeps means off the short decimals, where two engines may round a half differently.
 OBS = """
 SELECT obs_id, agg, ccdnum, CASE WHEN ra0 < 0 THEN ra0+360 ELSE ra0 END AS ra, dec,
   flux, flux*1e-2 AS fluxerr, flux_psf, flags, spread,
@@ -45,7 +46,8 @@ FROM (
     CASE WHEN l_orderkey % 53 = 0 THEN 0e0 WHEN l_orderkey % 59 = 0 THEN -1e0
       ELSE power(10e0, -4e-1*(14+CAST(min(l_partkey) % 50 AS DOUBLE)*1e-1 - 31
         + CASE WHEN l_orderkey % 61 = 0 THEN 3e0 WHEN l_orderkey % 67 = 0 THEN 8e-1
-               WHEN l_orderkey % 71 = 0 THEN 2e-1 ELSE (min(l_quantity)-25)*2e-3 END)) END AS flux,
+               WHEN l_orderkey % 71 = 0 THEN 2e-1 ELSE (min(l_quantity)-25)*2e-3 END
+        + sin(CAST(l_orderkey AS DOUBLE))*1e-4)) END AS flux,
     min(l_extendedprice)*1e-3 AS flux_psf, CAST(l_linenumber % 4 AS INT) AS flags,
     (min(l_discount)-5e-2)*25e-2 AS spread
   FROM {lineitem} GROUP BY l_orderkey, l_linenumber

@@ -105,10 +105,9 @@ LINSPACE = lambda i, a, b, n: f"({float(a)}e0 + {float(b - a)}e0*({i})/{float(n
       {LINSPACE('k % 100', -20, -10, 100)} AS dec FROM (SELECT unnest(range(10000)) AS k) AS ks""")]))
 def hpix_in_list(spark, d):
     grid = tiles.sky_grid(spark, (180, 190), (-20, -10), 100)
-    pixels = grid.select(sky.healpix(64, F.col("ra"), F.col("dec")).alias("hpix")).distinct()
-    e = table(spark, d, "exposure")
-    return selection.in_pixels(e.select("expnum", sky.healpix(64, F.col("radeg"), F.col("decdeg")).alias("hpix")),
-                               pixels).select("expnum", "hpix")
+    pixels = sky.add_healpix(grid, 64, "ra", "dec", "hpix").select("hpix").distinct()
+    e = sky.add_healpix(table(spark, d, "exposure"), 64, "radeg", "decdeg", "hpix")
+    return selection.in_pixels(e, pixels).select("expnum", "hpix")
 
 
 PATHS_SQL = """SELECT expnum, ccdnum, path||'/'||filename||compression AS filepath FROM archive"""
@@ -204,7 +203,7 @@ def ra_limit(spark, d):
 def grid_cross(spark, d):
     grid = tiles.footprint_grid(table(spark, d, "image").where(F.col("rac1").isNotNull()),
                                 ("rac1", "rac3"), ("decc1", "decc3"), 4)
-    return grid.select("expnum", sky.healpix(64, F.col("ra"), F.col("dec")).alias("hpix")).groupBy("hpix").agg(
+    return sky.add_healpix(grid, 64, "ra", "dec", "hpix").groupBy("hpix").agg(
         F.count(F.lit(1)).alias("n_points"), F.count_distinct("expnum").alias("n_exposures"))
 
 
@@ -215,12 +214,12 @@ def ra_wrap(spark, d):
 
 @query(sql.with_tables(["star"], f"SELECT star_id, hpx8 FROM ({sql.pixel_columns('star', 8, 'ra', 'dec', 'hpx8', 'star_id')})"))
 def healpix8(spark, d):
-    return table(spark, d, "star").select("star_id", sky.healpix(8, F.col("ra"), F.col("dec")).alias("hpx8"))
+    return sky.add_healpix(table(spark, d, "star"), 8, "ra", "dec", "hpx8").select("star_id", "hpx8")
 
 
 @query(sql.with_tables(["obs"], f"SELECT obs_id, hpix FROM ({sql.pixel_columns('obs', 4096, 'ra', 'dec', 'hpix', 'obs_id')})"))
 def healpix4096(spark, d):
-    return table(spark, d, "obs").select("obs_id", sky.healpix(4096, F.col("ra"), F.col("dec")).alias("hpix"))
+    return sky.add_healpix(table(spark, d, "obs"), 4096, "ra", "dec", "hpix").select("obs_id", "hpix")
 
 
 def _center_sql(n: int) -> str:
@@ -240,8 +239,8 @@ def _center_sql(n: int) -> str:
 
 @query(sql.with_tables(["obs"], _center_sql(4096), [("pix", sql.pixel_columns("obs", 4096, "ra", "dec", "hpix", "obs_id"))]))
 def healpix_center(spark, d):
-    ra, dec = sky.healpix_center(4096, F.col("hpix"))
-    return healpix4096(spark, d).select("hpix").distinct().select("hpix", r6(ra, "ra"), r6(dec, "dec"))
+    pixels = healpix4096(spark, d).select("hpix").distinct()
+    return sky.add_healpix_center(pixels, 4096, "hpix", "ra", "dec").select("hpix", r6("ra"), r6("dec"))
 
 
 # ---- reference catalogue -------------------------------------------------------------------------------
