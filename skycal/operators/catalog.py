@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skycal.functions import names
 from skycal.functions.numeric import nan_to_null
 from skycal.functions.sky import ra_wrap
+from skycal.operators.skew import BROADCAST_KEYS
 
 APERTURES = 12
 
@@ -45,6 +46,23 @@ def attach_metadata(objects: DataFrame, images: DataFrame, band: str | None = No
     return names.merge_keep_left(meta, objects, ["FILENAME"])
 
 
+def attach_to_matches(matched: DataFrame, images: DataFrame) -> DataFrame:
+    """The same join made after matching, on columns suffixed _2: only observations that found a star
+    take part in it."""
+    meta = images.withColumn("FILENAME", names.base_name(F.col("FILEPATH")))
+    return names.merge_keep_left(names.suffix_columns(meta, "_2"), matched, ["FILENAME_2"])
+
+
+def of_images(objects: DataFrame, images: DataFrame, known: int) -> DataFrame:
+    """Objects of the listed images. With few enough images (known is their number) this is a broadcast
+    filter at the scan; with a whole survey it would only add a shuffle, and the metadata join that
+    follows keeps to the same images anyway."""
+    if known > BROADCAST_KEYS:
+        return objects
+    listed = images.select(names.base_name(F.col("FILEPATH")).alias("FILENAME"))
+    return objects.join(F.broadcast(listed), "FILENAME", "left_semi")
+
+
 def missing_catalogs(objects: DataFrame, images: DataFrame) -> DataFrame:
     """File names the image table lists and the object catalogues lack."""
     listed = images.select(names.base_name(F.col("FILEPATH")).alias("FILENAME")).distinct()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skycal.functions.names import expnum_from_name
@@ -36,10 +36,10 @@ def zp_classes(zp: DataFrame) -> DataFrame:
 
 
 def class_counts(df: DataFrame, column: str) -> DataFrame:
-    """Rows and share of rows per class, unclassed rows under NULL. The classes are a handful."""
+    """Rows and share of rows per class, unclassed rows under NULL. The total is taken over the
+    counts, of which there is a handful, so the rows are read once."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("t")).select("t").scalar()
-    return counts.select(column, "n", (F.col("n") / total).alias("share"))
+    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
 
 
 def err_stats(zp: DataFrame, column: str = "MAG_ZERO_MEAN_ERR", decimals: int = 4) -> DataFrame:

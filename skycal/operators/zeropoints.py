@@ -68,7 +68,7 @@ def clip_and_aggregate(rows: DataFrame, keys: list[str], medians: list[str], nsi
         *[F.median(c).alias(f"{c}_MEDIAN") for c in names], *zero_point_stats())
     if hot is None:
         return small.select(*last)
-    hot = sigma_clip(hot, keys, "MAG_DIFF", nsigma, passes, apply_last, hot=True)
+    hot = materialize(sigma_clip(hot, keys, "MAG_DIFF", nsigma, passes, apply_last, hot=True), "hot-clipped")
     large = hot.groupBy(*keys).agg(*zero_point_stats()).join(
         F.broadcast(medians_of_hot_groups(hot, keys, names)), keys)
     return small.select(*last).unionByName(large.select(*last))

@@ -7,8 +7,9 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skycal.operators.catalog import attach_metadata, flatten_catalog
+from skycal.operators.catalog import attach_to_matches, flatten_catalog, of_images
 from skycal.operators.crossmatch import crossmatch
+from skycal.operators.materialize import materialize
 from skycal.operators.refcat import prune_reference
 from skycal.operators.selection import select_survey_images
 from skycal.operators.zeropoints import zero_points
@@ -25,15 +26,18 @@ def calibrate(exposure: DataFrame, archive: DataFrame, image: DataFrame, objects
               tiles: DataFrame, tol_arcsec: float = 2.0, pick: str = "first", bands: tuple[str, ...] | None = None,
               all_medians: bool = True, flux: str = "FLUX_APER_08_2", fluxerr: str = "FLUXERR_APER_08_2",
               **clip) -> Calibration:
-    """Select images, prune the reference catalogue, flatten and attach, match, and solve.
+    """Select images, prune the reference catalogue, flatten, match, attach metadata, and solve.
 
     Tile and band are columns, so what used to be one run per tile and band is one job; the median
-    window is taken per tile and band. bands=None takes the survey's selection."""
+    window is taken per tile and band. bands=None takes the survey's selection. The image table is
+    written first: several steps read it, and its row count decides how it is joined. Metadata is
+    joined after the match, which depends on positions alone, so that the wide rows that find no star
+    are shuffled once and not twice."""
     cuts = {} if bands is None else {"bands": tuple(bands)}
-    images = select_survey_images(exposure, archive, image, tiles, **cuts)
+    images = materialize(select_survey_images(exposure, archive, image, tiles, **cuts), "images")
     stars = prune_reference(refcat, images)
-    observed = attach_metadata(flatten_catalog(objects), images)
-    matched = crossmatch(stars, observed, tol_arcsec, pick)
+    observed = of_images(flatten_catalog(objects), images, images.count())
+    matched = attach_to_matches(crossmatch(stars, observed, tol_arcsec, pick), images)
     solved = zero_points(matched, F.col("BAND_2"), flux, fluxerr, median_per=["TILE_2", "BAND_2"],
                          all_medians=all_medians, **clip)
     return Calibration(images, stars, matched, solved)

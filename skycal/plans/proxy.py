@@ -147,11 +147,13 @@ NEEDS = {
 }
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A derived table, or one of the driver's own."""
+def table(spark: SparkSession, sf_dir: str, name: str, given: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A derived table, or one of the driver's own; given holds tables already at hand."""
+    if given and name in given:
+        return given[name]
     if name not in TEXTS:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spark.sql(TEXTS[name], **{n: table(spark, sf_dir, n) for n in NEEDS[name]})
+    return spark.sql(TEXTS[name], **{n: table(spark, sf_dir, n, given) for n in NEEDS[name]})
 
 
 def ctes(*names: str) -> str:

@@ -326,17 +326,23 @@ FIELD_SELECTION = [
 FIELD_TABLES = ["field_obs", "field_exposure", "field_archive", "field_image"]
 
 
+def _field(spark, d):
+    """The derived field objects, stored once as a survey stores its catalogues, and the tables over them."""
+    given = {"field_obs": materialize(table(spark, d, "field_obs"), "field-obs")}
+    return given["field_obs"], [table(spark, d, f"field_{t}", given) for t in ("exposure", "archive", "image")]
+
+
 def _field_images(spark, d):
-    return selection.select_survey_images(*[table(spark, d, f"field_{t}") for t in ("exposure", "archive", "image")],
-                                          tiles.survey_tiles(spark))
+    objects, metadata = _field(spark, d)
+    return objects, selection.select_survey_images(*metadata, tiles.survey_tiles(spark))
 
 
 @query(sql.with_tables(FIELD_TABLES, """SELECT o.filename AS "FILENAME", o.obs_id AS "NUMBER", i.expnum AS "EXPNUM",
   CAST(i.tile AS INTEGER) AS "TILE", i.band AS "BAND", round(o.flux_psf, 6) AS "FLUX_PSF"
   FROM field_obs AS o JOIN images AS i ON o.filename = i.filename WHERE i.band = 'r'""", FIELD_SELECTION))
 def attach_metadata(spark, d):
-    objects = catalog.flatten_catalog(object_catalog(table(spark, d, "field_obs")))
-    joined = catalog.attach_metadata(objects, _field_images(spark, d), band="r")
+    objects, images = _field_images(spark, d)
+    joined = catalog.attach_metadata(catalog.flatten_catalog(object_catalog(objects)), images, band="r")
     return joined.select("FILENAME", "NUMBER", "EXPNUM", "TILE", "BAND", r6("FLUX_PSF"))
 
 
@@ -344,7 +350,8 @@ def attach_metadata(spark, d):
   WHERE filename NOT IN (SELECT filename FROM obs)""", FIELD_SELECTION))
 def missing_catalogs(spark, d):
     # The other derived sky's catalogues: none of the field images' files is among them.
-    return catalog.missing_catalogs(object_catalog(table(spark, d, "obs")), _field_images(spark, d))
+    _, images = _field_images(spark, d)
+    return catalog.missing_catalogs(object_catalog(table(spark, d, "obs")), images)
 
 
 # ---- cross-match ---------------------------------------------------------------------------------------
@@ -707,10 +714,9 @@ FIELD_CTES = [
 
 
 def _calibrated(spark, d, **options):
-    return calibrate_survey(
-        *[table(spark, d, f"field_{t}") for t in ("exposure", "archive", "image")],
-        object_catalog(table(spark, d, "field_obs")), star_catalog(table(spark, d, "star")),
-        tiles.survey_tiles(spark), **options)
+    objects, metadata = _field(spark, d)
+    return calibrate_survey(*metadata, object_catalog(objects), star_catalog(table(spark, d, "star")),
+                            tiles.survey_tiles(spark), **options)
 
 
 @query(sql.with_tables([*FIELD_TABLES, "star"], """SELECT filename AS "FILENAME_2", CAST(tile AS INTEGER) AS "TILE_2",
