@@ -26,8 +26,11 @@ def median_of_large_groups(df: DataFrame, keys: list[str], value: str, name: str
 
     edges = rows.groupBy(*by).agg(
         F.percentile_approx("_x", _CUTS, _ACCURACY).alias("_edges"), F.count(F.lit(1)).alias("_n"))
-    bucketed = rows.join(F.broadcast(edges), by).withColumn(
-        "_b", F.size(F.filter("_edges", lambda e: e <= F.col("_x"))))
+    if keys:
+        bucketed = rows.join(F.broadcast(edges), by)
+    else:       # one group: its edges and size are scalars
+        bucketed = rows.withColumns({c: edges.select(c).scalar() for c in ("_edges", "_n")})
+    bucketed = bucketed.withColumn("_b", F.size(F.filter("_edges", lambda e: e <= F.col("_x"))))
 
     # Ranks (n+1) div 2 and n div 2 + 1 are the middle row, or the two middle rows.
     first, second = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1

@@ -36,11 +36,9 @@ def median_window(rows: DataFrame, per: list[str], half_width: float = WINDOW) -
     There is one median per tile and band, of which the sky has about a thousand; they are computed
     once and kept, so the passes that follow only broadcast them."""
     med = materialize(median_of_large_groups(rows, per, "MAG_DIFF", "_med"), "median")
+    with_med = rows.join(F.broadcast(med), per) if per else rows.withColumn("_med", med.scalar())
     near = (F.col("MAG_DIFF") > F.col("_med") - half_width) & (F.col("MAG_DIFF") < F.col("_med") + half_width)
-    if not per:
-        one = F.lit(0).alias("_one")
-        return rows.select("*", one).join(F.broadcast(med.select("*", one)), "_one").where(near).drop("_med", "_one")
-    return rows.join(F.broadcast(med), per).where(near).drop("_med")
+    return with_med.where(near).drop("_med")
 
 
 def zero_point_stats(value: str = "MAG_DIFF") -> list[Column]:
