@@ -8,13 +8,16 @@ exact distance as a residual test. A star is copied only into the cells its matc
 What is matched is the set of distinct observed positions, not the observations:
 
 * copies of a position collapse in the map-side half of the distinct, however many there are;
-* rows stay two numbers wide until the match is known, so the wide observation rows are shuffled once;
+* both sides of the zone join are bare positions; the columns of a star, and then the wide observation
+  rows, are joined to the finished matches, each by one shuffle;
 * no row id is needed, and repeated observations all keep their own output row.
 
 Copies of a star position likewise collapse to the one that comes first in order: all of them are
 within reach of the same observations, so no other copy could be picked. A crowded cell (many
 different positions in one place) is split by adaptive skew-join handling, which is free to do so
-because the step after the join groups by position, not by cell.
+because the step after the join groups by position, not by cell; candidate pairs are reduced to one per
+position before they are shuffled. On a catalogue rounded to 6 decimals the positions within reach of
+an observation are finite in number, and in real ones they are a few.
 """
 
 from __future__ import annotations
@@ -27,9 +30,6 @@ from pyspark.sql import functions as F
 from skycal.functions.names import suffix_columns
 from skycal.functions.sky import ra_wrap, sep_sq
 
-_STAR, _RANK = "_star", "_rank"
-
-
 def _zone_cells(zone: Column, height: float) -> tuple[Column, Column]:
     """Number of RA cells of a zone, and the smallest cos(dec) in it."""
     edge = F.greatest(F.abs(zone * height - 90), F.abs((zone + 1) * height - 90))
@@ -86,32 +86,36 @@ def crossmatch(std: DataFrame, obs: DataFrame, tol_arcsec: float = 2.0, pick: st
     if not 0 < tol < 1 or cell_tols < 1:
         raise ValueError("the tolerance must be under a degree and a cell at least one tolerance wide")
 
-    sra, sdec = std_pos
-    left = suffix_columns(std, "_1")
+    left = suffix_columns(_positioned(std, *std_pos), "_1")
+    sra, sdec = (F.col(c.upper() + "_1") for c in std_pos)
     ties = [c.upper() + "_1" for c in (tie_break or std.columns)]
     stars = (
-        _positioned(std, sra, sdec).toDF(*left.columns)
-        .groupBy(F.col(sra.upper() + "_1").alias("_sra"), F.col(sdec.upper() + "_1").alias("_sdec"))
-        .agg(F.min_by(F.struct(*left.columns), F.struct(*ties)).alias(_STAR))
+        left.groupBy(_turn(sra).alias("_sra"), sdec.alias("_sdec"))
+        .agg(F.min_by(F.struct(*left.columns), F.struct(*ties)).alias("_star"))
     )
 
     right = suffix_columns(_positioned(obs, *obs_pos), "_2")
-    ora, odec = (c.upper() + "_2" for c in obs_pos)
-    positions = right.select(F.col(ora).alias("_ra"), F.col(odec).alias("_dec")).distinct()
+    ora, odec = (F.col(c.upper() + "_2") for c in obs_pos)
+    positions = right.select(ora.alias("_ra"), odec.alias("_dec")).distinct()
 
     distance = sep_sq(F.col("_ra"), F.col("_dec"), F.col("_sra"), F.col("_sdec"))
-    order = [ra_wrap(F.pmod("_sra", F.lit(360.0))), F.col("_sdec")]
-    rank = F.struct(*order) if pick == "first" else F.struct(distance, *order)
+    order = [ra_wrap(F.col("_sra")).alias("_w"), "_sdec", "_sra"]
+    rank = F.struct(*order) if pick == "first" else F.struct(distance.alias("_d2"), *order)
     best = (
         _position_cells(positions, height)
-        .join(_star_cells(stars, tol, height), ["_zone", "_cell"])
+        .join(_star_cells(stars.select("_sra", "_sdec"), tol, height), ["_zone", "_cell"])
         .where(distance < tol * tol)
-        .groupBy("_ra", "_dec").agg(F.min_by(_STAR, rank).alias(_STAR))
-    )
-    return (
-        right.join(best, (F.col(ora) == F.col("_ra")) & (F.col(odec) == F.col("_dec")))
-        .select(f"{_STAR}.*", *right.columns)
+        .groupBy("_ra", "_dec").agg(F.min(rank).alias("_best"))
+        .select("_ra", "_dec", "_best._sra", "_best._sdec")
+        .join(stars, ["_sra", "_sdec"])
     )
+    return right.join(best, (ora == F.col("_ra")) & (odec == F.col("_dec"))).select("_star.*", *right.columns)
+
+
+def _turn(ra: Column) -> Column:
+    """RA in [0, 360); unchanged where it already is."""
+    turned = F.pmod(ra, F.lit(360.0))
+    return F.when(turned >= 360, 0.0).otherwise(turned)
 
 
 def expected_copies(cell_tols: float) -> float:

@@ -13,6 +13,7 @@ from skycal.operators.materialize import materialize
 from skycal.operators.refcat import prune_reference
 from skycal.operators.selection import select_survey_images
 from skycal.operators.zeropoints import zero_points
+from skycal.sources.sinks import write_table
 
 
 class Calibration(NamedTuple):
@@ -22,22 +23,38 @@ class Calibration(NamedTuple):
     zero_points: DataFrame   # one row per image
 
 
+def _keep(df: DataFrame, store: str | None, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    if store is None:
+        return df
+    path = f"{store.rstrip('/')}/{name}"
+    write_table(df, path, partition_by)
+    return df.sparkSession.read.parquet(path)
+
+
 def calibrate(exposure: DataFrame, archive: DataFrame, image: DataFrame, objects: DataFrame, refcat: DataFrame,
               tiles: DataFrame, tol_arcsec: float = 2.0, pick: str = "first", bands: tuple[str, ...] | None = None,
               all_medians: bool = True, flux: str = "FLUX_APER_08_2", fluxerr: str = "FLUXERR_APER_08_2",
+              images: DataFrame | None = None, matched: DataFrame | None = None, store: str | None = None,
               **clip) -> Calibration:
     """Select images, prune the reference catalogue, flatten, match, attach metadata, and solve.
 
     Tile and band are columns, so what used to be one run per tile and band is one job; the median
-    window is taken per tile and band. bands=None takes the survey's selection. The image table is
-    written first: several steps read it, and its row count decides how it is joined. Metadata is
-    joined after the match, which depends on positions alone, so that the wide rows that find no star
-    are shuffled once and not twice."""
+    window is taken per tile and band. bands=None takes the survey's selection. A step is skipped by
+    passing its result (images, matched) from an earlier run; store names a folder to keep them in,
+    matches by band and tile.
+
+    The image table is written first: several steps read it, and its row count decides how it is
+    joined. Metadata is joined after the match, which depends on positions alone, so that the wide
+    rows that find no star are shuffled once and not twice."""
     cuts = {} if bands is None else {"bands": tuple(bands)}
-    images = materialize(select_survey_images(exposure, archive, image, tiles, **cuts), "images")
+    if images is None:
+        images = select_survey_images(exposure, archive, image, tiles, **cuts)
+        images = materialize(images, "images") if store is None else _keep(images, store, "images")
     stars = prune_reference(refcat, images)
-    observed = of_images(flatten_catalog(objects), images, images.count())
-    matched = attach_to_matches(crossmatch(stars, observed, tol_arcsec, pick), images)
+    if matched is None:
+        observed = of_images(flatten_catalog(objects), images, images.count())
+        matched = attach_to_matches(crossmatch(stars, observed, tol_arcsec, pick), images)
+        matched = _keep(matched, store, "matched", ["BAND_2", "TILE_2"])
     solved = zero_points(matched, F.col("BAND_2"), flux, fluxerr, median_per=["TILE_2", "BAND_2"],
                          all_medians=all_medians, **clip)
-    return Calibration(images, stars, matched, solved)
+    return Calibration(images, stars, matched, _keep(solved, store, "zero_points"))

@@ -95,6 +95,18 @@ def box_open(spark, d):
         "expnum", "radeg", "decdeg")
 
 
+@query(sql.with_tables(["archive", "exposure"], f"""SELECT e.*, f.ccdnum, f.path, f.filename, f.compression, f.filetype
+  FROM exposure AS e JOIN archive AS f ON e.expnum = f.expnum WHERE {sql.USABLE} AND f.filetype = 'fullcat'
+    AND e.radeg > 30 AND e.radeg < 330 AND e.decdeg > -60 AND e.decdeg < 0
+  ORDER BY e.expnum, f.ccdnum LIMIT 1000"""))
+def exposure_archive_all_columns(spark, d):
+    e = selection.usable_exposures(table(spark, d, "exposure"))
+    e = e.where(tiles.in_box(F.col("radeg"), F.col("decdeg"), (30, 330, -60, 0), "open")).alias("e")
+    f = table(spark, d, "archive").where("filetype = 'fullcat'").alias("f")
+    both = e.join(f, F.col("e.expnum") == F.col("f.expnum")).select("e.*", "f.*")
+    return qa.top_rows(names.first_of_duplicates(both), ["expnum", "ccdnum"], 1000)
+
+
 LINSPACE = lambda i, a, b, n: f"({float(a)}e0 + {float(b - a)}e0*({i})/{float(n - 1)}e0)"
 
 

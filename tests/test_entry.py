@@ -67,3 +67,13 @@ def test_no_plan_pairs_everything_with_everything(spark):
                  "flag_exposures", "exp_img_file_merge"]:
         plan = plan_of(entry.queries()[name](spark, SF_DIR), "simple")
         assert "Cartesian" not in plan and "NestedLoop" not in plan, name
+
+
+def test_calibration_resumes_from_stored_steps(spark, tmp_path):
+    objects, metadata = q._field(spark, SF_DIR)
+    inputs = (*metadata, object_catalog(objects), star_catalog(table(spark, SF_DIR, "star")), q.tiles.survey_tiles(spark))
+    first = calibrate(*inputs, all_medians=False, store=str(tmp_path))
+    assert (tmp_path / "matched").is_dir() and any((tmp_path / "matched").glob("BAND_2=*/TILE_2=*"))
+    again = calibrate(*inputs, all_medians=False, images=first.images, matched=first.matched)
+    key = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert key(again.zero_points) == key(first.zero_points) and first.zero_points.count() > 0
