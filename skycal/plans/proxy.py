@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skycal.operators.materialize import materialize
+
 # Reference stars, one per part, and a close twin (0.0003, 0.0001 degrees away) for a fifth of them.
 STAR = """
 SELECT p_partkey*2 AS star_id, CAST((p_partkey*3701) % 36000 AS DOUBLE)*1e-2 AS ra,
@@ -156,6 +158,17 @@ def table(spark: SparkSession, sf_dir: str, name: str, given: dict[str, DataFram
     return spark.sql(TEXTS[name], **{n: table(spark, sf_dir, n, given) for n in NEEDS[name]})
 
 
+_stored: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A derived table kept as files for the session, the way a survey has its catalogues on disk."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        _stored[key] = materialize(table(spark, sf_dir, name), name)
+    return _stored[key]
+
+
 def ctes(*names: str) -> str:
     """The same tables as a comma-separated list of common table expressions, inputs first."""
     done: dict[str, str] = {}

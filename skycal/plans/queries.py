@@ -17,7 +17,7 @@ from skycal.operators.matchid import match_ids
 from skycal.operators.materialize import materialize
 from skycal.plans import oracle as sql
 from skycal.plans.calibrate import calibrate as calibrate_survey
-from skycal.plans.proxy import object_catalog, observed_catalog, star_catalog, table
+from skycal.plans.proxy import object_catalog, observed_catalog, star_catalog, stored, table
 from skycal.sources.sinks import fixed_decimals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -339,8 +339,8 @@ FIELD_TABLES = ["field_obs", "field_exposure", "field_archive", "field_image"]
 
 
 def _field(spark, d):
-    """The derived field objects, stored once as a survey stores its catalogues, and the tables over them."""
-    given = {"field_obs": materialize(table(spark, d, "field_obs"), "field-obs")}
+    """The derived field objects and the metadata tables over them."""
+    given = {"field_obs": stored(spark, d, "field_obs")}
     return given["field_obs"], [table(spark, d, f"field_{t}", given) for t in ("exposure", "archive", "image")]
 
 
@@ -369,11 +369,11 @@ def missing_catalogs(spark, d):
 # ---- cross-match ---------------------------------------------------------------------------------------
 
 def _stars(spark, d):
-    return round_fractions(star_catalog(table(spark, d, "star")), 6)
+    return round_fractions(star_catalog(stored(spark, d, "star")), 6)
 
 
 def _matched(spark, d, pick="first"):
-    return crossmatch(_stars(spark, d), observed_catalog(table(spark, d, "obs")), pick=pick, tie_break=["STAR_ID"])
+    return crossmatch(_stars(spark, d), observed_catalog(stored(spark, d, "obs")), pick=pick, tie_break=["STAR_ID"])
 
 
 MATCH_COLUMNS = """SELECT obs_id AS "OBS_ID_2", star_id AS "STAR_ID_1", round(ra_1, 6) AS "RA_1",
@@ -727,7 +727,7 @@ FIELD_CTES = [
 
 def _calibrated(spark, d, **options):
     objects, metadata = _field(spark, d)
-    return calibrate_survey(*metadata, object_catalog(objects), star_catalog(table(spark, d, "star")),
+    return calibrate_survey(*metadata, object_catalog(objects), star_catalog(stored(spark, d, "star")),
                             tiles.survey_tiles(spark), **options)
 
 
