@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skycal.operators.skew import HOT_ROWS, split_hot
+from skycal.operators.skew import HOT_ROWS, broadcast_if_short, split_hot
 
 # Quantiles whose approximate values cut a group into buckets, narrow around the middle.
 _CUTS = [0.25, 0.45, 0.49, 0.499, 0.4995, 0.5005, 0.501, 0.51, 0.55, 0.75]
 _ACCURACY = 10_000
 
 
-def median_of_large_groups(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
-    """Exact median of value per key for a bounded number of groups of any size.
+def median_of_large_groups(df: DataFrame, keys: list[str], value: str, groups: int = 1,
+                           name: str = "median") -> DataFrame:
+    """Exact median of value per key for groups of any size; groups is their number, which decides
+    whether per-group results may be broadcast to the rows.
 
     A mergeable quantile sketch proposes bucket edges; exact counts per bucket then say in which
     bucket the two middle ranks are, and only that bucket's distinct values are ordered. The sketch
@@ -27,7 +29,7 @@ def median_of_large_groups(df: DataFrame, keys: list[str], value: str, name: str
     edges = rows.groupBy(*by).agg(
         F.percentile_approx("_x", _CUTS, _ACCURACY).alias("_edges"), F.count(F.lit(1)).alias("_n"))
     if keys:
-        bucketed = rows.join(F.broadcast(edges), by)
+        bucketed = rows.join(broadcast_if_short(edges, groups), by)
     else:       # one group: its edges and size are scalars
         bucketed = rows.withColumns({c: edges.select(c).scalar() for c in ("_edges", "_n")})
     bucketed = bucketed.withColumn("_b", F.size(F.filter("_edges", lambda e: e <= F.col("_x"))))
@@ -43,7 +45,7 @@ def median_of_large_groups(df: DataFrame, keys: list[str], value: str, name: str
     )
     ordered = Window.partitionBy(*by, "_b").orderBy("_x")
     values = (
-        bucketed.join(F.broadcast(middle), [*by, "_b"])
+        bucketed.join(broadcast_if_short(middle, 2 * groups), [*by, "_b"])
         .groupBy(*by, "_b", "_x").agg(F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"),
                                       F.max("_below").alias("_below"))
         .withColumn("_upto", F.col("_below") + F.sum("_c").over(ordered))
@@ -56,24 +58,25 @@ def median_of_large_groups(df: DataFrame, keys: list[str], value: str, name: str
 def grouped_medians(df: DataFrame, keys: list[str], columns: list[str], suffix: str = "_MEDIAN",
                     hot_rows: int = HOT_ROWS) -> DataFrame:
     """Exact median of each column per key, for any number of groups of any size."""
-    ordinary, hot = split_hot(df, keys, hot_rows)
+    ordinary, hot, groups = split_hot(df, keys, hot_rows)
     small = medians_in_one_pass(ordinary, keys, columns, suffix)
-    return small if hot is None else small.unionByName(medians_of_hot_groups(hot, keys, columns, suffix))
+    return small if hot is None else small.unionByName(medians_of_hot_groups(hot, keys, columns, groups, suffix))
 
 
 def medians_in_one_pass(df: DataFrame, keys: list[str], columns: list[str], suffix: str = "_MEDIAN") -> DataFrame:
     return df.groupBy(*keys).agg(*[F.median(c).alias(c + suffix) for c in columns])
 
 
-def medians_of_hot_groups(hot: DataFrame, keys: list[str], columns: list[str], suffix: str = "_MEDIAN") -> DataFrame:
+def medians_of_hot_groups(hot: DataFrame, keys: list[str], columns: list[str], groups: int,
+                          suffix: str = "_MEDIAN") -> DataFrame:
     """All columns at once: (column, value) rows under a common routine, then back to columns."""
     if not columns:
         return hot.select(*keys).distinct()
     long = hot.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("_column"), F.col(c).cast("double").alias("_value")) for c in columns
     ])).alias("_cell")).select(*keys, "_cell.*")
-    med = median_of_large_groups(long, [*keys, "_column"], "_value", "_median")
+    med = median_of_large_groups(long, [*keys, "_column"], "_value", groups * len(columns), "_median")
     wide = med.groupBy(*keys).agg(*[
         F.max(F.when(F.col("_column") == c, F.col("_median"))).alias(c + suffix) for c in columns])
     # A group whose columns are all NULL has no median rows but is still a group.
-    return hot.select(*keys).distinct().join(F.broadcast(wide), keys, "left")
+    return hot.select(*keys).distinct().join(wide, keys, "left")

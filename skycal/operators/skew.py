@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skycal.operators.materialize import materialize
 
-# A group beyond this many rows is no longer handled inside one task.
-HOT_ROWS = 500_000
+# A group beyond this many rows is no longer handled inside one task. An exact median of thirty
+# columns at this size takes a few hundred megabytes.
+HOT_ROWS = 100_000
 
 # A key list up to this long is broadcast; a longer one joins by shuffle, which adaptive execution
 # splits where it is skewed.
@@ -19,8 +22,14 @@ def broadcast_if_short(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_KEYS else df
 
 
-def split_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame | None]:
-    """(ordinary rows, rows of hot groups or None), a group being hot with more than hot_rows rows.
+class Split(NamedTuple):
+    ordinary: DataFrame
+    hot: DataFrame | None    # None if there is no hot group
+    groups: int              # number of hot groups
+
+
+def split_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> Split:
+    """Ordinary rows and the rows of hot groups, a group being hot with more than hot_rows rows.
 
     Runs one count per group, combined map-side; give it a frame that is cheap to read again. The list
     of hot groups holds at most rows/hot_rows keys, is written, counted, and broadcast if short enough.
@@ -29,6 +38,6 @@ def split_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> tuple
     hot = materialize(hot, "hot-keys")
     found = hot.count()
     if not found:
-        return df, None
+        return Split(df, None, 0)
     listed = broadcast_if_short(hot, found)
-    return df.join(listed, keys, "left_anti"), df.join(listed, keys, "left_semi")
+    return Split(df.join(listed, keys, "left_anti"), df.join(listed, keys, "left_semi"), found)

@@ -10,7 +10,7 @@ from skycal.functions.numeric import nan_to_null, numeric_columns, require_colum
 from skycal.operators.clipping import sigma_clip
 from skycal.operators.materialize import materialize
 from skycal.operators.medians import median_of_large_groups, medians_in_one_pass, medians_of_hot_groups
-from skycal.operators.skew import HOT_ROWS, split_hot
+from skycal.operators.skew import HOT_ROWS, broadcast_if_short, split_hot
 
 # Half-width in magnitudes of the window around the typical difference.
 WINDOW = 5.0
@@ -33,10 +33,11 @@ def quality_cut(mags: DataFrame) -> DataFrame:
 
 def median_window(rows: DataFrame, per: list[str], half_width: float = WINDOW) -> DataFrame:
     """Rows strictly within half_width of the median MAG_DIFF of their (tile, band).
-    There is one median per tile and band, of which the sky has about a thousand; they are computed
-    once and kept, so the passes that follow only broadcast them."""
-    med = materialize(median_of_large_groups(rows, per, "MAG_DIFF", "_med"), "median")
-    with_med = rows.join(F.broadcast(med), per) if per else rows.withColumn("_med", med.scalar())
+    There is one median per tile and band, of which the sky has about a thousand; their number is
+    checked, and they are computed once and kept, so the passes that follow only join them."""
+    groups = rows.select(*per).distinct().count() if per else 1
+    med = materialize(median_of_large_groups(rows, per, "MAG_DIFF", groups, "_med"), "median")
+    with_med = rows.join(broadcast_if_short(med, groups), per) if per else rows.withColumn("_med", med.scalar())
     near = (F.col("MAG_DIFF") > F.col("_med") - half_width) & (F.col("MAG_DIFF") < F.col("_med") + half_width)
     return with_med.where(near).drop("_med")
 
@@ -56,7 +57,7 @@ def clip_and_aggregate(rows: DataFrame, keys: list[str], medians: list[str], nsi
                        passes: int = 3, apply_last: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Clip per image and aggregate. Ordinary images take one shuffle: the windows, the statistics and
     every median share it. Images beyond hot_rows rows never meet in one task."""
-    ordinary, hot = split_hot(rows, keys, hot_rows)
+    ordinary, hot, groups = split_hot(rows, keys, hot_rows)
     ordinary = sigma_clip(ordinary, keys, "MAG_DIFF", nsigma, passes, apply_last)
     names = list(dict.fromkeys([*medians, "MAG_DIFF"]))
     last = [*keys, *[f"{c}_MEDIAN" for c in medians], F.col("MAG_DIFF_MEDIAN").alias("MAG_ZERO_MEDIAN"),
@@ -66,9 +67,8 @@ def clip_and_aggregate(rows: DataFrame, keys: list[str], medians: list[str], nsi
         *[F.median(c).alias(f"{c}_MEDIAN") for c in names], *zero_point_stats())
     if hot is None:
         return small.select(*last)
-    hot = materialize(sigma_clip(hot, keys, "MAG_DIFF", nsigma, passes, apply_last, hot=True), "hot-clipped")
-    large = hot.groupBy(*keys).agg(*zero_point_stats()).join(
-        F.broadcast(medians_of_hot_groups(hot, keys, names)), keys)
+    hot = materialize(sigma_clip(hot, keys, "MAG_DIFF", nsigma, passes, apply_last, groups), "hot-clipped")
+    large = hot.groupBy(*keys).agg(*zero_point_stats()).join(medians_of_hot_groups(hot, keys, names, groups), keys)
     return small.select(*last).unionByName(large.select(*last))
 
 

@@ -460,7 +460,7 @@ def quality_cut(spark, d):
   (SELECT count(*) FROM near) AS n_near FROM quality""", [*MAGS_G, *sql.clip_ctes("agg", passes=0)]))
 def global_median(spark, d):
     q = _quality(spark, d)
-    med = medians.median_of_large_groups(q, [], "MAG_DIFF", "median_diff")
+    med = medians.median_of_large_groups(q, [], "MAG_DIFF", name="median_diff")
     near = zeropoints.median_window(q, []).agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
     return med.select(r6("median_diff"), near.alias("n_near"))
 
@@ -496,7 +496,9 @@ def clip_2sigma(spark, d):
                        [*MAGS_G, *sql.clip_ctes("agg")]))
 def clip3_hot_groups(spark, d):
     """The same clip by aggregate and broadcast, the way groups too large for one task take it."""
-    return sigma_clip(_near(spark, d), ["AGG_2"], "MAG_DIFF", hot=True).select("OBS_ID_2", "AGG_2", "Outlier")
+    near = materialize(_near(spark, d), "near")
+    groups = near.select("AGG_2").distinct().count()
+    return sigma_clip(near, ["AGG_2"], "MAG_DIFF", hot_groups=groups).select("OBS_ID_2", "AGG_2", "Outlier")
 
 
 # ---- zero points ---------------------------------------------------------------------------------------

@@ -65,7 +65,8 @@ def test_quality_limits(spark):
 
 # ---- medians ----
 
-def test_median_of_large_groups(spark):
+@pytest.mark.parametrize("groups", [7, 10**9])      # broadcast or not
+def test_median_of_large_groups(spark, groups):
     rng = random.Random(4)
     data = [("odd", float(v)) for v in rng.sample(range(1000), 501)]
     data += [("even", rng.gauss(0, 1e6)) for _ in range(400)]
@@ -73,7 +74,7 @@ def test_median_of_large_groups(spark):
     data += [("one", 3.5), ("null", None), ("two", 1.0), ("two", 2.0)]
     data += [("inf", -math.inf)] * 3 + [("inf", 7.0), ("inf", 8.0), ("inf", 9.0), ("inf", 10.0)]
     df = spark.createDataFrame(data, "k string, v double")
-    got = {r.k: r["median"] for r in median_of_large_groups(df, ["k"], "v").collect()}
+    got = {r.k: r["median"] for r in median_of_large_groups(df, ["k"], "v", groups).collect()}
     want = pd.DataFrame(data, columns=["k", "v"]).dropna().groupby("k")["v"].median().to_dict()
     assert set(got) == set(want)
     for k in want:
@@ -100,9 +101,9 @@ def test_grouped_medians_mix_ordinary_and_hot(spark):
 
 def test_split_hot(spark):
     df = spark.range(100).select(F.when(F.col("id") < 60, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    ordinary, hot = split_hot(df, ["k"], 50)
-    assert (ordinary.count(), hot.count()) == (40, 60)
-    assert split_hot(df, ["k"], 60)[1] is None
+    ordinary, hot, groups = split_hot(df, ["k"], 50)
+    assert (ordinary.count(), hot.count(), groups) == (40, 60, 1)
+    assert split_hot(df, ["k"], 60)[1:] == (None, 0)
 
 
 # ---- clipping ----
@@ -132,17 +133,17 @@ def clip_data(seed=7):
     return pdf
 
 
-@pytest.mark.parametrize("hot", [False, True])
+@pytest.mark.parametrize("hot", [0, 10, 10**9])
 @pytest.mark.parametrize("nsigma", [3.0, 2.0])
 def test_clip_matches_pandas(spark, hot, nsigma):
     pdf = clip_data()
     want = pandas_clip(pdf, "k", "x", nsigma)
     assert 0 < len(want) < len(pdf) and want.flag.any(), "the third pass must still flag something"
     df = spark.createDataFrame(pdf)
-    got = sigma_clip(df, ["k"], "x", nsigma, hot=hot).toPandas().sort_values("id")
+    got = sigma_clip(df, ["k"], "x", nsigma, hot_groups=hot).toPandas().sort_values("id")
     assert list(got["id"]) == list(want["id"])
     assert list(got["Outlier"]) == list(want["flag"])
-    applied = sigma_clip(df, ["k"], "x", nsigma, apply_last=True, hot=hot)
+    applied = sigma_clip(df, ["k"], "x", nsigma, apply_last=True, hot_groups=hot)
     assert applied.count() == (~want.flag).sum()
 
 
@@ -154,7 +155,7 @@ def test_single_rows_and_equal_values_are_no_outliers(spark):
 def test_null_keys_belong_to_no_group(spark):
     df = spark.createDataFrame([(None, 1.0), ("a", 1.0)], "k string, x double")
     assert sigma_clip(df, ["k"], "x").count() == 1
-    assert sigma_clip(df, ["k"], "x", hot=True).count() == 1
+    assert sigma_clip(df, ["k"], "x", hot_groups=1).count() == 1
 
 
 def test_clip_and_aggregate_take_one_shuffle(spark):
