@@ -23,8 +23,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
     """Write df once as Parquet and read it back: later passes over it are column-pruned scans,
-    and a lost executor costs a re-read, not the whole plan behind it."""
+    and a lost executor costs a re-read, not the whole plan behind it. The tables of one application
+    share a folder, which may be deleted once its results are read."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark).rstrip('/')}/skycal-{spark.sparkContext.applicationId}"
+    path = f"{folder}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
