@@ -9,7 +9,7 @@ from skycal.functions import photometry as phot
 from skycal.functions.numeric import nan_to_null, numeric_columns, require_columns
 from skycal.operators.clipping import sigma_clip
 from skycal.operators.materialize import materialize
-from skycal.operators.medians import median_of_large_groups, medians_in_one_pass, medians_of_hot_groups
+from skycal.operators.medians import median_of_large_groups, medians_of_hot_groups
 from skycal.operators.skew import HOT_ROWS, broadcast_if_short, split_hot
 
 # Half-width in magnitudes of the window around the typical difference.
