@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skycal.llm import packing, simhash, vectors, warc
+from skycal.llm import licenses, packing, simhash, vectors, warc
 from skycal.llm.shared import table
 
 
@@ -15,6 +15,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -42,11 +46,13 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op3_licenses": op3_licenses,
     "op7_warc": op7_warc,
     "op8_simhash": op8_simhash,
     "op10_near_vectors": op10_near_vectors,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_licenses": licenses.scan_sql(),
     "op7_warc": OP7_SQL,
 }

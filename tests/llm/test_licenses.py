@@ -1,0 +1,70 @@
+import duckdb
+
+from skycal.llm import licenses
+
+APACHE = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+"""
+ROWS = [
+    (1, "Some text. Released under the MIT License."),
+    (2, "No full stop before\nLicensed under CC BY-NC 4.0.\nMore of it."),
+    (3, "LICENSED  UNDER the apache license -- version 2.0!! Licensed under the MIT License.\nReleased under the MIT License"),
+    (4, APACHE + "\nint main() {}\n// SPDX-License-Identifier: MIT\n"),
+    (5, "We wrote that released under the MIT License it was."),
+    (6, None), (7, ""), (None, "All rights reserved. Licensed under CC BY 4.0."), (8, "MIT License"), (8, "MIT License"),
+    (9, "words and words. " * 30_000 + "This work is licensed under the GNU General Public License, version 3."),
+    (10, "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n"
+         " * Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n"
+         " * Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the\n"
+         "   documentation and/or other materials provided with the distribution.\n"),
+]
+SCHEMA = "doc_id bigint, text string, sentence string, row int, license string"
+
+
+def run(spark, rows):
+    df = spark.createDataFrame([(i, t, "x", 3, "y") for i, t in rows], SCHEMA)
+    return sorted((tuple(r) for r in licenses.scan(df).collect()), key=repr)
+
+
+def test_rules(spark):
+    got = [(r[0], r[1], r[3], r[4], r[5]) for r in run(spark, ROWS)]
+    assert got == sorted([
+        (1, "MIT", 1, 0, 1), (2, "CC-BY-NC-4.0", 1, 0, 1), (3, "Apache-2.0", 0, 0, 1), (3, "MIT", 0, 1, 1), (3, "MIT", 0, 2, 1),
+        (4, "Apache-2.0", got_start(got, 4, "Apache-2.0"), 0, got_size(got, 4, "Apache-2.0")), (4, "MIT", got_start(got, 4, "MIT"), 0, 1),
+        (None, "CC-BY-4.0", 0, 1, 1), (8, "MIT", 0, 0, 1), (8, "MIT", 0, 0, 1), (9, "GPL-3.0", 30_000, 0, 1),
+        (10, "BSD-2-Clause", 0, 0, 3)], key=repr)
+    assert got_size(got, 4, "Apache-2.0") >= 4
+
+
+def got_start(got, doc, name):
+    return next(r[2] for r in got if r[:2] == (doc, name))
+
+
+def got_size(got, doc, name):
+    return next(r[4] for r in got if r[:2] == (doc, name))
+
+
+def test_the_same_as_sql(spark):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", ROWS)
+    cur = con.execute(licenses.scan_sql())
+    names = [c[0] for c in cur.description]
+    assert names == ["doc_id", "license", "rule", "run_start", "place", "sentences"]
+    assert sorted(cur.fetchall(), key=repr) == run(spark, ROWS)
+
+
+def test_empty_table_and_plan_without_python(spark):
+    from helpers import plan_of
+    assert run(spark, []) == []
+    plan = plan_of(licenses.scan(spark.createDataFrame([(1, "x")], "doc_id bigint, text string")))
+    assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
