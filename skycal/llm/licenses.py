@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Sentences of licence texts and notices, with identifiers of our own.
@@ -104,6 +104,11 @@ def rule_pattern() -> str:
     return "(" + "|".join(_rule_text(ids) for ids, _ in RULES) + "|[a-z0-9-]+ )"
 
 
+def _fixed(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A small table of literals."""
+    return spark.range(1).select(F.inline(F.array(*(F.struct(*(F.lit(v).alias(n) for v, n in zip(r, names))) for r in rows))))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per rule that matches in a document: id, license, rule (its identifiers), run_start (number, from 0,
     of the sentence that begins the run of known sentences), place (of the match among those of the run),
@@ -115,8 +120,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     sentences give no row; repeated rows give theirs again. Sentences are met with a fixed table of a few
     dozen; what is grouped afterwards is one run of one document."""
     spark = docs.sparkSession
-    known = spark.createDataFrame(known_sentences(), "sentence string, sid string")
-    rules = spark.createDataFrame([(_rule_text(ids), name, len(ids)) for ids, name in RULES], "rule string, license string, sentences int")
+    known = _fixed(spark, known_sentences(), ["sentence", "sid"])
+    rules = _fixed(spark, [(_rule_text(ids), name, len(ids)) for ids, name in RULES], ["rule", "license", "sentences"])
     text = F.regexp_replace(F.col(text_col), MARKS, "\n")
     text = F.regexp_replace(text, WRAP, " $1")
     text = F.regexp_replace(text, STOP, BREAK)
