@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skycal.llm import licenses, packing, simhash, vectors, warc
+from skycal.llm import licenses, packing, simhash, toxicity, vectors, warc
 from skycal.llm.shared import table
 
 
@@ -40,6 +40,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"), 0.98).withColumnRenamed("component", "component_id")
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_licenses": op3_licenses,
     "op7_warc": op7_warc,
     "op8_simhash": op8_simhash,
+    "op9_toxicity": op9_toxicity,
     "op10_near_vectors": op10_near_vectors,
 }
 
