@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skycal.llm import licenses, packing, simhash, toxicity, vectors, warc
+from skycal.llm import language, licenses, packing, simhash, toxicity, vectors, warc
 from skycal.llm.shared import table
 
 
@@ -19,6 +19,10 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -51,6 +55,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_licenses": op3_licenses,
+    "op4_language": op4_language,
     "op7_warc": op7_warc,
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
