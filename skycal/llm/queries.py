@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skycal.llm import language, licenses, packing, quality, simhash, toxicity, vectors, warc
+from skycal.llm import decontamination, language, licenses, packing, quality, simhash, toxicity, vectors, warc
 from skycal.llm.shared import table
 
 
@@ -23,6 +23,11 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "overlap", "cosine", "answer_found", "at")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.withColumn("kept", F.col("score") >= 0.5)
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_licenses": op3_licenses,
     "op4_language": op4_language,
+    "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
     "op7_warc": op7_warc,
     "op8_simhash": op8_simhash,

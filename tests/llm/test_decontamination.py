@@ -1,0 +1,97 @@
+import random
+
+import numpy as np
+
+from skycal.llm import decontamination as dec
+
+DOCS = "doc_id bigint, text string, h string, words int, item_id int"
+ITEMS = "item_id bigint, text string, h int"
+
+
+def word(rng):
+    return "".join(rng.choice("abdeghilnorté") for _ in range(rng.randint(2, 8)))
+
+
+def made(seed=1):
+    rng = random.Random(seed)
+    common = [word(rng) for _ in range(40)]
+    prose = lambda n: [rng.choice(common) if rng.random() < 0.4 else word(rng) for _ in range(n)]
+    items = [(k, prose(rng.choice([6, 12, 18, 30, 45, 60, 130]))) for k in range(40)]
+    docs, truth = [], set()
+    for k in range(500):
+        words = prose(rng.randint(10, 400))
+        if k % 5 == 0:
+            i, own = rng.choice(items)
+            at = rng.randrange(len(words))
+            if k % 10 == 0:        # as it is, or shouted
+                put = own if k % 20 else [w.upper() for w in own]
+                truth.add((k, i))
+            else:                  # a short piece, which tells nothing
+                put = own[: len(own) // 4]
+            words[at:at] = put
+        docs.append((k, " ".join(words) + ".", "x", 1, 2))
+    return docs, [(i, " ".join(w), 1) for i, w in items], truth
+
+
+def test_lcs():
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        a, b = rng.integers(0, 6, rng.integers(1, 64)).astype(np.uint16), rng.integers(0, 6, rng.integers(0, 90)).astype(np.uint16)
+        row = [0] * (len(b) + 1)
+        for x in a:
+            old = row[:]
+            for j, y in enumerate(b):
+                row[j + 1] = old[j] + 1 if x == y else max(old[j + 1], row[j])
+        assert dec.lcs(a, b) == row[-1]
+
+
+def test_finds_what_is_planted_and_nothing_else(spark):
+    docs, items, truth = made()
+    got = dec.contaminated(spark.createDataFrame(docs, DOCS).repartition(3), spark.createDataFrame(items, ITEMS)).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == truth
+    assert all(r.overlap >= 0.99 and r.cosine >= dec.CANDIDATE for r in got)
+
+
+def test_paraphrases_need_the_answer(spark):
+    rng = random.Random(3)
+    docs, _, _ = made(2)
+    question, answer, other = [word(rng) for _ in range(24)], [word(rng) for _ in range(6)], [word(rng) for _ in range(80)]
+    item = " ".join(question) + "? " + " ".join(answer) + "."
+    turned = [w if k % 3 else word(rng) for k, w in enumerate(question)]
+    docs += [(9001, " ".join(other[:40] + turned + answer + other[40:]), "x", 1, 2), (9002, " ".join(other[:40] + question[:22] + other[40:]), "x", 1, 2)]
+    got = {r.doc_id: r for r in dec.contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame([(7, item, 1)], ITEMS)).collect()}
+    assert set(got) == {9001} and got[9001].answer_found and got[9001].overlap < dec.SURE
+
+
+def test_decomposition_is_close_to_the_exact_one(spark):
+    rng = random.Random(4)
+    topics = [[word(rng) for _ in range(12)] for _ in range(10)]
+    docs = [(k, " ".join(rng.choice(topics[k % 10]) if rng.random() < 0.8 else word(rng) for _ in range(160)), "x", 1, 2) for k in range(300)]
+    tokens = dec.tokenised(spark.createDataFrame(docs, DOCS))
+    idf = dec.inverse_frequencies(tokens)
+    rows = [bytes(r.words) for r in tokens.collect()]
+    term, passage = dec._terms(rows)
+    matrix = np.zeros((passage[-1] + 1, dec.TERMS))
+    np.add.at(matrix, (passage, term), 1)
+    assert np.allclose(idf, np.maximum(np.log((len(matrix) + 1) / ((matrix > 0).sum(axis=0) + 1)) - 1, 0))
+    matrix *= idf
+    found = dec.right_singular_vectors(tokens, idf, rank=12)
+    basis, _ = np.linalg.qr(found)
+    exact = np.linalg.svd(matrix, compute_uv=False)
+    held = np.linalg.norm(matrix @ basis) ** 2
+    assert held >= 0.9 * (exact[:12] ** 2).sum() and np.allclose(found.T @ found, np.diag(np.diag(found.T @ found)), atol=1e-8)
+
+
+def test_odd_rows(spark, monkeypatch):
+    docs, items, _ = made(5)
+    text = items[3][1]
+    odd = [(None, text, "x", 1, 2), (1001, None, "x", 1, 2), (1002, "", "x", 1, 2), (1003, text, "x", 1, 2), (1003, text, "x", 1, 2),
+           (1004, "filler words " * 60_000 + text, "x", 1, 2)]
+    items += [(100, None, 1), (101, "", 1), (102, "too short", 1), (None, text, 1), (3, text, 1)]
+    monkeypatch.setattr(dec, "ITEM_BLOCK", 15)
+    got = dec.contaminated(spark.createDataFrame(docs[:40] + odd, DOCS), spark.createDataFrame(items, ITEMS)).collect()
+    pairs = [(r.doc_id, r.item_id) for r in got]
+    assert pairs.count((1003, 3)) in (2, 4) and (None, 3) in pairs and (1004, 3) in pairs and (1003, None) in pairs
+    assert not {r.doc_id for r in got} & {1001, 1002} and not {r.item_id for r in got} & {100, 101, 102}
+    d, i = spark.createDataFrame([], DOCS), spark.createDataFrame([], ITEMS)
+    assert dec.contaminated(d, spark.createDataFrame(items, ITEMS)).collect() == [] == dec.contaminated(spark.createDataFrame(docs[:5], DOCS), i).collect()
