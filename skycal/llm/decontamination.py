@@ -231,7 +231,7 @@ class Retrieval:
                 answered = lcs(item.answer, around) >= ANSWER * len(item.answer)
                 if (overlap >= SURE or answered) and (overlap, cosine) > best.get(item.item_id, (0, 0, 0))[:2]:
                     best[item.item_id] = (overlap, cosine, answered, at)
-        return [(i, *b) for i, b in sorted(best.items())]
+        return [(i, *b) for i, b in best.items()]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
