@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skycal.llm import decontamination, language, licenses, packing, quality, simhash, toxicity, vectors, warc
+from skycal.llm import decontamination, language, licenses, packing, quality, simhash, substrings, toxicity, vectors, warc
 from skycal.llm.shared import table
 
 
+def op1_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substrings": op1_substrings,
     "op2_packing": op2_packing,
     "op3_licenses": op3_licenses,
     "op4_language": op4_language,
