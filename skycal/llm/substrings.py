@@ -20,8 +20,8 @@ from skycal.llm.shared import Store
 from skycal.llm.suffixes import repeated
 
 LENGTH = 400           # bytes
-CHUNK = 4 << 20        # bytes of documents that are anchored at once
-SHARD = 4 << 20        # bytes of contexts whose suffixes are sorted together, at least one anchor's
+CHUNK = 1 << 20        # bytes of documents that are anchored at once
+SHARD = 2 << 20        # bytes of contexts whose suffixes are sorted together, at least one anchor's
 HOT = 4096             # distinct contexts of an anchor; beyond, its starts are told apart by their whole strings
 _BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
 _ROW = "k1 bigint, k2 bigint"
@@ -99,35 +99,33 @@ def anchors(texts: list[bytes], length: int = LENGTH) -> Iterator[tuple[int, int
            first - (ends - sizes)[owner[first]], count)
 
 
-def _batches(batches, column: int) -> Iterator[tuple[list, list]]:
-    """(rows of the other columns, texts) of about CHUNK bytes together; a longer text comes alone."""
+def _batches(batches, length: int) -> Iterator[tuple[list[tuple], list[bytes]]]:
+    """((k1, k2, place), bytes) of about CHUNK bytes together. Parts of a longer text overlap, so that each start has
+    its whole string in one of them."""
     rows, texts, size = [], [], 0
     for batch in batches:
-        others = list(zip(*(c.to_pylist() for j, c in enumerate(batch.columns) if j != column)))
-        for row, text in zip(others, batch.column(column)):
-            text = text.as_py() or b""
-            if size + len(text) > CHUNK and texts:
-                yield rows, texts
-                rows, texts, size = [], [], 0
-            rows.append(row)
-            texts.append(text)
-            size += len(text)
+        for k1, k2, text in zip(*batch.columns):
+            k1, k2, text = k1.as_py(), k2.as_py(), text.as_py() or b""
+            for at in range(0, max(len(text) - length + 1, 1), CHUNK):
+                part = text[at:at + CHUNK + length - 1]
+                rows.append((k1, k2, at))
+                texts.append(part)
+                size += len(part)
+                if size >= CHUNK:
+                    yield rows, texts
+                    rows, texts, size = [], [], 0
     if texts:
         yield rows, texts
 
 
-def _long(parts: list[np.ndarray]) -> pa.Array:
-    return pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64())
-
-
 def _anchored(length: int):
     names = ["k1", "k2", "anchor", "c1", "c2", "first", "count"]
 
     def run(batches):
-        for rows, texts in _batches(batches, 2):
+        for rows, texts in _batches(batches, length):
             keys = np.array(rows, np.int64)
             for own, anchor, c1, c2, first, count in anchors(texts, length):
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(a), pa.int64()) for a in (keys[own, 0], keys[own, 1], anchor, c1, c2, first, count)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(a), pa.int64()) for a in (keys[own, 0], keys[own, 1], anchor, c1, c2, first + keys[own, 2], count)], names=names)
 
     return run
 
@@ -135,16 +133,25 @@ def _anchored(length: int):
 def _cut_out(length: int):
     """Bytes of the contexts that a document stands for."""
 
+    names = ["anchor", "c1", "c2", "times", "distinct", "context"]
+
+    def told(out):
+        cols = list(zip(*out)) if out else [()] * 6
+        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:5]), pa.array(cols[5], pa.binary())], names=names)
+
     def run(batches):
         for batch in batches:
-            out = []
-            for text, wanted in zip(batch.column("text"), batch.column("wanted").to_pylist()):
+            out, size = [], 0
+            for text, wanted in zip(batch.column("text"), batch.column("wanted")):
                 data = text.as_py()
                 for w in wanted:
+                    w = w.as_py()
                     out.append((w["anchor"], w["c1"], w["c2"], w["times"], w["distinct"], data[w["first"]:w["first"] + w["count"] - 1 + length]))
-            cols = list(zip(*out)) if out else [()] * 6
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:5]), pa.array(cols[5], pa.binary())],
-                                             names=["anchor", "c1", "c2", "times", "distinct", "context"])
+                    size += len(out[-1][5])
+                    if size >= CHUNK:
+                        yield told(out)
+                        out, size = [], 0
+            yield told(out)
 
     return run
 

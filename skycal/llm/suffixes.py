@@ -153,7 +153,7 @@ def _ranks(names: np.ndarray, span: int, most: int) -> np.ndarray:
     return _ranks(new, 2 * span, most)
 
 
-def repeated(strings: list[bytes], length: int, memory: int = 64 << 20) -> list[np.ndarray]:
+def repeated(strings: list[bytes], length: int, memory: int = 32 << 20) -> list[np.ndarray]:
     """For each string, which of its places begin `length` bytes that begin somewhere else in the strings, too.
 
     Suffixes are sorted by induction: the leftmost smaller ones first, by names of their pieces, then the larger
