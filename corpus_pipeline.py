@@ -4,11 +4,68 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from skycal.llm import decontamination, packing, quality, simhash, substrings
 from skycal.llm.shared import Store, table
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+REPEAT_BYTES = 300     # a passage of some fifty words
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier does not reject."""
+    return quality.kept(docs, table(spark, sf_dir, "labels"))
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of every group of linked fingerprints, once. Rows without an id stay: none
+    can be told from another."""
+    found = simhash.near_duplicates(docs.select("doc_id", "text"))
+    first = found.where("doc_id = component").select("doc_id").distinct()
+    named = docs.where("doc_id IS NOT NULL").withColumn("_text", F.xxhash64("text"))
+    return named.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "_text"]).select(*docs.columns).union(
+        docs.where("doc_id IS NULL"))
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, less the passages of REPEAT_BYTES or more that occur twice; n_chars is counted anew. What a cut
+    through a character leaves of it goes too."""
+    store = Store(spark, "pipeline-repeats")
+    rows = substrings.keyed(docs, "doc_id", "text").select("k1", "k2", "text")
+    spans = substrings.repeats(rows, store, REPEAT_BYTES)
+    text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    joined = docs.withColumn("_k1", F.xxhash64(text)).withColumn("_k2", F.xxhash64("doc_id", F.length(text))).join(
+        spans.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("spans").alias("_spans")), ["_k1", "_k2"], "left")
+    names = docs.columns
+
+    def run(batches):
+        for batch in batches:
+            texts = []
+            for value, spans in zip(batch.column("text"), batch.column("_spans")):
+                value, spans = value.as_py(), spans.as_py()
+                texts.append(substrings.without(value.encode(), substrings.merged(spans)).decode("utf-8", "ignore") if spans else value)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names], names=names)
+
+    return joined.select(*names, "_spans").mapInArrow(run, docs.schema).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold or paraphrase no benchmark item. Equal texts share their fate, so ids may repeat or lack."""
+    leaks = decontamination.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    hit = leaks.select(F.col("h").alias("_h")).distinct()
+    return docs.withColumn("_h", F.xxhash64("text")).join(hit, "_h", "left_anti").select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, placed in sequences of 1024 tokens."""
+    return packing.pack(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", good_quality), ("near-copies", one_of_near_copies), ("repeats", without_repeats), ("benchmarks", without_benchmarks), ("packing", packed)]
 
 #: The stages train models, sort suffixes and decompose matrices, none of which SQL expresses.
 ORACLE_SQL = None
