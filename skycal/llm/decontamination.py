@@ -5,8 +5,8 @@ longest common subsequences and answers tell leaks and paraphrases from chance."
 from __future__ import annotations
 
 import re
-import zlib
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,32 +29,53 @@ ANSWER = 0.9           # share of the answer that has to be there
 LEAST_WORDS = 5        # items below are too short to be told from chance
 CHUNK = 1 << 15        # words of a text that are projected at once
 ITEM_BLOCK = 20_000    # items that one pass looks for
+_BASE = 0x9E3779B97F4A7C15
 _FOLD = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
 
-class _Words(dict):
-    """Hash of every word met; emptied when it grows large."""
+_PART = 1 << 20        # bytes of a text whose words are hashed at once
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        value = self[word] = zlib.crc32(word) % WORD_IDS
-        return value
+
+@cache
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        p = np.full(2 * _PART, base, np.uint64)
+        p[0] = 1
+        out.append(np.multiply.accumulate(p))
+    return out[0], out[1]
+
+
+def _hashed(data: np.ndarray) -> np.ndarray:
+    """16 bits of a polynomial hash of every word of some folded bytes, by prefix sums."""
+    edge = np.flatnonzero(np.diff(data != 32, prepend=False, append=False))
+    start, end, (up, down) = edge[::2], edge[1::2], _powers()
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data + np.uint64(7)) * up[: len(data)], out=sums[1:])
+    value = (sums[end] - sums[start]) * down[start]
+    value = (value ^ (value >> np.uint64(32))) * np.uint64(_BASE)
+    return (value >> np.uint64(48)).astype(np.uint16)
 
 
-def word_ids(text: bytes | None, known: _Words | None = None) -> np.ndarray:
+def word_ids(text: bytes | None) -> np.ndarray:
     """Words are runs of letters and digits of a lowered text; every byte from 128 on counts as a letter."""
-    words, known = (text or b"").translate(_FOLD).split(), known if known is not None else _Words()
-    return np.fromiter(map(known.__getitem__, words), np.uint16, len(words))
+    folded, parts, at = (text or b"").translate(_FOLD), [], 0
+    while at < len(folded):
+        end = at + _PART if at + _PART < len(folded) else len(folded)
+        if end < len(folded):
+            cut = folded.rfind(b" ", at, end)
+            end = cut if cut > at else end
+        parts.append(_hashed(np.frombuffer(folded, np.uint8, end - at, at)))
+        at = end
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint16)
 
 
 def tokenised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, h: hash of the text, words: two bytes each) of every document."""
 
     def run(batches):
-        known = _Words()
         for batch in batches:
-            words = [word_ids(t, known).tobytes() for t in batch.column(2).to_pylist()]
+            words = [word_ids(t).tobytes() for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(words, pa.binary())], names=[id_col, "h", "words"])
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -95,8 +116,13 @@ def inverse_frequencies(tokens: DataFrame) -> np.ndarray:
         for rows in _some(batches):
             term, passage = _terms(rows)
             if len(term):
-                both = np.unique(passage * TERMS + term)
-                total[:TERMS] += np.bincount(both % TERMS, minlength=TERMS)
+                # one row of words for each passage, sorted: a term counts where it differs from the one before
+                square = np.full((passage[-1] + 1, PASSAGE), TERMS, np.uint16)
+                begins = np.flatnonzero(np.diff(passage, prepend=-1))
+                square[passage, np.arange(len(term)) - begins[passage]] = term
+                square.sort(axis=1)
+                new = np.diff(square, axis=1, prepend=np.uint16(TERMS + 1)) != 0
+                total[:TERMS] += np.bincount(square[new], minlength=TERMS + 1)[:TERMS]
                 total[TERMS] += passage[-1] + 1
         k = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(total[k])], names=["k", "n"])
@@ -200,16 +226,20 @@ class Retrieval:
         for item in items:
             by[next((w for w in WINDOWS if 4 * len(item.words) <= 5 * w), WINDOWS[-1])].append(item)
         unit = lambda v: v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
-        return cls(by, table, {w: unit(np.stack([table[i.words % TERMS].sum(axis=0) for i in own])) for w, own in by.items() if own})
+        return cls(by, np.append(table, np.zeros((1, table.shape[1]), np.float32), axis=0), {w: unit(np.stack([table[i.words % TERMS].sum(axis=0) for i in own])) for w, own in by.items() if own})
 
     def candidates(self, words: np.ndarray):
         """(window size, number in it of an item, first word, cosine) of all passages close to an item."""
         step, k = min(self.vectors) // 2, self.table.shape[1]
         for at in range(0, max(len(words) - WINDOWS[-1] // 2, 1), CHUNK):
-            own = words[at:at + CHUNK + WINDOWS[-1]]
+            own = words[at:at + CHUNK + WINDOWS[-1]] % TERMS
             if not len(own):
                 return
-            sums = np.add.reduceat(self.table[own % TERMS], np.arange(0, len(own), step), axis=0)
+            # sums of `step` words; what is missing at the end is a word without weight
+            square = np.append(own, np.full(-len(own) % step, TERMS, np.uint16)).reshape(-1, step)
+            sums = self.table[square[:, 0]]
+            for j in range(1, step):
+                sums += self.table[square[:, j]]
             total = np.concatenate([np.zeros((1, k)), np.cumsum(sums, axis=0, dtype=np.float64)])
             for w, vectors in self.vectors.items():
                 n = w // step
