@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from skycal.functions import names
 from skycal.functions.numeric import nan_to_null
 from skycal.functions.sky import ra_wrap
-from skycal.operators.skew import BROADCAST_KEYS
 
 APERTURES = 12
 
@@ -53,14 +52,11 @@ def attach_to_matches(matched: DataFrame, images: DataFrame) -> DataFrame:
     return names.merge_keep_left(names.suffix_columns(meta, "_2"), matched, ["FILENAME_2"])
 
 
-def of_images(objects: DataFrame, images: DataFrame, known: int) -> DataFrame:
-    """Objects of the listed images. With few enough images (known is their number) this is a broadcast
-    filter at the scan; with a whole survey it would only add a shuffle, and the metadata join that
-    follows keeps to the same images anyway."""
-    if known > BROADCAST_KEYS:
-        return objects
+def of_images(objects: DataFrame, images: DataFrame) -> DataFrame:
+    """Objects of the listed images. A semi join whatever their number; its size at run time decides whether the
+    list is sent to the scan."""
     listed = images.select(names.base_name(F.col("FILEPATH")).alias("FILENAME"))
-    return objects.join(F.broadcast(listed), "FILENAME", "left_semi")
+    return objects.join(listed, "FILENAME", "left_semi")
 
 
 def missing_catalogs(objects: DataFrame, images: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skycal.operators.skew import broadcast_if_short
 
 # Float noise guard: values this close to the mean, relative to it, never count as outliers.
 # A group of equal values has zero deviation but a mean that may be off in its last digit.
@@ -24,12 +23,12 @@ def flag_outliers(df: DataFrame, keys: list[str], value: str, nsigma: float = 3.
         F.col(value), F.avg(value).over(group), F.stddev_samp(value).over(group), nsigma))
 
 
-def flag_outliers_of_hot_groups(df: DataFrame, keys: list[str], value: str, groups: int, nsigma: float = 3.0,
+def flag_outliers_of_hot_groups(df: DataFrame, keys: list[str], value: str, nsigma: float = 3.0,
                                 name: str = "Outlier") -> DataFrame:
-    """The same flag for few huge groups: their statistics are aggregated with map-side combine and
-    joined back, one row per group, by broadcast unless there are too many, so the rows stay where they are."""
+    """The same flag for few huge groups: their statistics are aggregated with map-side combine and joined back, one
+    row per group."""
     stats = df.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_std"))
-    flagged = df.join(broadcast_if_short(stats, groups), keys).withColumn(
+    flagged = df.join(stats, keys).withColumn(
         name, is_outlier(F.col(value), F.col("_mean"), F.col("_std"), nsigma))
     return flagged.drop("_mean", "_std")
 
@@ -40,13 +39,12 @@ def sigma_clip(df: DataFrame, keys: list[str], value: str, nsigma: float = 3.0,
 
     The last pass's flags stay in column Outlier and remove nothing unless apply_last is set, so the
     default of three passes removes twice. The windows of all passes and a later aggregate on the same
-    keys share one shuffle and one sort. For groups too large for a window, hot_groups gives their number
-    and they are clipped by aggregate and join. Rows with a NULL key belong to no group."""
+    keys share one shuffle and one sort. Groups too large for a window (hot_groups of them) are clipped by aggregate and join. Rows with a NULL key belong to no group."""
     for k in keys:
         df = df.where(F.col(k).isNotNull())
     for i in range(passes):
         if i:
             df = df.where(~F.col("Outlier")).drop("Outlier")
-        df = (flag_outliers_of_hot_groups(df, keys, value, hot_groups, nsigma) if hot_groups
+        df = (flag_outliers_of_hot_groups(df, keys, value, nsigma) if hot_groups
               else flag_outliers(df, keys, value, nsigma))
     return df.where(~F.col("Outlier")) if apply_last else df

@@ -13,11 +13,11 @@ _ROW_BITS = 33     # monotonically_increasing_id keeps the row number of a parti
 def running_id(df: DataFrame, order: list, name: str = "MATCHID") -> DataFrame:
     """Number rows 1, 2, ... in the given order.
 
-    The rows are range-partitioned and sorted, numbered inside each partition, and written; a
-    cumulative sum over one count per partition then gives each partition its offset. Writing first
-    makes the numbering safe: partition bounds come from a sample, so the ordered rows must not be
-    computed a second time. Full copies of a row are spread by their place in the input table."""
-    source = materialize(df, "unordered").withColumn("_copy", F.monotonically_increasing_id())
+    The rows are range-partitioned and sorted, numbered inside each partition, and written, once; a cumulative sum
+    over one count per partition then gives each partition its offset. The numbers are those of this one
+    write, so it does not matter that partition bounds come from a sample. Rows that are equal in the order, full
+    copies among them, are spread over partitions by their place in the input."""
+    source = df.withColumn("_copy", F.monotonically_increasing_id())
     order = [*order, F.col("_copy")]
     placed = (
         source.repartitionByRange(*order).sortWithinPartitions(*order).drop("_copy")

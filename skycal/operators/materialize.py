@@ -18,7 +18,9 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_folders.setdefault(context.applicationId, tempfile.mkdtemp(prefix="skycal-"))
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="skycal-")
+    return _local_folders[context.applicationId]
 
 
 def materialize(df: DataFrame, label: str = "cut") -> DataFrame:

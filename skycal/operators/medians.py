@@ -1,82 +1,118 @@
-"""Exact medians, for ordinary groups in one aggregate and for huge groups without gathering them."""
+"""Exact medians, for ordinary groups in one pass over sorted rows and for huge groups without gathering them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skycal.operators.skew import HOT_ROWS, broadcast_if_short, split_hot
+from skycal.operators.materialize import materialize
+from skycal.operators.skew import split_hot
 
 # Quantiles whose approximate values cut a group into buckets, narrow around the middle.
 _CUTS = [0.25, 0.45, 0.49, 0.499, 0.4995, 0.5005, 0.501, 0.51, 0.55, 0.75]
 _ACCURACY = 10_000
 
+# Distinct values of one bucket that are put in order by one task.
+BUCKET_VALUES = 1_000_000
 
-def median_of_large_groups(df: DataFrame, keys: list[str], value: str, groups: int = 1,
-                           name: str = "median") -> DataFrame:
-    """Exact median of value per key for groups of any size; groups is their number, which decides
-    whether per-group results may be broadcast to the rows.
 
-    A mergeable quantile sketch proposes bucket edges; exact counts per bucket then say in which
-    bucket the two middle ranks are, and only that bucket's distinct values are ordered. The sketch
-    only decides how small that bucket is (about a thousandth of the group), never the result.
-    Every shuffle carries partial aggregates: sketches, bucket counts, one bucket's values."""
+def _middle_buckets(rows: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with the bucket _b of their _x, and per group the one or two buckets that hold the ranks _first to
+    _second, with _below: how many rows of the group come before the bucket."""
+    edges = rows.groupBy(*by).agg(F.percentile_approx("_x", _CUTS, _ACCURACY).alias("_edges"))
+    bucketed = rows.join(edges, by).withColumn("_b", F.size(F.filter("_edges", lambda e: e <= F.col("_x")))).drop("_edges")
+    running = Window.partitionBy(*by).orderBy("_b")          # at most len(_CUTS) + 1 rows per group
+    middle = (
+        bucketed.groupBy(*by, "_b").agg(
+            F.count(F.lit(1)).alias("_c"), F.count_distinct("_x").alias("_values"), F.max("_first").alias("_f"), F.max("_second").alias("_s"))
+        .withColumn("_upto", F.sum("_c").over(running))
+        .where((F.col("_upto") >= F.col("_f")) & (F.col("_upto") - F.col("_c") < F.col("_s")))
+        .select(*by, "_b", (F.col("_upto") - F.col("_c")).alias("_below"), "_values")
+    )
+    return bucketed, middle
+
+
+def median_of_large_groups(df: DataFrame, keys: list[str], value: str, name: str = "median",
+                           bucket_values: int | None = None) -> DataFrame:
+    """Exact median of value per key for groups of any size.
+
+    A mergeable quantile sketch proposes bucket edges; exact counts per bucket then say in which bucket the two middle
+    ranks are. A bucket of more than bucket_values distinct values is cut again in the same way, as often as needed;
+    then only its distinct values are ordered. Sketches decide how fast buckets shrink, never the result. Every
+    shuffle carries partial aggregates: sketches, bucket counts, one bucket's values."""
+    limit = BUCKET_VALUES if bucket_values is None else bucket_values
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_x"))
     if not keys:
         rows = rows.withColumn("_all", F.lit(0))
     by = keys or ["_all"]
-
-    edges = rows.groupBy(*by).agg(
-        F.percentile_approx("_x", _CUTS, _ACCURACY).alias("_edges"), F.count(F.lit(1)).alias("_n"))
-    if keys:
-        bucketed = rows.join(broadcast_if_short(edges, groups), by)
-    else:       # one group: its edges and size are scalars
-        bucketed = rows.withColumns({c: edges.select(c).scalar() for c in ("_edges", "_n")})
-    bucketed = bucketed.withColumn("_b", F.size(F.filter("_edges", lambda e: e <= F.col("_x"))))
-
     # Ranks (n+1) div 2 and n div 2 + 1 are the middle row, or the two middle rows.
-    first, second = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
-    running = Window.partitionBy(*by).orderBy("_b")          # at most len(_CUTS) + 1 rows per group
-    middle = (
-        bucketed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"))
-        .withColumn("_upto", F.sum("_c").over(running))
-        .where((F.col("_upto") >= first) & (F.col("_upto") - F.col("_c") < second))
-        .select(*by, "_b", (F.col("_upto") - F.col("_c")).alias("_below"))
-    )
-    ordered = Window.partitionBy(*by, "_b").orderBy("_x")
+    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).select(
+        *by, F.floor((F.col("_n") + 1) / 2).alias("_first"), (F.floor(F.col("_n") / 2) + 1).alias("_second"))
+    rows = rows.join(sizes, by)
+    within = list(by)
+    while True:
+        bucketed, middle = _middle_buckets(rows, within)
+        middle = materialize(middle, "buckets")
+        largest = middle.agg(F.max("_values")).first()[0] or 0
+        part = bucketed.join(middle.drop("_values"), [*within, "_b"])
+        # ranks within the bucket; in the first or second of two buckets one of them lies outside
+        part = part.withColumns({"_first": F.col("_first") - F.col("_below"), "_second": F.col("_second") - F.col("_below")}).drop("_below")
+        level = f"_b{len(within)}"
+        rows, within = part.withColumnRenamed("_b", level), [*within, level]
+        if largest <= limit or largest <= 1:
+            break
+        rows = materialize(rows, "middle")
+    ordered = Window.partitionBy(*within).orderBy("_x")
     values = (
-        bucketed.join(broadcast_if_short(middle, 2 * groups), [*by, "_b"])
-        .groupBy(*by, "_b", "_x").agg(F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"),
-                                      F.max("_below").alias("_below"))
-        .withColumn("_upto", F.col("_below") + F.sum("_c").over(ordered))
+        rows.groupBy(*within, "_x").agg(F.count(F.lit(1)).alias("_c"), F.max("_first").alias("_first"), F.max("_second").alias("_second"))
+        .withColumn("_upto", F.sum("_c").over(ordered))
     )
-    covers = lambda rank: (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_c") < rank)
+    covers = lambda rank: (F.col("_upto") >= F.col(rank)) & (F.col("_upto") - F.col("_c") < F.col(rank))
     at = lambda rank: F.max(F.when(covers(rank), F.col("_x")))
-    return values.groupBy(*by).agg(((at(first) + at(second)) / 2.0).alias(name)).select(*keys, name)
+    return values.groupBy(*by).agg(((at("_first") + at("_second")) / 2.0).alias(name)).select(*keys, name)
 
 
 def grouped_medians(df: DataFrame, keys: list[str], columns: list[str], suffix: str = "_MEDIAN",
-                    hot_rows: int = HOT_ROWS) -> DataFrame:
+                    hot_rows: int | None = None) -> DataFrame:
     """Exact median of each column per key, for any number of groups of any size."""
-    ordinary, hot, groups = split_hot(df, keys, hot_rows)
+    ordinary, hot, _ = split_hot(df, keys, hot_rows)
     small = medians_in_one_pass(ordinary, keys, columns, suffix)
-    return small if hot is None else small.unionByName(medians_of_hot_groups(hot, keys, columns, groups, suffix))
+    return small if hot is None else small.unionByName(medians_of_hot_groups(hot, keys, columns, suffix))
+
+
+def first_of_each(df: DataFrame, keys: list[str], columns: list) -> DataFrame:
+    """One row per group of aggregates over it. Groups come one after the other in sorted rows, so a task keeps the
+    values of one group at a time; a hash aggregate would keep those of many."""
+    whole = Window.partitionBy(*keys)
+    numbered = df.select(*keys, *[c(whole) for c in columns], F.row_number().over(whole.orderBy(*keys)).alias("_row"))
+    return numbered.where("_row = 1").drop("_row")
 
 
 def medians_in_one_pass(df: DataFrame, keys: list[str], columns: list[str], suffix: str = "_MEDIAN") -> DataFrame:
-    return df.groupBy(*keys).agg(*[F.median(c).alias(c + suffix) for c in columns])
+    return first_of_each(df, keys, [lambda w, c=c: F.median(c).over(w).alias(c + suffix) for c in columns])
 
 
-def medians_of_hot_groups(hot: DataFrame, keys: list[str], columns: list[str], groups: int,
-                          suffix: str = "_MEDIAN") -> DataFrame:
+def medians_of_hot_groups(hot: DataFrame, keys: list[str], columns: list[str], suffix: str = "_MEDIAN") -> DataFrame:
     """All columns at once: (column, value) rows under a common routine, then back to columns."""
     if not columns:
         return hot.select(*keys).distinct()
-    long = hot.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("_column"), F.col(c).cast("double").alias("_value")) for c in columns
-    ])).alias("_cell")).select(*keys, "_cell.*")
-    med = median_of_large_groups(long, [*keys, "_column"], "_value", groups * len(columns), "_median")
-    wide = med.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("_column") == c, F.col("_median"))).alias(c + suffix) for c in columns])
+    # NULL keys are a group too, but never equal in the joins to come: they travel as a flag beside the key.
+    marked = [f"_null_{k}" for k in keys]
+    filled = hot.select(*[F.col(k).isNull().alias(m) for k, m in zip(keys, marked)], *[_some(hot, k) for k in keys], *[
+        F.col(c).cast("double").alias(f"_v{j}") for j, c in enumerate(columns)])
+    long = filled.select(*marked, *keys, F.explode(F.array(*[
+        F.struct(F.lit(j).alias("_column"), F.col(f"_v{j}").alias("_value")) for j in range(len(columns))
+    ])).alias("_cell")).select(*marked, *keys, "_cell.*")
+    med = median_of_large_groups(long, [*marked, *keys, "_column"], "_value", "_median")
+    wide = med.groupBy(*marked, *keys).agg(*[
+        F.max(F.when(F.col("_column") == j, F.col("_median"))).alias(c + suffix) for j, c in enumerate(columns)])
     # A group whose columns are all NULL has no median rows but is still a group.
-    return hot.select(*keys).distinct().join(wide, keys, "left")
+    groups = filled.select(*marked, *keys).distinct()
+    return groups.join(wide, [*marked, *keys], "left").select(
+        *[F.when(~F.col(m), F.col(k)).alias(k) for k, m in zip(keys, marked)], *[c + suffix for c in columns])
+
+
+def _some(df: DataFrame, key: str):
+    """The key, or any value of its type where it is NULL."""
+    kind = df.schema[key].dataType
+    return F.coalesce(F.col(key), F.lit("" if kind.typeName() == "string" else 0).cast(kind)).alias(key)

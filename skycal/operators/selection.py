@@ -14,6 +14,9 @@ MIN_ABS_GLAT = 10.0
 MIN_EXPTIME = 1.0
 FILETYPE = "fullcat"
 
+IMAGE_COLUMNS = ("expnum", "ccdnum", "band", "rac1", "decc1", "rac2", "decc2", "rac3", "decc3", "rac4", "decc4",
+                 "ra_cent", "dec_cent", "racmax", "racmin", "crossra0")
+
 Box = tuple[float, float, float, float]
 
 
@@ -52,9 +55,7 @@ def select_images(image: DataFrame, exposure: DataFrame, box: Box | None = None,
                   bands=BANDS) -> DataFrame:
     """Image footprints in a wanted band whose exposure lies in the region. The exposure only filters."""
     exp = _region(exposure, box, bounds).select("expnum")
-    return image.where(F.col("band").isin(*bands)).join(exp, "expnum", "left_semi").select(
-        "expnum", "ccdnum", "band", "rac1", "decc1", "rac2", "decc2", "rac3", "decc3", "rac4", "decc4",
-        "ra_cent", "dec_cent", "racmax", "racmin", "crossra0")
+    return image.where(F.col("band").isin(*bands)).join(exp, "expnum", "left_semi").select(*IMAGE_COLUMNS)
 
 
 def merge_selection(exposures: DataFrame, images: DataFrame, filepaths: DataFrame) -> DataFrame:
@@ -64,13 +65,21 @@ def merge_selection(exposures: DataFrame, images: DataFrame, filepaths: DataFram
     return names.merge_keep_left(up(exposures), img_file, ["EXPNUM"])
 
 
+def with_files(exposures: DataFrame, archive: DataFrame, image: DataFrame, bands=BANDS, filetype=FILETYPE) -> DataFrame:
+    """merge_selection in one pass over selected exposures: images meet their files by exposure and chip, and the
+    exposures, which filter both, are joined once."""
+    images = image.where(F.col("band").isin(*bands)).select(*IMAGE_COLUMNS)
+    files = archive.where(F.col("filetype") == filetype).select(
+        "expnum", "ccdnum", names.file_path(F.col("path"), F.col("filename"), F.col("compression")).alias("filepath"))
+    return merge_selection(exposures, images, files)
+
+
 def select_survey_images(exposure: DataFrame, archive: DataFrame, image: DataFrame, tiles: DataFrame,
                          **cuts) -> DataFrame:
     """Every catalogue file of every tile, in one plan; TILE is the exposure's tile."""
-    located = assign_tiles(exposure, tiles)
+    located = assign_tiles(usable_exposures(exposure, **cuts), tiles)
     exposures = select_exposures(located, extra=("tile",), **cuts)
-    return merge_selection(exposures, select_images(image, located, bands=cuts.get("bands", BANDS)),
-                           select_filepaths(archive, located, **cuts))
+    return with_files(exposures, archive, image, cuts.get("bands", BANDS))
 
 
 def in_pixels(df: DataFrame, pixels: DataFrame, column: str = "hpix") -> DataFrame:

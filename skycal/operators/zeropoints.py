@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +11,8 @@ from skycal.functions import photometry as phot
 from skycal.functions.numeric import nan_to_null, numeric_columns, require_columns
 from skycal.operators.clipping import sigma_clip
 from skycal.operators.materialize import materialize
-from skycal.operators.medians import median_of_large_groups, medians_of_hot_groups
-from skycal.operators.skew import HOT_ROWS, broadcast_if_short, split_hot
+from skycal.operators.medians import first_of_each, median_of_large_groups, medians_of_hot_groups
+from skycal.operators.skew import split_hot
 
 # Half-width in magnitudes of the window around the typical difference.
 WINDOW = 5.0
@@ -33,20 +35,19 @@ def quality_cut(mags: DataFrame) -> DataFrame:
 
 def median_window(rows: DataFrame, per: list[str], half_width: float = WINDOW) -> DataFrame:
     """Rows strictly within half_width of the median MAG_DIFF of their (tile, band).
-    There is one median per tile and band, of which the sky has about a thousand; their number is
-    checked, and they are computed once and kept, so the passes that follow only join them."""
-    groups = rows.select(*per).distinct().count() if per else 1
-    med = materialize(median_of_large_groups(rows, per, "MAG_DIFF", groups, "_med"), "median")
-    with_med = rows.join(broadcast_if_short(med, groups), per) if per else rows.withColumn("_med", med.scalar())
+    The medians, one per tile and band, are computed once and kept, so the passes that follow only join them."""
+    med = materialize(median_of_large_groups(rows, per, "MAG_DIFF", "_med"), "median")
+    with_med = rows.join(med, per) if per else rows.withColumn("_med", med.scalar())
     near = (F.col("MAG_DIFF") > F.col("_med") - half_width) & (F.col("MAG_DIFF") < F.col("_med") + half_width)
     return with_med.where(near).drop("_med")
 
 
-def zero_point_stats(value: str = "MAG_DIFF") -> list[Column]:
-    """Mean, deviation, count and the error of the mean with n-1; NULL error for a single row."""
-    n, std = F.count(value), F.stddev_samp(value)
+def zero_point_stats(value: str = "MAG_DIFF", over: Callable[[Column], Column] = lambda c: c) -> list[Column]:
+    """Mean, deviation, count and the error of the mean with n-1; NULL error for a single row. Aggregates, or the
+    same over a window."""
+    n, std = over(F.count(value)), over(F.stddev_samp(value))
     return [
-        F.avg(value).alias("MAG_ZERO_MEAN"),
+        over(F.avg(value)).alias("MAG_ZERO_MEAN"),
         std.alias("MAG_ZERO_STD"),
         F.when(n > 1, std / F.sqrt(n - 1)).alias("MAG_ZERO_MEAN_ERR"),
         n.alias("MAG_ZERO_NUM"),
@@ -54,28 +55,30 @@ def zero_point_stats(value: str = "MAG_DIFF") -> list[Column]:
 
 
 def clip_and_aggregate(rows: DataFrame, keys: list[str], medians: list[str], nsigma: float = 3.0,
-                       passes: int = 3, apply_last: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Clip per image and aggregate. Ordinary images take one shuffle: the windows, the statistics and
-    every median share it. Images beyond hot_rows rows never meet in one task."""
+                       passes: int = 3, apply_last: bool = False, hot_rows: int | None = None) -> DataFrame:
+    """Clip per image and aggregate. Ordinary images take one shuffle and one sort: the windows of the clip, the
+    statistics and every median share them, and a task holds one image at a time. Images beyond hot_rows
+    rows (by default so many that their cells are HOT_CELLS) never meet in one task."""
     ordinary, hot, groups = split_hot(rows, keys, hot_rows)
     ordinary = sigma_clip(ordinary, keys, "MAG_DIFF", nsigma, passes, apply_last)
     names = list(dict.fromkeys([*medians, "MAG_DIFF"]))
     last = [*keys, *[f"{c}_MEDIAN" for c in medians], F.col("MAG_DIFF_MEDIAN").alias("MAG_ZERO_MEDIAN"),
             "MAG_ZERO_MEAN", "MAG_ZERO_STD", "MAG_ZERO_MEAN_ERR", "MAG_ZERO_NUM"]
 
-    small = ordinary.groupBy(*keys).agg(
-        *[F.median(c).alias(f"{c}_MEDIAN") for c in names], *zero_point_stats())
+    small = first_of_each(ordinary, keys, [
+        *[lambda w, c=c: F.median(c).over(w).alias(f"{c}_MEDIAN") for c in names],
+        *[lambda w, k=k: zero_point_stats(over=lambda c: c.over(w))[k] for k in range(len(zero_point_stats()))]])
     if hot is None:
         return small.select(*last)
     hot = materialize(sigma_clip(hot, keys, "MAG_DIFF", nsigma, passes, apply_last, groups), "hot-clipped")
-    large = hot.groupBy(*keys).agg(*zero_point_stats()).join(medians_of_hot_groups(hot, keys, names, groups), keys)
+    large = hot.groupBy(*keys).agg(*zero_point_stats()).join(medians_of_hot_groups(hot, keys, names), keys)
     return small.select(*last).unionByName(large.select(*last))
 
 
 def zero_points(matched: DataFrame, band: str | Column, flux: str = "FLUX_APER_08_2",
                 fluxerr: str = "FLUXERR_APER_08_2", key: str = "FILENAME_2", median_per: list[str] | None = None,
                 all_medians: bool = True, nsigma: float = 3.0, passes: int = 3, apply_last: bool = False,
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+                hot_rows: int | None = None) -> DataFrame:
     """Zero points of every image in a matched frame.
 
     band is a band name, or a column with each row's band (rows of a band without a transform give

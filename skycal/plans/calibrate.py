@@ -7,20 +7,27 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skycal.operators.catalog import attach_to_matches, flatten_catalog, of_images
+from skycal.operators.catalog import attach_to_matches, flatten_catalog, missing_catalogs, of_images
 from skycal.operators.crossmatch import crossmatch
+from skycal.operators.matchid import match_ids
 from skycal.operators.materialize import materialize
-from skycal.operators.refcat import prune_reference
+from skycal.operators.refcat import missing_pixels, prune_reference
 from skycal.operators.selection import select_survey_images
 from skycal.operators.zeropoints import zero_points
 from skycal.sources.sinks import write_table
 
 
+# What orders reference stars at one position.
+STAR_ORDER = ["G", "R", "I", "Z", "DG", "DR", "DI", "DZ"]
+
+
 class Calibration(NamedTuple):
     images: DataFrame        # one row per catalogue file, with tile and metadata
     stars: DataFrame         # reference stars near those images
-    matched: DataFrame       # star columns _1, observation and image columns _2
+    matched: DataFrame       # MATCHID, star columns _1, observation and image columns _2
     zero_points: DataFrame   # one row per image
+    missing_catalogs: DataFrame   # files of those images without an object
+    missing_pixels: DataFrame     # pixels of those images without a reference star
 
 
 def _keep(df: DataFrame, store: str | None, name: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -43,8 +50,7 @@ def calibrate(exposure: DataFrame, archive: DataFrame, image: DataFrame, objects
     passing its result (images, matched) from an earlier run; store names a folder to keep them in,
     matches by band and tile.
 
-    The image table is written first: several steps read it, and its row count decides how it is
-    joined. Metadata is joined after the match, which depends on positions alone, so that the wide
+    The image table is written first, since several steps read it. Metadata is joined after the match, which depends on positions alone, so that the wide
     rows that find no star are shuffled once and not twice."""
     cuts = {} if bands is None else {"bands": tuple(bands)}
     if images is None:
@@ -52,9 +58,12 @@ def calibrate(exposure: DataFrame, archive: DataFrame, image: DataFrame, objects
         images = materialize(images, "images") if store is None else _keep(images, store, "images")
     stars = prune_reference(refcat, images)
     if matched is None:
-        observed = of_images(flatten_catalog(objects), images, images.count())
-        matched = attach_to_matches(crossmatch(stars, observed, tol_arcsec, pick), images)
+        observed = of_images(flatten_catalog(objects), images)
+        matched = attach_to_matches(crossmatch(stars, observed, tol_arcsec, pick, tie_break=STAR_ORDER), images)
+        # The running number goes by star and then observation, as a sorted match file has it.
+        matched = match_ids(matched, ["RA_WRAP_1", "DEC_1"], ["RA_WRAP_2", "DEC_2", "NUMBER_2", "FILENAME_2"])
         matched = _keep(matched, store, "matched", ["BAND_2", "TILE_2"])
     solved = zero_points(matched, F.col("BAND_2"), flux, fluxerr, median_per=["TILE_2", "BAND_2"],
                          all_medians=all_medians, **clip)
-    return Calibration(images, stars, matched, _keep(solved, store, "zero_points"))
+    return Calibration(images, stars, matched, _keep(solved, store, "zero_points"),
+                       missing_catalogs(flatten_catalog(objects), images), missing_pixels(refcat, images))

@@ -64,25 +64,24 @@ def match(order: str = "ra_wrap_1, dec_1, star_id", obs: str = "obs", stars: str
         ("pairs", PAIRS.format(obs=obs)),
         ("best", f"""SELECT obs_id, star_id, ra_wrap_1 FROM (SELECT *, row_number() OVER
           (PARTITION BY obs_id ORDER BY {order}) AS rn FROM pairs) AS p WHERE rn = 1"""),
-        ("matched", f"""SELECT b.star_id, b.ra_wrap_1, s.ra AS ra_1, s.dec AS dec_1, s.g, s.r, s.i, s.z,
+        ("matched", f"""SELECT row_number() OVER (ORDER BY b.ra_wrap_1, s.dec, b.star_id, {wrap('o.ra')}, o.dec, o.obs_id)
+            AS matchid, b.star_id, b.ra_wrap_1, s.ra AS ra_1, s.dec AS dec_1, s.g, s.r, s.i, s.z,
           s.dg, s.dr, s.di, s.dz, o.*
           FROM best AS b JOIN stars6 AS s ON b.star_id = s.star_id JOIN {obs} AS o ON b.obs_id = o.obs_id"""),
     ]
 
 
-# The survey's tiles, each box once under its smallest index.
-TILES = """SELECT min(idx) AS tile, ramin, ramax, decmin, decmax FROM (
-  SELECT b.first_idx + t.i AS idx, 360e0 - b.width*(t.i % b.strips) - b.width AS ramin,
-    360e0 - b.width*(t.i % b.strips) AS ramax, b.decmin, b.decmax
-  FROM (SELECT *, CAST(360/width AS BIGINT) AS strips FROM (VALUES
-    (0, -7.315642e0, 2.705224e0, 10, 1), (36, -15.82973e0, -7.315642e0, 12, 2),
-    (96, -24.72249e0, -15.82973e0, 12, 1), (126, -32.31536e0, -24.72249e0, 15, 1),
-    (150, -40.61207e0, -32.31536e0, 15, 1), (174, -47.57836e0, -40.61207e0, 20, 1),
-    (192, -55.63587e0, -47.57836e0, 20, 2), (228, -62.08519e0, -55.63587e0, 30, 1),
-    (240, -70.35988e0, -62.08519e0, 30, 1), (252, -90e0, -70.35988e0, 30, 1)
-  ) AS v(first_idx, decmin, decmax, width, copies)) AS b
-  JOIN (SELECT CAST(unnest(range(80)) AS BIGINT) AS i) AS t ON t.i < b.strips*b.copies
-) AS all_tiles GROUP BY ramin, ramax, decmin, decmax"""
+# The survey's tiles, each box once.
+TILES = """SELECT b.first_idx + t.i AS tile, 360e0 - b.width*t.i - b.width AS ramin, 360e0 - b.width*t.i AS ramax,
+    b.decmin, b.decmax
+  FROM (VALUES
+    (0, -7.315642e0, 2.705224e0, 10), (36, -15.82973e0, -7.315642e0, 12),
+    (96, -24.72249e0, -15.82973e0, 12), (126, -32.31536e0, -24.72249e0, 15),
+    (150, -40.61207e0, -32.31536e0, 15), (174, -47.57836e0, -40.61207e0, 20),
+    (192, -55.63587e0, -47.57836e0, 20), (228, -62.08519e0, -55.63587e0, 30),
+    (240, -70.35988e0, -62.08519e0, 30), (252, -90.0e0, -70.35988e0, 30)
+  ) AS b(first_idx, decmin, decmax, width)
+  JOIN (SELECT CAST(unnest(range(36)) AS BIGINT) AS i) AS t ON t.i < 360/b.width"""
 
 
 def in_tile(table: str, ra: str = "radeg", dec: str = "decdeg", columns: str = "e.*, t.tile") -> str:
@@ -93,13 +92,13 @@ def in_tile(table: str, ra: str = "radeg", dec: str = "decdeg", columns: str = "
 USABLE = """radeg IS NOT NULL AND decdeg IS NOT NULL AND abs(glat) > 10 AND exptime > 1
   AND band IN ('g', 'r', 'i', 'z')"""
 
-# band: (base, blue, red, slope, offset, error, lower limit, upper limit)
+# Fixed values. band: (base, blue, red, slope, offset, error, lower limit, upper limit)
 COLOUR = {
-    "g": ("g", "g", "r", "9.94e-2", "-7.6e-3", "dg", "-2e-1", "1.2e0"),
-    "r": ("r", "g", "r", "-1.335e-1", "1.89e-2", "dr", "-2e-1", "1.2e0"),
-    "i": ("i", "i", "z", "-3.407e-1", "2.6e-3", "di", "-2e-1", "3e-1"),
-    "z": ("z", "i", "z", "-2.575e-1", "-7.4e-3", "dz", "-2e-1", "3e-1"),
-    "Y": ("z", "i", "z", "-6.032e-1", "1.85e-2", "dz", "-2e-1", "3e-1"),
+    "g": ("g", "g", "r", "0.0994e0", "-0.0076e0", "dg", "-0.2e0", "1.2e0"),
+    "r": ("r", "g", "r", "-0.1335e0", "0.0189e0", "dr", "-0.2e0", "1.2e0"),
+    "i": ("i", "i", "z", "-0.3407e0", "0.0026e0", "di", "-0.2e0", "0.3e0"),
+    "z": ("z", "i", "z", "-0.2575e0", "-0.0074e0", "dz", "-0.2e0", "0.3e0"),
+    "Y": ("z", "i", "z", "-0.6032e0", "0.0185e0", "dz", "-0.2e0", "0.3e0"),
 }
 MAG_OBS = "CASE WHEN flux > 0 THEN -2.5e0*log10(flux) WHEN flux = 0 THEN CAST('inf' AS DOUBLE) END"
 

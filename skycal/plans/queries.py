@@ -4,6 +4,7 @@ that must give the same rows."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,7 +84,7 @@ def img_file_merge(spark, d):
   FROM ({EXPOSURES_SQL}) AS e JOIN ({IMAGES_SQL}) AS i ON e.expnum = i.expnum
   JOIN ({FILEPATHS_SQL}) AS p ON i.expnum = p.expnum AND i.ccdnum = p.ccdnum"""))
 def exp_img_file_merge(spark, d):
-    merged = selection.merge_selection(select_exposures(spark, d), select_images(spark, d), select_filepaths(spark, d))
+    merged = selection.with_files(select_exposures(spark, d), table(spark, d, "archive"), table(spark, d, "image"))
     return merged.select("EXPNUM", "EXPRA", "EXPDEC", "BAND", "FIELD", "PROGRAM", "CCDNUM", "RA_CENT", "FILEPATH")
 
 
@@ -177,7 +178,7 @@ def tile_area(spark, d):
     areas = boxes.select(F.col("index").alias("tile"), area.alias("area"))
     counts = tiles.assign_tiles(table(spark, d, "exposure"), boxes).groupBy("tile").agg(
         F.count(F.lit(1)).alias("n_exposures"))
-    return counts.join(F.broadcast(areas), "tile").select(
+    return counts.join(areas, "tile").select(
         "tile", r6("area"), "n_exposures", r6(F.col("n_exposures") / F.col("area"), "per_sq_deg"))
 
 
@@ -196,7 +197,7 @@ def equal_area_tiles(spark, d):
     key = F.struct("decmin", "strip")
     placed = tiles.assign_tiles(table(spark, d, "exposure"), made.withColumn("index", key))
     counts = placed.groupBy("tile").agg(F.count(F.lit(1)).alias("n_exposures"))
-    return counts.select("tile.*", "n_exposures").join(F.broadcast(made), ["decmin", "strip"]).select(
+    return counts.select("tile.*", "n_exposures").join(made, ["decmin", "strip"]).select(
         r6("decmin"), "strip", r6("ramin"), r6("ramax"), "n_exposures")
 
 
@@ -210,8 +211,11 @@ def ra_limit(spark, d):
 
 @query(sql.with_tables(["image"], f"""SELECT hpix, count(*) AS n_points, count(DISTINCT expnum) AS n_exposures FROM
   ({sql.pixel_columns('grid', 64, 'ra', 'dec', 'hpix', 'expnum')}) AS g WHERE hpix IS NOT NULL GROUP BY hpix""", [
-    ("grid", """SELECT expnum, rac1 + (rac3-rac1)*floor(k/4e0)/3e0 AS ra, decc1 + (decc3-decc1)*(k % 4)/3e0 AS dec
-      FROM image JOIN (SELECT unnest(range(16)) AS k) AS ks ON TRUE""")]))
+    # Corners on both sides of RA 0 are brought to one side before the points between them are made.
+    ("sided", """SELECT expnum, decc1, decc3, CASE WHEN rac1 - rac3 > 180 THEN rac1 - 360 ELSE rac1 END AS left1,
+      CASE WHEN rac3 - rac1 > 180 THEN rac3 - 360 ELSE rac3 END AS left3 FROM image"""),
+    ("grid", """SELECT expnum, left1 + (left3-left1)*floor(k/4e0)/3e0 AS ra, decc1 + (decc3-decc1)*(k % 4)/3e0 AS dec
+      FROM sided JOIN (SELECT unnest(range(16)) AS k) AS ks ON TRUE""")]))
 def grid_cross(spark, d):
     grid = tiles.footprint_grid(table(spark, d, "image").where(F.col("rac1").isNotNull()),
                                 ("rac1", "rac3"), ("decc1", "decc3"), 4)
@@ -258,16 +262,16 @@ def healpix_center(spark, d):
 # ---- reference catalogue -------------------------------------------------------------------------------
 
 def _images(spark, d):
-    """Merged selection rows for the first tile bands of the sky, as the pruning step gets them."""
-    i = selection.select_images(table(spark, d, "image"), table(spark, d, "exposure"), (90.0, 270.0, -60.0, -20.0))
+    """Image rows of the whole sky, as the pruning step gets them."""
+    i = selection.select_images(table(spark, d, "image"), table(spark, d, "exposure"))
     return names.upper_columns(i)
 
 
 POINTS_SQL = """SELECT rac1 AS ra, decc1 AS dec FROM sel UNION ALL SELECT rac2, decc2 FROM sel
   UNION ALL SELECT rac3, decc3 FROM sel UNION ALL SELECT rac4, decc4 FROM sel UNION ALL SELECT ra_cent, dec_cent FROM sel"""
 PRUNE_CTES = [
-    ("sel", f"""SELECT {IMAGE_COLUMNS} FROM image AS i JOIN exposure AS e ON i.expnum = e.expnum WHERE radeg >= 90
-      AND radeg < 270 AND decdeg >= -60 AND decdeg < -20 AND i.band IN ('g', 'r', 'i', 'z')"""),
+    ("sel", f"""SELECT {IMAGE_COLUMNS} FROM image AS i JOIN exposure AS e ON i.expnum = e.expnum
+      WHERE i.band IN ('g', 'r', 'i', 'z')"""),
     ("points", POINTS_SQL),
     ("pixels", f"SELECT DISTINCT hpx8 FROM ({sql.pixel_columns('points', 8, 'ra', 'dec', 'hpx8')}) AS p WHERE hpx8 IS NOT NULL"),
     ("starpix", sql.pixel_columns("star", 8, "ra", "dec", "hpx8")),
@@ -298,9 +302,8 @@ def _vector_catalog(spark, d):
         (F.col("vec_id") % 360).cast("double").alias("ALPHAWIN_J2000"),
         (F.col("vec_id") % 180 - 90).cast("double").alias("DELTAWIN_J2000"),
         F.get("embedding", F.lit(60)).cast("double").alias("FLUX_PSF"), F.lit(1.0).alias("FLUXERR_PSF"),
-        F.slice("embedding", 1, 12).cast("array<double>").alias("FLUX_APER"),
-        # Shorter than twelve: the missing apertures must come out NULL.
-        F.slice("embedding", 57, 8).cast("array<double>").alias("FLUXERR_APER"),
+        F.col("embedding").cast("array<double>").alias("FLUX_APER"),
+        F.reverse("embedding").cast("array<double>").alias("FLUXERR_APER"),
         *[F.lit(1.0).alias(c) for c in ("CLASS_STAR", "SPREAD_MODEL", "SPREADERR_MODEL")], F.lit(0).alias("FLAGS"))
 
 
@@ -308,7 +311,7 @@ def _vector_catalog(spark, d):
        + "CAST(vec_id % 360 AS DOUBLE) AS \"RA\", "
        + "CAST(CASE WHEN vec_id % 360 > 180 THEN vec_id % 360 - 360 ELSE vec_id % 360 END AS DOUBLE) AS \"RA_WRAP\", "
        + ", ".join(f"round(CAST(embedding[{k}] AS DOUBLE), 6) AS \"FLUX_APER_{k:02d}\"" for k in range(1, 13)) + ", "
-       + ", ".join(f"round(CAST({f'embedding[{56 + k}]' if k <= 8 else 'NULL'} AS DOUBLE), 6) AS \"FLUXERR_APER_{k:02d}\""
+       + ", ".join(f"round(CAST(list_reverse(embedding)[{k}] AS DOUBLE), 6) AS \"FLUXERR_APER_{k:02d}\""
                    for k in range(1, 13)) + " FROM embeddings")
 def flatten_vectors(spark, d):
     flat = catalog.flatten_catalog(_vector_catalog(spark, d))
@@ -361,7 +364,7 @@ def attach_metadata(spark, d):
 @query(sql.with_tables(FIELD_TABLES, """SELECT DISTINCT filename AS "FILENAME" FROM images
   WHERE filename NOT IN (SELECT filename FROM obs)""", FIELD_SELECTION))
 def missing_catalogs(spark, d):
-    # The other derived sky's catalogues: none of the field images' files is among them.
+    # The other derived sky's catalogues: few of the field images' files are among them.
     _, images = _field_images(spark, d)
     return catalog.missing_catalogs(object_catalog(table(spark, d, "obs")), images)
 
@@ -510,7 +513,11 @@ ZP_OUT = """filename AS "FILENAME_2", round(mag_zero_median, 6) AS "MAG_ZERO_MED
 
 
 def _zp(spark, d, all_medians=False):
-    return zeropoints.zero_points(_matched(spark, d), "g", all_medians=all_medians)
+    matched = _matched(spark, d)
+    if all_medians:
+        matched = matched.withColumns({f"RA_WRAP_{k}": sky.ra_wrap(F.col(f"RA_{k}")) for k in (1, 2)})
+        matched = match_ids(matched, ["RA_WRAP_1", "DEC_1", "STAR_ID_1"], ["RA_WRAP_2", "DEC_2", "OBS_ID_2"])
+    return zeropoints.zero_points(matched, "g", all_medians=all_medians)
 
 
 def _zp_columns(zp, *more):
@@ -527,6 +534,7 @@ def zero_points(spark, d):
 
 
 MEDIANS = {
+    "MATCHID": "matchid",
     "STAR_ID_1": "star_id", "RA_1": "ra_1", "DEC_1": "dec_1", "G_1": "g", "R_1": "r", "I_1": "i", "Z_1": "z",
     "DG_1": "dg", "DR_1": "dr", "DI_1": "di", "DZ_1": "dz", "OBS_ID_2": "obs_id", "AGG_2": "agg", "RA_2": "ra",
     "DEC_2": "dec", "FLUX_APER_08_2": "flux", "FLUXERR_APER_08_2": "fluxerr", "FLUX_PSF_2": "flux_psf",
@@ -558,6 +566,11 @@ def zp_low_count(spark, d):
     return _zp_columns(qa.low_count(_zp(spark, d), below=qa.FEW))
 
 
+@_zp_query(f"SELECT {ZP_OUT} FROM zp WHERE mag_zero_num < 5")
+def zp_very_low_count(spark, d):
+    return _zp_columns(qa.low_count(_zp(spark, d), below=5))
+
+
 @_zp_query("""SELECT filename AS "FILENAME_2", ra_median AS "RA_1_MEDIAN", n AS "MAG_ZERO_NUM" FROM (
   SELECT filename, round(quantile_cont(ra_1, 0.5), 4) AS ra_median, quantile_cont(ra_1, 0.5) AS m,
     count(mag_diff) AS n FROM clip3 GROUP BY filename) AS x WHERE n < 30 AND m > 100""")
@@ -610,7 +623,7 @@ def hist_linear(spark, d):
 
 
 def _auto_sql(column: str, source: str) -> str:
-    return f"""SELECT CAST(b.k AS INTEGER) AS bin, round(m.lo+(m.hi-m.lo)/10*b.k, 6) AS lo,
+    return f"""SELECT '{column}' AS quantity, CAST(b.k AS INTEGER) AS bin, round(m.lo+(m.hi-m.lo)/10*b.k, 6) AS lo,
       round(m.lo+(m.hi-m.lo)/10*(b.k+1), 6) AS hi, coalesce(c.n, 0) AS n
       FROM (SELECT unnest(range(10)) AS k) AS b
       JOIN (SELECT min({column}) AS lo, max({column}) AS hi FROM {source}) AS m ON TRUE
@@ -619,19 +632,27 @@ def _auto_sql(column: str, source: str) -> str:
         GROUP BY 1) AS c ON c.k = b.k"""
 
 
-@query(sql.with_tables(["exposure"], _auto_sql("astrom_chi2", "exposure")))
+def _auto_both_sql(source: str) -> str:
+    return " UNION ALL ".join(f"SELECT * FROM ({_auto_sql(c, source)}) AS {c}_bins" for c in ("t_eff", "astrom_chi2"))
+
+
+def _auto_both(df):
+    one = lambda c: histograms.histogram_auto(df, c).select(F.lit(c).alias("quantity"), "bin", r6("lo"), r6("hi"), "n")
+    return one("t_eff").union(one("astrom_chi2"))
+
+
+@query(sql.with_tables(["exposure"], _auto_both_sql("exposure")))
 def hist_auto(spark, d):
-    return histograms.histogram_auto(table(spark, d, "exposure"), "astrom_chi2").select("bin", r6("lo"), r6("hi"), "n")
+    return _auto_both(table(spark, d, "exposure"))
 
 
 BAD = [("bad", "SELECT DISTINCT expnum FROM zpx WHERE mag_zero_num < 30"),
        ("flagged", "SELECT * FROM exposure WHERE expnum IN (SELECT expnum FROM bad)")]
 
 
-@query(sql.with_tables(["star", "obs", "exposure"], _auto_sql("t_eff", "flagged"), [*sql.zp_ctes(), *BAD]))
+@query(sql.with_tables(["star", "obs", "exposure"], _auto_both_sql("flagged"), [*sql.zp_ctes(), *BAD]))
 def hist_auto_flagged(spark, d):
-    flagged = qa.flagged_exposures(_exposures(spark, d), qa.low_count(_qa_zp(spark, d), qa.FEW))
-    return histograms.histogram_auto(flagged, "T_EFF").select("bin", r6("lo"), r6("hi"), "n")
+    return _auto_both(qa.flagged_exposures(_exposures(spark, d), qa.low_count(_qa_zp(spark, d), qa.FEW)))
 
 
 @_zp_query("""SELECT e.expnum AS "EXPNUM", e.band AS "BAND", e.expnum IN (SELECT expnum FROM bad) AS "FLAGGED"
@@ -671,13 +692,20 @@ def chi2_class_counts(spark, d):
     return qa.class_counts(c, "CHI2_CLASS").select("CHI2_CLASS", "n", r6("share"))
 
 
-@_zp_query("""SELECT CAST(b.k AS INTEGER) AS bin, b.k*2e0 AS lo, b.k*2e0+2 AS hi, count(z.filename) AS n
-  FROM (SELECT unnest(range(50)) AS k) AS b LEFT JOIN (SELECT * FROM chi2 WHERE band = 'high_chi2') AS z
-    ON z.mag_zero_num >= b.k*2 AND (z.mag_zero_num < b.k*2+2 OR (b.k = 49 AND z.mag_zero_num = 100)) GROUP BY b.k""",
+CHI2_BANDS = ("low_chi2_small_error", "low_chi2_large_error", "high_chi2")
+
+
+@_zp_query("""SELECT p.band AS population, CAST(b.k AS INTEGER) AS bin, b.k*2e0 AS lo, b.k*2e0+2 AS hi, count(z.filename) AS n
+  FROM (SELECT unnest(range(50)) AS k) AS b
+  JOIN (VALUES ('low_chi2_small_error'), ('low_chi2_large_error'), ('high_chi2')) AS p(band) ON TRUE
+  LEFT JOIN chi2 AS z ON z.band = p.band AND z.mag_zero_num >= b.k*2
+    AND (z.mag_zero_num < b.k*2+2 OR (b.k = 49 AND z.mag_zero_num = 100)) GROUP BY p.band, b.k""",
            ("star", "obs", "exposure"), CHI2)
 def chi2_count_histogram(spark, d):
-    c = qa.chi2_classes(_zp(spark, d), _exposures(spark, d)).where(F.col("CHI2_BAND") == "high_chi2")
-    return histograms.histogram_linear(c, "MAG_ZERO_NUM").select("bin", "lo", "hi", "n")
+    c = materialize(qa.chi2_classes(_zp(spark, d), _exposures(spark, d)).select("CHI2_BAND", "MAG_ZERO_NUM"), "chi2")
+    one = lambda p: histograms.histogram_linear(c.where(F.col("CHI2_BAND") == p), "MAG_ZERO_NUM").select(
+        F.lit(p).alias("population"), "bin", "lo", "hi", "n")
+    return reduce(DataFrame.union, map(one, CHI2_BANDS))
 
 
 @_zp_query("""SELECT count(*) AS n_zero_points, count(DISTINCT expnum) AS n_exposures FROM zpx WHERE mag_zero_num < 30""")
@@ -738,7 +766,19 @@ def _calibrated(spark, d, **options):
   round(quantile_cont(mag_diff, 0.5), 6) AS "MAG_ZERO_MEDIAN", round(avg(mag_diff), 6) AS "MAG_ZERO_MEAN",
   round(stddev_samp(mag_diff), 6) AS "MAG_ZERO_STD",
   round(CASE WHEN count(mag_diff) > 1 THEN stddev_samp(mag_diff)/sqrt(count(mag_diff)-1) END, 6) AS "MAG_ZERO_MEAN_ERR",
-  count(mag_diff) AS "MAG_ZERO_NUM" FROM clip3 GROUP BY filename, tile, band""", FIELD_CTES))
+  count(mag_diff) AS "MAG_ZERO_NUM", quantile_cont(CAST(matchid AS DOUBLE), 0.5) AS "MATCHID_MEDIAN"
+  FROM clip3 GROUP BY filename, tile, band""", FIELD_CTES))
 def calibrate(spark, d):
     zp = _calibrated(spark, d).zero_points
-    return zp.select("FILENAME_2", "TILE_2", "BAND_2", r6("RA_CENT_2_MEDIAN"), *[r6(c) for c in ZP], "MAG_ZERO_NUM")
+    return zp.select("FILENAME_2", "TILE_2", "BAND_2", r6("RA_CENT_2_MEDIAN"), *[r6(c) for c in ZP], "MAG_ZERO_NUM", "MATCHID_MEDIAN")
+
+
+@query(sql.with_tables([*FIELD_TABLES, "star"], """SELECT 'catalog' AS kind, filename AS name FROM images
+    WHERE filename NOT IN (SELECT filename FROM field_obs)
+  UNION SELECT 'pixel', CAST(hpx8 AS VARCHAR) FROM pixels WHERE hpx8 NOT IN (SELECT hpx8 FROM starpix)""",
+                       FIELD_CTES[: [n for n, _ in FIELD_CTES].index("starpix") + 1]))
+def calibrate_missing(spark, d):
+    """What a whole calibration reports as not there: catalogues and reference pixels of its images."""
+    run = _calibrated(spark, d)
+    return run.missing_catalogs.select(F.lit("catalog").alias("kind"), F.col("FILENAME").alias("name")).union(
+        run.missing_pixels.select(F.lit("pixel"), F.col("hpx8").cast("string")))

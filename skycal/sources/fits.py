@@ -69,7 +69,8 @@ def _width(count: str, code: str) -> int:
 
 def read_fits_catalogs(spark: SparkSession, path: str | list[str], ext: int = 2,
                        schema: T.StructType = OBJECT_CATALOG) -> DataFrame:
-    """The schema's columns of the table in extension ext of every file, FILENAME taken from the file."""
+    """The schema's columns of the table in extension ext of every file under the path, FILENAME taken from the file.
+    A file that cannot be read as such a table, a compressed one too, raises; none is passed over."""
     names = [f.name for f in schema.fields if f.name != "FILENAME"]
     wanted = T.StructType([f for f in schema.fields if f.name != "FILENAME"] + [T.StructField("_path", T.StringType())])
     arrow = {f.name: _arrow_type(f.dataType) for f in wanted.fields}
@@ -82,7 +83,7 @@ def read_fits_catalogs(spark: SparkSession, path: str | list[str], ext: int = 2,
                 columns.append(pa.array([path.as_py()] * len(table), pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, "_path"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.fits").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInArrow(decode, wanted).withColumn("FILENAME", base_name(F.col("_path"))).drop("_path")
 
 

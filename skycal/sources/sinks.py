@@ -17,21 +17,31 @@ def fixed_decimals(df: DataFrame, decimals: int) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, decimals: int | None = None, partition_by: list[str] | None = None,
-              mode: str = "error") -> None:
-    """Header CSV, one file per task; partition_by takes the place of band and tile in file names."""
+              mode: str = "error", order: list[str] | None = None) -> None:
+    """Header CSV; partition_by takes the place of band and tile in file names, order makes the files, by name, one
+    ordered list."""
+    df = _dealt(df, partition_by) if partition_by else df
+    if order:
+        df = df.sortWithinPartitions(*partition_by, *order) if partition_by else df.orderBy(*order)
     out = df if decimals is None else fixed_decimals(df, decimals)
     writer = out.write.mode(mode).option("header", True)
     (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "error") -> None:
-    writer = df.write.mode(mode)
+    """Parquet. With partition_by, rows of one folder are brought together first: about one file in each, more where
+    it is large, instead of one from every task."""
+    writer = (_dealt(df, partition_by) if partition_by else df).write.mode(mode)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def write_refcat(stars: DataFrame, path: str, files_per_pixel: int = 16, mode: str = "error") -> None:
-    """Store a reference catalogue partitioned by sky pixel and sorted by RA, the layout that
-    prune_reference reads selectively. A crowded pixel is spread over files_per_pixel tasks by RA."""
-    stars = with_pixel(stars)
-    ordered = stars.repartition(PIXEL, F.pmod(F.floor(F.col("RA") * 3600), F.lit(files_per_pixel)))
+def _dealt(df: DataFrame, by: list[str]) -> DataFrame:
+    return df.hint("rebalance", *by)
+
+
+def write_refcat(stars: DataFrame, path: str, mode: str = "error") -> None:
+    """Store a reference catalogue partitioned by sky pixel and sorted by RA, the layout that prune_reference reads
+    selectively. Tasks get ranges of (pixel, RA), so a crowded pixel has as many files as its size asks for, each with
+    its own range of RA."""
+    ordered = with_pixel(stars).repartitionByRange(PIXEL, "RA")
     ordered.sortWithinPartitions(PIXEL, "RA").write.mode(mode).partitionBy(PIXEL).parquet(path)
