@@ -61,10 +61,13 @@ class Hashes:
         powers[0] = 1
         np.multiply.accumulate(powers, out=powers)
         self.sums = np.zeros(len(text) + 1, np.uint64)
-        np.cumsum((text.astype(np.uint64) + np.uint64(7)) * powers, out=self.sums[1:])
+        self.sums[1:] = text
+        self.sums[1:] += np.uint64(7)
+        self.sums[1:] *= powers
+        np.cumsum(self.sums, out=self.sums)
         powers[1:] = _INVERSE
         powers[0] = 1
-        self.back = np.multiply.accumulate(powers)
+        self.back = np.multiply.accumulate(powers, out=powers)
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return (self.sums[end] - self.sums[start]) * self.back[start]
@@ -189,8 +192,9 @@ def repeated(strings: list[bytes], length: int, memory: int = 32 << 20) -> list[
 
     # Pieces between leftmost smaller places, in order: seeds need only be sorted by symbol.
     seeds = leftmost[np.argsort(text[leftmost], kind="stable")]
-    _, small = sorted_suffixes(seeds, np.zeros(len(seeds), np.int32), None)
+    small = sorted_suffixes(seeds, np.zeros(len(seeds), np.int32), None)[1]
     in_order = np.concatenate([small[c][0][::-1] for c in range(ALPHABET)])
+    del small
     is_left = np.zeros(n, bool)
     is_left[leftmost] = True
     in_order = np.append(np.int32(n - 1), in_order[is_left[in_order] & (in_order != n - 1)])
@@ -202,8 +206,8 @@ def repeated(strings: list[bytes], length: int, memory: int = 32 << 20) -> list[
     new = np.append(False, (np.diff(key) != 0) | (np.diff(end - start) != 0))
     names = np.empty(len(leftmost), np.int64)
     names[number[in_order]] = np.cumsum(new)
-    rank = _ranks(names, 2, length)
-    seeds = leftmost[np.argsort(rank, kind="stable")]
+    seeds = leftmost[np.argsort(_ranks(names, 2, length), kind="stable")]
+    del in_order, is_left, number, piece_end, start, end, key, new, names
     shared = np.zeros(len(seeds), np.int32)
     shared[1:] = hashes.shared(seeds[:-1], seeds[1:], length)
     large, small = sorted_suffixes(seeds, shared, hashes)
