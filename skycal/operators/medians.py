@@ -20,8 +20,10 @@ def _middle_buckets(rows: DataFrame, by: list[str]) -> tuple[DataFrame, DataFram
     """Rows with the bucket _b of their _x, and per group the one or two buckets that hold the ranks _first to
     _second, with _below: how many rows of the group come before the bucket."""
     edges = rows.groupBy(*by).agg(F.percentile_approx("_x", _CUTS, _ACCURACY).alias("_edges"))
-    bucketed = rows.join(edges, by).withColumn("_b", F.size(F.filter("_edges", lambda e: e <= F.col("_x")))).drop("_edges")
-    running = Window.partitionBy(*by).orderBy("_b")          # at most len(_CUTS) + 1 rows per group
+    # Values equal to an edge have a bucket of their own, so a bucket that is cut again always loses a value at least.
+    bucketed = rows.join(edges, by).withColumn(
+        "_b", F.size(F.filter("_edges", lambda e: e < F.col("_x"))) + F.size(F.filter("_edges", lambda e: e <= F.col("_x")))).drop("_edges")
+    running = Window.partitionBy(*by).orderBy("_b")          # at most 2 * len(_CUTS) + 1 rows per group
     middle = (
         bucketed.groupBy(*by, "_b").agg(
             F.count(F.lit(1)).alias("_c"), F.count_distinct("_x").alias("_values"), F.max("_first").alias("_f"), F.max("_second").alias("_s"))

@@ -76,8 +76,8 @@ def test_attach_before_or_after_matching_is_the_same(spark):
 def test_objects_of_listed_images(spark):
     flat = catalog.flatten_catalog(objects(spark))
     one = images(spark).where("EXPNUM = 9")
-    assert catalog.of_images(flat, one, 1).count() == 1
-    assert catalog.of_images(flat, one, 10**9).count() == 3      # too many to broadcast: left to the join
+    assert catalog.of_images(flat, one).count() == 1
+    assert "BroadcastHint" not in plan_of(catalog.of_images(flat, one), "extended")
 
 
 # ---- reference catalogue ----
@@ -159,8 +159,38 @@ def test_csv_reader_checks_schema_and_prunes(spark, tmp_path):
 def test_catalog_reader_names_rows_after_their_file(spark, tmp_path):
     objects(spark).where("NUMBER = 1").coalesce(1).write.parquet(str(tmp_path / "cats"))
     name = next((tmp_path / "cats").glob("part-*.parquet")).name
-    df = tables.read_catalogs(spark, str(tmp_path / "cats"))
+    df = tables.read_catalogs(spark, str(tmp_path / "cats"), OBJECT_CATALOG)
     assert rows(df.select("FILENAME", "NUMBER")) == [(name, 1)]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        tables.read_catalogs(spark, str(tmp_path / "gone"), OBJECT_CATALOG)
+
+
+def test_listed_catalogs_are_read_and_absent_ones_told(spark, tmp_path):
+    for n in (1, 2):
+        objects(spark).where(f"NUMBER = {n}").coalesce(1).write.parquet(str(tmp_path / f"exp={n}"))
+    first = next((tmp_path / "exp=1").glob("part-*.parquet")).name
+    listed = spark.createDataFrame([(first,), ("absent.parquet",), (None,), (first,)], "FILENAME string")
+    got = tables.read_listed_catalogs(spark, [str(tmp_path / f"exp={n}") for n in (1, 2)], listed, OBJECT_CATALOG)
+    assert rows(got.rows.select("FILENAME", "NUMBER")) == [(first, 1)] and rows(got.missing) == [("absent.parquet",)]
+
+
+def test_tile_table_from_a_file(spark, tmp_path):
+    (tmp_path / "tiles.csv").write_text("index,ramin,ramax,decmin,decmax\n7,0,10,-5,5\n3,0,10,-5,5\n4,10,20,-5,5\n")
+    assert sorted(tuple(r) for r in tables.read_tiles(spark, str(tmp_path / "tiles.csv")).collect()) == [(3, 0.0, 10.0, -5.0, 5.0), (4, 10.0, 20.0, -5.0, 5.0)]
+
+
+def test_partitioned_tables_have_about_a_file_each(spark, tmp_path):
+    df = spark.range(20_000).repartition(8).selectExpr("id", "id % 5 AS band", "id % 3 AS tile")
+    sinks.write_table(df, str(tmp_path / "t"), ["band", "tile"])
+    files = list((tmp_path / "t").glob("*/*/*.parquet"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 20_000 and 15 <= len(files) <= 30
+
+
+def test_ordered_csv(spark, tmp_path):
+    df = spark.range(1000).repartition(7).selectExpr("(id * 617) % 1000 AS k")
+    sinks.write_csv(df, str(tmp_path / "o"), order=["k"])
+    lines = [x for f in sorted((tmp_path / "o").glob("*.csv")) for x in f.read_text().split()[1:]]
+    assert [int(x) for x in lines] == list(range(1000))
 
 
 def test_jdbc_reader_is_partitioned(spark):
@@ -213,7 +243,6 @@ def test_fits_catalogs(spark, tmp_path):
     make = lambda n, ra: (n, 1.5, 2.5, ra, -3.0, 11.0, float("nan"), *[float(k) for k in range(12)], *[0.25] * 12, 0.9, 0.001, 0.002, 3)
     (tmp_path / "D00000001_g_01_r1p1_fullcat.fits").write_bytes(fits_file([make(1, 10.0), make(2, 190.0)]))
     (tmp_path / "D00000002_g_01_r1p1_fullcat.fits").write_bytes(fits_file([make(7, 20.0)]))
-    (tmp_path / "notes.txt").write_text("not a catalogue")
     df = read_fits_catalogs(spark, str(tmp_path))
     flat = catalog.flatten_catalog(df)
     got = rows(flat.select("FILENAME", "NUMBER", "RA", "RA_WRAP", "FLUX_APER_08", "FLUXERR_PSF", "FLAGS"), "NUMBER")
@@ -222,6 +251,12 @@ def test_fits_catalogs(spark, tmp_path):
                    ("D00000002_g_01_r1p1_fullcat.fits", 7, 20.0, 20.0, 7.0, None, 3)]
 
 
+def test_a_file_that_is_no_catalogue_raises(spark, tmp_path):
+    (tmp_path / "x.fits.fz").write_bytes(b"not a table" * 100)
+    with pytest.raises(Exception, match="header without END"):
+        read_fits_catalogs(spark, str(tmp_path)).collect()
+
+
 def test_fits_table_bytes():
     t = table_of(fits_file([]), 2)
     assert len(t) == 0 and t.dtype["FLUX_APER"].shape == (12,)

@@ -80,3 +80,10 @@ def test_footprint_grid(spark):
     df = spark.createDataFrame([(1, 0.0, 3.0, 10.0, 13.0)], "id int, a double, b double, c double, d double")
     got = sorted((r.ra, r.dec) for r in footprint_grid(df, ("a", "b"), ("c", "d"), 4).collect())
     assert got == [(float(i), 10.0 + j) for i in range(4) for j in range(4)]
+
+
+def test_footprints_over_ra_zero_stay_together(spark):
+    df = spark.createDataFrame([(1, 359.45, 0.35, 10.0, 13.0), (2, 0.35, 359.45, 10.0, 13.0), (3, 20.0, 19.4, 1.0, 1.0)],
+                               "id int, a double, b double, c double, d double")
+    got = footprint_grid(df, ("a", "b"), ("c", "d"), 4).groupBy("id").agg(F.sort_array(F.collect_set(F.round("ra", 6))).alias("ra"))
+    assert {r.id: r.ra for r in got.collect()} == {1: [0.05, 0.35, 359.45, 359.75], 2: [0.05, 0.35, 359.45, 359.75], 3: [19.4, 19.6, 19.8, 20.0]}

@@ -12,7 +12,7 @@ from skycal.functions.numeric import nan_to_null
 from skycal.operators import zeropoints as z
 from skycal.operators.clipping import flag_outliers, sigma_clip
 from skycal.operators.materialize import materialize
-from skycal.operators.medians import grouped_medians, median_of_large_groups
+from skycal.operators.medians import grouped_medians, median_of_large_groups, medians_in_one_pass
 from skycal.operators.skew import split_hot
 
 STAR = "G_1 double, R_1 double, I_1 double, Z_1 double, DG_1 double, DR_1 double, DI_1 double, DZ_1 double"
@@ -65,8 +65,8 @@ def test_quality_limits(spark):
 
 # ---- medians ----
 
-@pytest.mark.parametrize("groups", [7, 10**9])      # broadcast or not
-def test_median_of_large_groups(spark, groups):
+@pytest.mark.parametrize("bucket", [1_000_000, 20])      # cut once, or again and again
+def test_median_of_large_groups(spark, bucket):
     rng = random.Random(4)
     data = [("odd", float(v)) for v in rng.sample(range(1000), 501)]
     data += [("even", rng.gauss(0, 1e6)) for _ in range(400)]
@@ -74,7 +74,7 @@ def test_median_of_large_groups(spark, groups):
     data += [("one", 3.5), ("null", None), ("two", 1.0), ("two", 2.0)]
     data += [("inf", -math.inf)] * 3 + [("inf", 7.0), ("inf", 8.0), ("inf", 9.0), ("inf", 10.0)]
     df = spark.createDataFrame(data, "k string, v double")
-    got = {r.k: r["median"] for r in median_of_large_groups(df, ["k"], "v", groups).collect()}
+    got = {r.k: r["median"] for r in median_of_large_groups(df, ["k"], "v", bucket_values=bucket).collect()}
     want = pd.DataFrame(data, columns=["k", "v"]).dropna().groupby("k")["v"].median().to_dict()
     assert set(got) == set(want)
     for k in want:
@@ -106,6 +106,38 @@ def test_split_hot(spark):
     assert split_hot(df, ["k"], 60)[1:] == (None, 0)
 
 
+def test_a_huge_group_of_null_keys_is_split_off_too(spark):
+    df = spark.range(100).select(F.when(F.col("id") < 60, None).otherwise(F.col("id").cast("string")).alias("k"), F.col("id").cast("double").alias("x"))
+    ordinary, hot, groups = split_hot(df, ["k"], 50)
+    assert (ordinary.count(), hot.count(), groups) == (40, 60, 1)
+    got = {r.k: r.x_MEDIAN for r in grouped_medians(df, ["k"], ["x"], hot_rows=50).collect()}
+    assert got == {None: 29.5, **{str(i): float(i) for i in range(60, 100)}}
+
+
+def test_ordinary_groups_are_never_kept_side_by_side_in_a_hash_table(spark):
+    df = spark.range(100).select((F.col("id") % 7).alias("k"), *[(F.col("id") * j).cast("double").alias(f"c{j}") for j in range(1, 30)])
+    plan = plan_of(medians_in_one_pass(df, ["k"], [f"c{j}" for j in range(1, 30)]), "simple")
+    assert "ObjectHashAggregate" not in plan and plan.count("Exchange") == 1
+
+
+def test_both_ways_agree_at_the_limit_itself(spark):
+    pdf = clip_data(11)
+    largest = int(pdf.groupby("k").size().max())
+    df = spark.createDataFrame(pdf).withColumnRenamed("x", "MAG_DIFF")
+    both = [z.clip_and_aggregate(df, ["k"], [], hot_rows=n).toPandas().set_index("k").sort_index() for n in (largest, largest - 1)]
+    assert split_hot(df, ["k"], largest)[2] == 0 and split_hot(df, ["k"], largest - 1)[2] >= 1
+    assert (both[0]["MAG_ZERO_NUM"] == both[1]["MAG_ZERO_NUM"]).all() and np.allclose(
+        both[0].drop(columns="MAG_ZERO_NUM").astype(float), both[1].drop(columns="MAG_ZERO_NUM").astype(float), rtol=1e-12, equal_nan=True)
+
+
+def test_clip_equals_the_plain_comparison_where_no_values_are_equal(spark):
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"k": rng.integers(0, 6, 900), "x": rng.standard_t(2, 900)})
+    group = pdf.groupby("k")["x"]
+    want = ((pdf.x - group.transform("mean")).abs() > 3 * group.transform("std")).sum()
+    assert flag_outliers(spark.createDataFrame(pdf), ["k"], "x").where("Outlier").count() == want > 0
+
+
 # ---- clipping ----
 
 def pandas_clip(pdf, key, value, nsigma=3.0, passes=3):
