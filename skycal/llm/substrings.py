@@ -20,8 +20,8 @@ from skycal.llm.shared import Store
 from skycal.llm.suffixes import repeated
 
 LENGTH = 400           # bytes
-CHUNK = 1 << 19        # bytes of documents that are anchored at once
-SHARD = 1 << 20        # bytes of contexts whose suffixes are sorted together, at least one anchor's
+CHUNK = 1 << 18        # bytes of documents that are anchored at once
+SHARD = 1 << 19        # bytes of contexts whose suffixes are sorted together, at least one anchor's
 HOT = 4096             # distinct contexts of an anchor; beyond, its starts are told apart by their whole strings
 _BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
 _ROW = "k1 bigint, k2 bigint"

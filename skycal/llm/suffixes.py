@@ -14,6 +14,7 @@ ALPHABET = 256 + FIRST
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 FAR = np.int32(1 << 30)
+PAIRS = 1 << 16                # whose common prefixes are looked for at once
 
 
 class BucketQueue:
@@ -74,6 +75,8 @@ class Hashes:
 
     def shared(self, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
         """Length of the common prefix of the suffixes a[k] and b[k], at most `most`."""
+        if len(a) > PAIRS:
+            return np.concatenate([self.shared(a[k:k + PAIRS], b[k:k + PAIRS], most) for k in range(0, len(a), PAIRS)])
         n = len(self.back)
         low, high = np.zeros(len(a), np.int32), np.minimum(most, n - np.maximum(a, b)).astype(np.int32)
         while (open_ := low < high).any():
