@@ -216,10 +216,11 @@ def repeats(docs: DataFrame, store: Store, length: int = LENGTH, shard_hot: int
     """(k1, k2, spans): byte ranges of documents of keyed() that a repeated string covers, overlapping and unordered."""
     found = store.put(docs.select("k1", "k2", "text").where(F.length("text") >= length).mapInArrow(
         _anchored(length), f"{_ROW}, anchor bigint, c1 bigint, c2 bigint, first bigint, count bigint"), "anchors")
-    groups = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), (
-        (F.min("c1") == F.max("c1")) & (F.min("c2") == F.max("c2"))).alias("alike")).where("n > 1").drop("n")
+    # Stored, so that the join finds two plain shuffles and a very frequent anchor is split by adaptive execution.
+    groups = store.put(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), (
+        (F.min("c1") == F.max("c1")) & (F.min("c2") == F.max("c2"))).alias("alike")).where("n > 1").drop("n"), "groups")
     twice = store.put(found.join(groups, "anchor"), "twice")
-    store.drop("anchors")
+    store.drop("anchors", "groups")
     mixed = twice.where("NOT alike")
     distinct = mixed.groupBy("anchor", "c1", "c2").agg(F.min(F.struct("k1", "k2", "first", "count")).alias("r"), F.count(F.lit(1)).alias("times"))
     sizes = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("distinct"))
