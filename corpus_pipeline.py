@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from skycal.llm import decontamination, packing, quality, simhash, substrings
 from skycal.llm.shared import Store, table
 
-REPEAT_BYTES = 300     # a passage of some fifty words
+REPEAT_BYTES = 300     # a passage of so many bytes, or
+REPEAT_WORDS = 51      # of so many words, in however few bytes
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,11 +31,12 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, less the passages of REPEAT_BYTES or more that occur twice; n_chars is counted anew. What a cut
+    """All documents, less the passages of REPEAT_BYTES or REPEAT_WORDS or more that occur twice; n_chars is counted anew. What a cut
     through a character leaves of it goes too."""
     store = Store(spark, "pipeline-repeats")
     rows = substrings.keyed(docs, "doc_id", "text").select("k1", "k2", "text")
-    spans = substrings.repeats(rows, store, REPEAT_BYTES)
+    long = substrings.repeats(rows, store, REPEAT_BYTES).select("k1", "k2", F.explode("spans").alias("span"))
+    spans = long.union(substrings.word_repeats(rows, store, REPEAT_WORDS, REPEAT_BYTES)).groupBy("k1", "k2").agg(F.collect_set("span").alias("spans"))
     text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     joined = docs.withColumn("_k1", F.xxhash64(text)).withColumn("_k2", F.xxhash64("doc_id", F.length(text))).join(
         spans.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("spans").alias("_spans")), ["_k1", "_k2"], "left")

@@ -23,6 +23,7 @@ LENGTH = 400           # bytes
 CHUNK = 1 << 18        # bytes of documents that are anchored at once
 SHARD = 1 << 19        # bytes of contexts whose suffixes are sorted together, at least one anchor's
 HOT = 4096             # distinct contexts of an anchor; beyond, its starts are told apart by their whole strings
+GRAM = 10              # words of an anchor of a passage that is counted in words
 _BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
 _ROW = "k1 bigint, k2 bigint"
 
@@ -247,6 +248,106 @@ def repeats(docs: DataFrame, store: Store, length: int = LENGTH, shard_hot: int
     return spans.groupBy("k1", "k2").agg(F.collect_set("span").alias("spans"))
 
 
+_BLANK = np.isin(np.arange(256), list(b" \t\n\r\f\v"))
+
+
+def _windows(texts: list[bytes], words: int, below: int):
+    """(prefix hashes, first and last byte of all words, text of each, which words begin a window of `words` words that lie
+    in one text in less than `below` bytes). Words are what stands between ASCII white space."""
+    data = np.frombuffer(b"\n".join(texts), np.uint8)
+    edge = np.flatnonzero(np.diff(~_BLANK[data], prepend=False, append=False))
+    begin, end = edge[::2], edge[1::2]
+    bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    owner = np.searchsorted(bounds, begin, side="right") - 1
+    n = max(len(begin) - words + 1, 0)
+    ok = (owner[:n] == owner[words - 1:]) & (end[words - 1:] - begin[:n] < below) if n else np.zeros(0, bool)
+    return _Prefix(data), begin, end, owner, bounds, ok
+
+
+def _word_anchored(words: int, below: int):
+    """Runs of windows that have their anchor, the leftmost least hash of GRAM words, in common: its hash and the bytes of the run."""
+    gram = min(GRAM, words)
+
+    def told(rows, texts):
+        prefix, begin, end, owner, bounds, ok = _windows(texts, words, below)
+        keys, at, head = (np.array(c, np.int64) for c in zip(*((k[:2], k[2], k[3]) for k in rows)))
+        place = begin[:len(ok)] - bounds[owner[:len(ok)]]
+        own = np.flatnonzero(ok & (place >= head[owner[:len(ok)]]) & (place < head[owner[:len(ok)]] + CHUNK))
+        grams = _mixed(prefix.of(0, begin[:len(begin) - gram + 1], end[gram - 1:])) if len(own) else np.zeros(0, np.uint64)
+        bits = np.uint64(24)
+        least = _least((grams >> bits << bits) | np.arange(len(grams)).astype(np.uint64), words - gram + 1) if len(own) else grams
+        anchor = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)[own]
+        new = np.flatnonzero((np.diff(own, prepend=-2) != 1) | (np.diff(anchor, prepend=-1) != 0) | (np.diff(owner[own], prepend=-1) != 0))
+        first, last = own[new], own[np.append(new[1:], len(own)) - 1] if len(new) else own[new]
+        text = owner[first]
+        shift = at[text] - head[text] - bounds[text]
+        cols = (keys[text, 0], keys[text, 1], grams[anchor[new]].view(np.int64), begin[first] + shift, end[last + words - 1] + shift)
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c), pa.int64()) for c in cols], names=["k1", "k2", "anchor", "s", "e"])
+
+    def run(batches):
+        rows, texts, size = [], [], 0
+        for batch in batches:
+            for k1, k2, text in zip(*batch.columns):
+                k1, k2, text = k1.as_py(), k2.as_py(), text.as_py() or b""
+                # parts begin a byte early, so that it shows whether a word begins with them, and end late enough for their last window
+                for at in range(0, len(text), CHUNK):
+                    head = min(at, 1)
+                    rows.append((k1, k2, at, head))
+                    texts.append(text[at - head:at + CHUNK + below])
+                    size += len(texts[-1])
+                    if size >= CHUNK:
+                        yield told(rows, texts)
+                        rows, texts, size = [], [], 0
+        if texts:
+            yield told(rows, texts)
+
+    return run
+
+
+def _word_strings(words: int, below: int):
+    """Two hashes of every window of the runs that a document is asked for."""
+
+    def told(rows, texts):
+        prefix, begin, end, owner, bounds, ok = _windows(texts, words, below)
+        own = np.flatnonzero(ok)
+        s, e, text = begin[own], end[own + words - 1], owner[own]
+        keys = np.array(rows, np.int64)
+        shift = keys[text, 2] - bounds[text]
+        cols = (keys[text, 0], keys[text, 1], s + shift, e + shift, *(_mixed(prefix.of(j, s, e)).view(np.int64) for j in (0, 1)))
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c), pa.int64()) for c in cols], names=["k1", "k2", "s", "e", "h1", "h2"])
+
+    def run(batches):
+        rows, texts, size = [], [], 0
+        for batch in batches:
+            for k1, k2, text, runs in zip(*(c.to_pylist() for c in batch.columns)):
+                for r in runs:
+                    rows.append((k1, k2, r["s"]))
+                    texts.append(text[r["s"]:r["e"]])
+                    size += len(texts[-1])
+                    if size >= CHUNK:
+                        yield told(rows, texts)
+                        rows, texts, size = [], [], 0
+        if texts:
+            yield told(rows, texts)
+
+    return run
+
+
+def word_repeats(docs: DataFrame, store: Store, words: int, below: int) -> DataFrame:
+    """(k1, k2, span): byte ranges of documents of keyed() where a passage of `words` words stands that occurs twice, byte
+    by byte, and has less than `below` bytes: longer ones are repeats() of that length. Equal passages have equal anchors, so
+    only runs whose anchor occurs twice are looked at; their passages are told apart by two 64-bit hashes of the whole."""
+    found = store.put(docs.select("k1", "k2", "text").where(F.length("text") >= 2 * words - 1).mapInArrow(
+        _word_anchored(words, below), f"{_ROW}, anchor bigint, s bigint, e bigint"), "word-anchors")
+    often = store.put(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "word-groups")
+    wanted = store.put(found.join(often, "anchor").groupBy("k1", "k2").agg(F.collect_set(F.struct("s", "e")).alias("runs")), "word-runs")
+    store.drop("word-anchors", "word-groups")
+    strings = store.put(docs.select("k1", "k2", "text").join(wanted, ["k1", "k2"]).select("k1", "k2", "text", "runs").mapInArrow(
+        _word_strings(words, below), f"{_ROW}, s bigint, e bigint, h1 bigint, h2 bigint"), "word-strings")
+    twice = store.put(strings.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "word-twice")
+    return strings.join(twice, ["h1", "h2"]).select("k1", "k2", F.struct("s", "e").alias("span"))
+
+
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for s, e in sorted((x["s"], x["e"]) for x in spans or []):

@@ -48,6 +48,16 @@ def test_every_stage_does_its_part_and_keeps_the_rest(spark, corpus):
     assert set(ids(once)) - set(left) == {420}
 
 
+def test_repeated_passages_of_51_short_words(spark):
+    rng = random.Random(9)
+    prose = lambda n, most: " ".join("".join(rng.choice("abdeghilnort") for _ in range(rng.randint(1, most))) for _ in range(n))
+    over, under = prose(51, 5), prose(50, 5)
+    assert len(over) < 230
+    docs = [(k, f"{prose(70, 8)} {p} {prose(70, 8)}", "en", "s", 0) for k, p in enumerate([over, over, under, under])]
+    cut = {r.doc_id: r.text for r in pipe.without_repeats(spark, spark.createDataFrame(docs, SCHEMA), "").collect()}
+    assert all(cut[k] == docs[k][1].replace(over, "") for k in range(4)) and all(len(cut[k]) < len(docs[k][1]) for k in (0, 1))
+
+
 def test_the_whole_pipeline(spark, corpus):
     folder, rows, _ = corpus
     out = pipe.run(spark, folder)

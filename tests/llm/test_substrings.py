@@ -1,8 +1,10 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from skycal.llm import substrings as sub
@@ -85,3 +87,37 @@ def test_four_hundred_bytes(spark):
 def test_empty_table(spark):
     assert run(spark, [], 400) == []
     assert run(spark, [(1, "short"), (2, None)], 400) == brute([(1, "short"), (2, None)], 400)
+
+
+def brute_words(rows, words, below, least=2):
+    places, counts = [], Counter()
+    for i, text in rows:
+        data = (text or "").encode()
+        found = [m.span() for m in re.finditer(rb"[^ \t\n\r\f\v]+", data)]
+        for k in range(len(found) - words + 1):
+            s, e = found[k][0], found[k + words - 1][1]
+            if e - s < below:
+                places.append((i, s, e, data[s:e]))
+                counts[data[s:e]] += 1
+    return sorted(x[:3] for x in places if counts[x[3]] >= least)
+
+
+def test_passages_counted_in_words(spark, tmp_path, monkeypatch):
+    rng = random.Random(8)
+    prose = lambda n: "".join(rng.choice(["a", "bé", "cde"]) + rng.choice([" ", " ", "\n", "  "]) for _ in range(n))
+    passages = [prose(n) for n in (5, 6, 7, 20)]
+    rows = [(k, prose(rng.randint(0, 30)) + rng.choice(passages) + prose(rng.randint(0, 30))) for k in range(60)] + [(100, None), (101, ""), (102, "a " * 40), (103, prose(400) + passages[3])]
+    for words, below in ((6, 15), (6, 12), (12, 40)):
+        docs = sub.keyed(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), "doc_id", "text")
+        ids = {(r.k1, r.k2): r.id for r in docs.select("k1", "k2", "id").collect()}
+        got = sub.word_repeats(docs, sub.Store(spark, "test"), words, below).collect()
+        want = brute_words(rows, words, below)
+        assert want and sorted((ids[r.k1, r.k2], r.span.s, r.span.e) for r in got) == want
+    # every passage is in one run of one part, however the texts are cut
+    monkeypatch.setattr(sub, "CHUNK", 64)
+    texts = [(t or "").encode() for _, t in rows]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array([0] * len(rows)), pa.array(texts, pa.binary())], names=["k1", "k2", "text"])
+    runs = [r for b in sub._word_anchored(6, 15)([batch]) for r in b.to_pylist()]
+    asked = pa.RecordBatch.from_pylist([{"k1": r["k1"], "k2": 0, "text": texts[r["k1"]], "runs": [{"s": r["s"], "e": r["e"]}]} for r in runs])
+    got = [(rows[r["k1"]][0], r["s"], r["e"]) for b in sub._word_strings(6, 15)([asked]) for r in b.to_pylist()]
+    assert sorted(got, key=repr) == sorted(brute_words(rows, 6, 15, least=1), key=repr)
