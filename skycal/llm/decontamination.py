@@ -4,9 +4,11 @@ longest common subsequences and answers tell leaks and paraphrases from chance."
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +23,9 @@ TERMS = 1 << 13        # terms of the matrix: the low bits of a word
 PASSAGE = 32           # words of a passage of the matrix
 SKETCH = 384           # rows of the sketch
 RANK = 128             # singular vectors kept
-WINDOWS = (8, 16, 32, 64)      # words of the passages that items of up to 10, 20, 40 and 64 words look at, half overlapping
-CANDIDATE = 0.55       # cosine of a candidate
+WINDOWS = (8, 16, 24, 32, 40, 48, 56, 64)      # words of the passages, of which an item looks at the size closest to its own
+SHIFT = 4              # a passage begins after each such part of the one before
+CANDIDATE = 0.45       # cosine of a candidate: paraphrases that only just share PARAPHRASE of an item have less than that share
 SURE = 0.8             # share of an item in its longest common subsequence with a passage that is a leak
 PARAPHRASE = 0.6       # share from which the answer decides
 ANSWER = 0.9           # share of the answer that has to be there
@@ -176,17 +179,23 @@ def right_singular_vectors(tokens: DataFrame, idf: np.ndarray, rank: int = RANK,
     return matrix.T @ left[:, use] / values[use]
 
 
-def lcs(item: np.ndarray, words: np.ndarray) -> int:
-    """Length of the longest common subsequence, bit-parallel over the item."""
+def masks_of(item: np.ndarray) -> dict[int, int]:
+    """For each word of an item, a bit at each of its places."""
     masks: dict[int, int] = {}
     for k, w in enumerate(item.tolist()):
         masks[w] = masks.get(w, 0) | 1 << k
+    return masks
+
+
+def lcs(item: np.ndarray, words: np.ndarray, masks: dict[int, int] | None = None) -> int:
+    """Length of the longest common subsequence, bit-parallel over the item."""
+    masks = masks_of(item) if masks is None else masks
+    met = [masks[w] for w in words.tolist() if w in masks]
     full = (1 << len(item)) - 1
     state = full
-    for w in words.tolist():
-        if m := masks.get(w):
-            u = state & m
-            state = ((state + u) | (state - u)) & full
+    for m in met:
+        u = state & m
+        state = ((state + u) | (state - u)) & full
     return len(item) - state.bit_count()
 
 
@@ -196,6 +205,9 @@ class Item:
     words: np.ndarray
     answer: np.ndarray
 
+    def __post_init__(self) -> None:
+        self.masks = masks_of(self.words)
+
 
 def items_of(rows: list[tuple[int, str | None]]) -> list[Item]:
     """Parts of at most WINDOWS[-1] words. The answer of an item is its last sentence of three words or more."""
@@ -224,13 +236,13 @@ class Retrieval:
     def of(cls, items: list[Item], table: np.ndarray) -> Retrieval:
         by: dict[int, list[Item]] = {w: [] for w in WINDOWS}
         for item in items:
-            by[next((w for w in WINDOWS if 4 * len(item.words) <= 5 * w), WINDOWS[-1])].append(item)
+            by[min(WINDOWS, key=lambda w: abs(w - len(item.words)))].append(item)
         unit = lambda v: v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
         return cls(by, np.append(table, np.zeros((1, table.shape[1]), np.float32), axis=0), {w: unit(np.stack([table[i.words % TERMS].sum(axis=0) for i in own])) for w, own in by.items() if own})
 
     def candidates(self, words: np.ndarray):
         """(window size, number in it of an item, first word, cosine) of all passages close to an item."""
-        step, k = min(self.vectors) // 2, self.table.shape[1]
+        step, k = math.gcd(*(w // SHIFT for w in self.vectors)), self.table.shape[1]
         for at in range(0, max(len(words) - WINDOWS[-1] // 2, 1), CHUNK):
             own = words[at:at + CHUNK + WINDOWS[-1]] % TERMS
             if not len(own):
@@ -242,25 +254,36 @@ class Retrieval:
                 sums += self.table[square[:, j]]
             total = np.concatenate([np.zeros((1, k)), np.cumsum(sums, axis=0, dtype=np.float64)])
             for w, vectors in self.vectors.items():
-                n = w // step
-                first = np.arange(0, max(1, len(sums) - n // 2), n // 2)
+                n, move = w // step, w // step // SHIFT
+                first = np.arange(0, max(1, len(sums) - n // 2), move)
                 passages = (total[np.minimum(first + n, len(sums))] - total[first]).astype(np.float32)
-                near = passages @ vectors.T >= CANDIDATE * np.maximum(np.linalg.norm(passages, axis=1, keepdims=True), 1e-9)
-                for p, j in zip(*(x.tolist() for x in np.nonzero(near))):
-                    norm = max(float(np.linalg.norm(passages[p])), 1e-9)
-                    yield w, j, at + int(first[p]) * step, float(passages[p] @ vectors[j]) / norm
+                norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", passages, passages)), 1e-9)
+                close = passages @ vectors.T
+                p, j = np.nonzero(close >= CANDIDATE * norm[:, None])
+                yield from zip(repeat(w), j.tolist(), (at + first[p] * step).tolist(), (close[p, j] / norm[p]).tolist())
 
     def leaks(self, words: np.ndarray) -> list[tuple[int, float, float, bool, int]]:
         """(item, overlap, cosine, answer found, first word) of the best passage for each item that leaks."""
         best: dict[int, tuple] = {}
+        near: dict[tuple[int, int], list[tuple[int, float]]] = {}
         for w, j, at, cosine in self.candidates(words):
+            near.setdefault((w, j), []).append((at, cosine))
+        flags = np.zeros(WORD_IDS, bool)
+        for (w, j), places in near.items():
             item = self.items[w][j]
-            around = words[max(0, at - w // 2):at + w + w // 2]
-            overlap = lcs(item.words, around) / len(item.words)
-            if overlap >= PARAPHRASE:
-                answered = lcs(item.answer, around) >= ANSWER * len(item.answer)
-                if (overlap >= SURE or answered) and (overlap, cosine) > best.get(item.item_id, (0, 0, 0))[:2]:
-                    best[item.item_id] = (overlap, cosine, answered, at)
+            # only where enough words are the item's can a common subsequence be long enough
+            flags[item.words] = True
+            met = np.append(0, np.cumsum(flags[words]))
+            flags[item.words] = False
+            first = np.array([at for at, _ in places])
+            low, high = np.maximum(first - w // 2, 0), np.minimum(first + w + w // 2, len(words))
+            for k in np.flatnonzero(met[high] - met[low] >= PARAPHRASE * len(item.words)).tolist():
+                (at, cosine), around = places[k], words[low[k]:high[k]]
+                overlap = lcs(item.words, around, item.masks) / len(item.words)
+                if overlap >= PARAPHRASE:
+                    answered = lcs(item.answer, around) >= ANSWER * len(item.answer)
+                    if (overlap >= SURE or answered) and (overlap, cosine) > best.get(item.item_id, (0, 0, 0))[:2]:
+                        best[item.item_id] = (overlap, cosine, answered, at)
         return [(i, *b) for i, b in best.items()]
 
 

@@ -63,6 +63,25 @@ def test_paraphrases_need_the_answer(spark):
     assert set(got) == {9001} and got[9001].answer_found and got[9001].overlap < dec.SURE
 
 
+def test_candidates_hold_nine_of_ten_paraphrases_at_every_share():
+    rng = np.random.default_rng(7)
+    table = rng.standard_normal((dec.TERMS, dec.RANK)).astype(np.float32)
+    for size in (17, 21, 27, 41, 59):
+        items = [dec.Item(k, rng.integers(0, dec.WORD_IDS, size).astype(np.uint16), np.zeros(1, np.uint16)) for k in range(60)]
+        retrieval = dec.Retrieval.of(items, table)
+        for share in (0.6, 0.7, 0.8, 1.0):
+            found = 0
+            for item in items:
+                own = item.words.copy()
+                turned = rng.permutation(size)[: int((1 - share) * size)]
+                own[turned] = rng.integers(0, dec.WORD_IDS, len(turned))
+                text = rng.integers(0, dec.WORD_IDS, 300).astype(np.uint16)
+                at = rng.integers(0, 300)
+                assert dec.lcs(item.words, own) >= dec.PARAPHRASE * size
+                found += any(retrieval.items[w][j] is item for w, j, _, _ in retrieval.candidates(np.concatenate([text[:at], own, text[at:]])))
+            assert found >= 0.9 * len(items), (size, share, found)
+
+
 def test_decomposition_is_close_to_the_exact_one(spark):
     rng = random.Random(4)
     topics = [[word(rng) for _ in range(12)] for _ in range(10)]
