@@ -18,7 +18,7 @@ BASE_TERMS = ("stupid", "idiot", "moron", "loser", "trash", "scum", "clown", "pa
 REPORTING = re.compile(r"(?i)\b(said|says|wrote|writes|called|quoted?|quoting|cited?|the (word|term|phrase)|so-called)\b[^.!?\n]*$")
 QUOTES = re.compile("[\"“”„«»‘’]|(?<!\\w)'|'(?!\\w)")
 SAMPLE = 20_000        # labelled documents that the model is fitted on, at most about so many
-MAX_TERMS = 200        # learned terms kept
+MAX_TERMS = 200        # learned terms kept, and words beside their stems
 STEMS = (4, 5, 6, 7, 8)      # letters of a stem
 BASE_WEIGHT = 4.0      # of a base term that no labelled document speaks about
 WINDOW = 32            # words of a context window
@@ -198,16 +198,18 @@ def evidence(n: int, other: int, share: float) -> float:
 def chosen_terms(counts: list[tuple[str, int, int]], toxic: int, others: int, candidates: int) -> dict[str, float]:
     """Weights (log odds) of words and stems that mark toxic documents, from (term, toxic, other) counts. A term must
     be stronger than chance would make one of all candidates; the strongest first, what it covers or is covered by
-    goes with it."""
+    goes with it. But a word that a stem covers stays beside it where edits are allowed, since stems have none."""
     share = min(0.9, max(toxic, 1) / max(toxic + others, 2))
     strong = [(evidence(n, o, share), t, n, o) for t, n, o in counts if n >= 3 and n >= o]
     strong = sorted((x for x in strong if x[0] >= math.log(100 * max(candidates, 1))), key=lambda x: (-x[0], -len(x[1]), x[1]))
     covers = lambda s, t: s.endswith("*") and t.rstrip("*").startswith(s[:-1])
     kept: dict[str, float] = {}
+    weight = lambda n, o: math.log((n + 0.5) / (toxic + 1) * (others + 1) / (o + 0.5))
     for _, t, n, o in strong:
         if len(kept) < MAX_TERMS and not any(covers(k, t) or covers(t, k) for k in kept):
-            kept[t] = math.log((n + 0.5) / (toxic + 1) * (others + 1) / (o + 0.5))
-    return kept
+            kept[t] = weight(n, o)
+    words = [(t, weight(n, o)) for _, t, n, o in strong if t not in kept and allowed(t) and any(covers(k, t) for k in kept)]
+    return kept | dict(words[:MAX_TERMS])
 
 
 @dataclass

@@ -65,6 +65,20 @@ def made(n, seed=1):
     return docs, labels
 
 
+def test_misspelled_learned_words():
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abdeghilnort") for _ in range(rng.randint(2, 9)))
+    sets = [(y, tox.candidate_terms(" ".join([*(word() for _ in range(20)), *y * ["Kravvik", "Kravviks"]]))) for y in [1] * 60 + [0] * 240]
+    counts = {t: [0, 0] for _, s in sets for t in s}
+    for y, s in sets:
+        for t in s:
+            counts[t][1 - y] += 1
+    terms = tox.chosen_terms([(t, n, o) for t, (n, o) in counts.items() if n], 60, 240, len(counts))
+    text = "kravvik kravviks krawik kravek krovvik kravvi"
+    assert [(h[0], h[4]) for h in tox.hits(text, tox.Automaton(terms))][:2] == [(0, True), (1, True)]
+    assert {2, 4} - {h[0] for h in tox.hits("kravvik a kravik a krovvik", tox.Automaton(terms))} == set()
+
+
 def test_learns_words_and_stems_and_keeps_the_held_fold_apart(spark):
     docs, labels = made(800)
     held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
