@@ -84,6 +84,10 @@ MARKS = r"(^|\n)[ \t]*(//+|#+|\*+|/\*+|--+|;+|>+|%+)[ \t]*"       # comment sign
 WRAP = r"[ \t]*\r?\n[ \t]*([a-z0-9(])"                             # a line that goes on with the sentence
 STOP = r"[.!?][.!?\"')]*[ \t\r\n\f]+"                                # the end of a sentence
 LINE = r"[\r\n]+"
+# Only here, not in the SQL: list numbers, and known sentences that go on in the next line whatever its case.
+LISTED = r"(:[ \t]*)\r?\n[ \t]*\(?(?:[0-9]{1,3}|[A-Za-z])[.)][ \t]+"     # a list begins after a colon
+MARKER = r"^[ \t]*\(?(?:[0-9]{1,3}|[A-Za-z])\)[ \t]+"                     # 1) or (a) before a sentence
+NUMBER = r"^([0-9]{1,3}|[a-z])?$"                                      # nothing but a list number or a bullet
 
 
 def normalised(sentence: str) -> str:
@@ -95,6 +99,15 @@ def known_sentences() -> list[tuple[str, str]]:
     return sorted((normalised(s), i) for i, forms in SENTENCES.items() for s in forms)
 
 
+def broken_pattern() -> str:
+    """A known sentence between breaks, with line ends between its words but no blank line. Shorter ones come first: what
+    ends with a line is not joined to the next."""
+    gap = "(?:[^A-Za-z0-9\x01\r\n]+|[^A-Za-z0-9\x01\r\n]*\r?\n[^A-Za-z0-9\x01\r\n]*)"
+    forms = "|".join(s.replace(" ", gap) for s in sorted({s for s, _ in known_sentences()}, key=lambda s: (len(s), s)))
+    edge = "[^A-Za-z0-9\x01\r\n]*"
+    return f"(?i)(?:^|[\x01\r\n]){edge}(?:(?:[0-9]{{1,3}}|[a-z])\\)[ \\t]+)?({forms})(?={edge}(?:[\x01\r\n]|$))"
+
+
 def _rule_text(ids: list[str]) -> str:
     return "".join(f"{i} " for i in ids)
 
@@ -114,8 +127,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     of the sentence that begins the run of known sentences), place (of the match among those of the run),
     sentences (in the rule).
 
-    Sentences end at . ! ? before white space and at line ends, unless the next line goes on in lower case.
-    Comment signs, case and punctuation don't count. A match needs consecutive sentences; in a run the first
+    Sentences end at . ! ? before white space and at line ends, unless the next line goes on in lower case or with
+    the rest of a known sentence. Comment signs, case, punctuation and list numbers don't count, though a list
+    number has a place in run_start. A match needs consecutive sentences; in a run the first
     rule of the list that fits is taken, then what follows it. Null and empty texts and texts without licence
     sentences give no row; repeated rows give theirs again. Sentences are met with a fixed table of a few
     dozen; what is grouped afterwards is one run of one document."""
@@ -123,15 +137,20 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     known = _fixed(spark, known_sentences(), ["sentence", "sid"])
     rules = _fixed(spark, [(_rule_text(ids), name, len(ids)) for ids, name in RULES], ["rule", "license", "sentences"])
     text = F.regexp_replace(F.col(text_col), MARKS, "\n")
+    text = F.regexp_replace(text, LISTED, f"$1{BREAK}")
     text = F.regexp_replace(text, WRAP, " $1")
     text = F.regexp_replace(text, STOP, BREAK)
+    broken = F.array_distinct(F.filter(F.regexp_extract_all(text, F.lit(broken_pattern()), F.lit(1)), lambda s: s.contains("\n")))
+    text = F.aggregate(broken, text, lambda all_, s: F.replace(all_, s, F.translate(s, "\r\n", "  ")))
     text = F.regexp_replace(text, LINE, BREAK)
     numbered = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.split(text, BREAK).alias("parts"))
     split = numbered.select("id", "row", F.posexplode("parts").alias("pos", "raw"))
-    plain = F.trim(F.regexp_replace(F.translate("raw", UPPER, LOWER), "[^a-z0-9]+", " "))
-    met = split.where(F.length("raw") >= 3).select("id", "row", "pos", plain.alias("sentence")).join(F.broadcast(known), "sentence")
+    plain = F.trim(F.regexp_replace(F.translate(F.regexp_replace("raw", MARKER, ""), UPPER, LOWER), "[^a-z0-9]+", " "))
+    # parts that are only a number do not separate the sentences around them
+    met = split.select("id", "row", "pos", F.when(F.length("raw") >= 3, plain).alias("sentence"), plain.rlike(NUMBER).alias("number")).join(
+        F.broadcast(known), "sentence", "left").where("sid IS NOT NULL OR number")
     order = Window.partitionBy("row").orderBy("pos")
-    runs = (met.withColumn("run", F.col("pos") - F.row_number().over(order)).groupBy("id", "row", "run")
+    runs = (met.withColumn("run", F.col("pos") - F.row_number().over(order)).where("sid IS NOT NULL").groupBy("id", "row", "run")
             .agg(F.min("pos").alias("run_start"), F.array_sort(F.collect_list(F.struct("pos", "sid"))).alias("found")))
     matches = runs.select("id", "run_start", F.posexplode(F.regexp_extract_all(
         F.concat(F.array_join("found.sid", " "), F.lit(" ")), F.lit(rule_pattern()), F.lit(1))).alias("place", "rule"))

@@ -68,3 +68,59 @@ def test_empty_table_and_plan_without_python(spark):
     assert run(spark, []) == []
     plan = plan_of(licenses.scan(spark.range(1).selectExpr("id AS doc_id", "'x' AS text")))
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+"""
+
+
+def test_canonical_notices(spark):
+    texts = [MIT, BSD, GPL, BSD.replace("\n\n", "\n"), BSD.replace("\n\n", "\n").replace("1.", "1)").replace("2.", "2)").replace("3.", "3)"),
+             "".join(f"# {line}\n" for line in BSD.splitlines()), "".join(f"// {line}\n" for line in GPL.splitlines()), MIT.replace("\n", "\r\n"),
+             BSD[:BSD.index("3.")], BSD.replace("1.", "\u2022").replace("2.", "\u2022").replace("3.", "\u2022")]
+    got = {r[0]: [] for r in run(spark, list(enumerate(texts)))}
+    for r in run(spark, list(enumerate(texts))):
+        got[r[0]].append((r[1], r[5]))
+    assert [sorted(got[k]) for k in range(len(texts))] == [[("MIT", 1), ("MIT", 3)], [("BSD-3-Clause", 4)], [("GPL-3.0-or-later", 3)], [("BSD-3-Clause", 4)],
+        [("BSD-3-Clause", 4)], [("BSD-3-Clause", 4)], [("GPL-3.0-or-later", 3)], [("MIT", 1), ("MIT", 3)], [("BSD-2-Clause", 3)], [("BSD-3-Clause", 4)]]
