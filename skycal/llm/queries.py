@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skycal.llm import decontamination, language, licenses, packing, quality, simhash, substrings, toxicity, vectors, warc
+from skycal.llm import decontamination, language, licenses, packing, piece_spans, quality, simhash, substrings, toxicity, vectors, warc
 from skycal.llm.shared import table
 
 
@@ -66,6 +66,16 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"), 0.98).withColumnRenamed("component", "component_id")
 
 
+def op12_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_source_bytes: the bytes of the text that the pieces' spans cover together, which is all of them."""
+    found = piece_spans.encode(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        (F.element_at("ends", -1) - F.element_at("starts", 1)).alias("n_source_bytes"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substrings": op1_substrings,
     "op2_packing": op2_packing,
@@ -77,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_near_vectors": op10_near_vectors,
+    "op12_piece_spans": op12_piece_spans,
 }
 
 ORACLES: dict[str, str] = {
