@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skycal.llm import decontamination, language, licenses, packing, piece_spans, quality, simhash, substrings, toxicity, vectors, warc
+from skycal.llm import decontamination, language, licenses, packing, piece_spans, prefix_trie, quality, simhash, substrings, toxicity, vectors, warc
 from skycal.llm.shared import table
 
 
@@ -76,6 +76,10 @@ def op12_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.element_at("ends", -1) - F.element_at("starts", 1)).alias("n_source_bytes"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("node")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substrings": op1_substrings,
     "op2_packing": op2_packing,
@@ -88,9 +92,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_near_vectors": op10_near_vectors,
     "op12_piece_spans": op12_piece_spans,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
     "op3_licenses": licenses.scan_sql(),
     "op7_warc": OP7_SQL,
+    "op13_prefix_trie": prefix_trie.PREFIX_TRIE_SQL,
 }

@@ -1,0 +1,103 @@
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from skycal.llm import prefix_trie as m
+from skycal.llm.prefix_trie import prefix_trie
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string, node string, depth int"
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def brute_force(rows):
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            tie = hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()[:32]
+            own[conv].append(((turn is not None, turn or 0, tie), (role, text)))
+    turns = {c: [t for _, t in sorted(v)] for c, v in own.items()}
+    built = {}
+    for c, mine in turns.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        built[c] = tuple(turns.get(c - c % 20, [])[:h] + mine[h:])
+    members, ends = defaultdict(set), defaultdict(list)
+    for c, path in built.items():
+        ends[path].append(c)
+        for d in range(len(path) + 1):
+            members[path[:d]].add(c)
+    children = defaultdict(int)
+    for node in members:
+        if node:
+            children[node[:-1]] += 1
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for node, who in members.items():
+        words = len(re.findall(r"[^\x20\x09-\x0D]+", node[-1][1])) if node else 0
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += not children[node]
+            saved[node[:d]] += (len(who) - 1) * words
+    return sorted((min(who), len(n), min(members[n[:-1]]) if n else None, len(who), children[n], leaves[n], saved[n],
+                   hashlib.sha256(",".join(map(str, sorted(ends[n]))).encode()).hexdigest()) for n, who in members.items())
+
+
+def found(spark, rows, parts=3):
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA).repartition(parts)
+    return sorted(map(tuple, prefix_trie(df).select(COLUMNS).collect()))
+
+
+@pytest.mark.parametrize("band", [2, 3, 16])
+def test_equals_brute_force(spark, monkeypatch, band):
+    """Few texts, so that paths share, and conversations of up to 60 turns, so that there are several rounds of bands."""
+    monkeypatch.setattr(m, "BAND", band)
+    monkeypatch.setattr(m, "IDS_A_PIECE", 3)
+    rng = random.Random(band)
+    rows = []
+    for c in [*range(60), *range(200, 230), 1000, 1007]:
+        for t in range(rng.choice([1, 1, 2, 3, 4, 9, 25, 60])):
+            rows.append((c, t, rng.choice(["user", "assistant"]), rng.choice(["a b", "a b", "ç\td\x0be"])))
+    assert found(spark, rows) == brute_force(rows)
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, None, None), (1, None, "u", "null turn first"), (1, 5, "u", "tie b"), (1, 5, "u", "tie a"), (1, 5, "u", "tie a"),
+            (None, 1, "u", "no conversation"), (None, None, None, None), (21, 0, "u", ""), (40, 0, "", "base of a group"),
+            (41, 0, "u", "long " * 50_000), (41, 1, "u", "\x00 \x1f"), (42, 0, "u", "x"), (2**53 + 1, 0, "u", "x")]
+    rows += [(c, 0, "u", "same") for c in range(300, 320)]
+    assert found(spark, rows) == brute_force(rows)
+
+
+def test_role_and_text_are_told_apart(spark):
+    rows = [(c, 9 + t, *pair) for c, pair in ((60, ("ab", "c")), (61, ("a", "bc")), (62, ("", "abc"))) for t in range(5)]
+    assert found(spark, rows) == brute_force(rows)
+
+
+def test_empty_table(spark):
+    assert found(spark, []) == [] and found(spark, [(None, 1, "u", "x")]) == []
+
+
+def test_a_conversation_spread_over_all_partitions(spark):
+    """Two thirds of all rows are in one conversation, and another repeats the first half of it."""
+    rng = random.Random(5)
+    long = [(rng.choice("uv"), f"turn {k % 7}") for k in range(400)]
+    rows = [(7, k, *t) for k, t in enumerate(long)] + [(8, k, *t) for k, t in enumerate(long[:100])]
+    rows += [(9, 0, "u", "other")]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = m.turns(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA))
+        parts = m._paths(placed, [m.F.col("turn"), m.F.col("x")], m.Store(spark, "test"), "t")
+        assert parts.where("conv = 7 AND at = 399").count() == 1 and parts.where("conv = 7").count() == 400
+        assert found(spark, rows, 6) == brute_force(rows)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_hot_parent_and_a_hot_end(spark, monkeypatch):
+    """All conversations below one node, and a node at which hundreds end, both in pieces."""
+    monkeypatch.setattr(m, "HOT_SHARE", 4)
+    monkeypatch.setattr(m, "IDS_A_PIECE", 16)
+    rows = [(c, t, "u", text) for c in range(2000, 2400) for t, text in enumerate(["s", "s", "s", "s", f"{c % 40}"][:5 if c % 2 else 4])]
+    assert found(spark, rows) == brute_force(rows)
