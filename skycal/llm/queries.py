@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skycal.llm import decontamination, language, licenses, packing, piece_spans, prefix_trie, quality, simhash, substrings, toxicity, vectors, warc
+from skycal.llm import decontamination, divergence, language, licenses, packing, piece_spans, prefix_trie, quality, simhash, substrings, toxicity, vectors, warc
 from skycal.llm.shared import table
 
 
@@ -66,6 +66,10 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"), 0.98).withColumnRenamed("component", "component_id")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 def op12_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """n_source_bytes: the bytes of the text that the pieces' spans cover together, which is all of them."""
     found = piece_spans.encode(table(spark, sf_dir, "documents"))
@@ -91,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_near_vectors": op10_near_vectors,
+    "op11_divergence": op11_divergence,
     "op12_piece_spans": op12_piece_spans,
     "op13_prefix_trie": op13_prefix_trie,
 }
@@ -98,5 +103,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_licenses": licenses.scan_sql(),
     "op7_warc": OP7_SQL,
+    "op11_divergence": divergence.DIVERGENCE_SQL,
     "op13_prefix_trie": prefix_trie.PREFIX_TRIE_SQL,
 }
