@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Insults every lexicon begins with; further words and stems are learned from labelled documents.
@@ -18,7 +18,6 @@ BASE_TERMS = ("stupid", "idiot", "moron", "loser", "trash", "scum", "clown", "pa
 REPORTING = re.compile(r"(?i)\b(said|says|wrote|writes|called|quoted?|quoting|cited?|the (word|term|phrase)|so-called)\b[^.!?\n]*$")
 QUOTES = re.compile("[\"“”„«»‘’]|(?<!\\w)'|'(?!\\w)")
 SAMPLE = 20_000        # labelled documents that the model is fitted on, at most about so many
-MAX_TERMS = 200        # learned terms kept, and words beside their stems
 STEMS = (4, 5, 6, 7, 8)      # letters of a stem
 BASE_WEIGHT = 4.0      # of a base term that no labelled document speaks about
 WINDOW = 32            # words of a context window
@@ -169,17 +168,33 @@ def features(text: str | None, automaton: Automaton) -> np.ndarray:
     return out
 
 
+def objective(x: np.ndarray, y: np.ndarray, w: np.ndarray, prior: np.ndarray, strength: float) -> float:
+    """Negative log-likelihood, and the pull to the prior weights."""
+    z = x @ w
+    return float(np.logaddexp(0, np.where(y > 0.5, -z, z)).sum() + strength / 2 * ((w - prior) ** 2).sum())
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, strength: float = 1.0) -> np.ndarray:
-    """Newton's method, drawn to the prior weights: without rows these are the result."""
+    """Newton's method, drawn to the prior weights: without rows these are the result. Each step is halved until the
+    objective falls by a share of what its slope promises, as full steps diverge where classes are nearly separable."""
     w = prior.copy()
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+    now = start = objective(x, y, w, prior, strength)
+    for _ in range(100):
+        p = np.exp(-np.logaddexp(0, -(x @ w)))
         gradient = x.T @ (p - y) + strength * (w - prior)
         hessian = (x * (p * (1 - p))[:, None]).T @ x + strength * np.eye(len(w))
         move = np.linalg.solve(hessian, gradient)
-        w -= move
-        if np.abs(move).max() < 1e-6:
+        size, slope = 1.0, float(gradient @ move)
+        while size > 1e-10 and objective(x, y, w - size * move, prior, strength) > now - 1e-4 * size * slope:
+            size /= 2
+        if size <= 1e-10:
+            break
+        w = w - size * move
+        now = objective(x, y, w, prior, strength)
+        if slope < 1e-9:
             break
+    if now > start:
+        raise ArithmeticError(f"the fit ends at {now}, above {start} at the prior weights")
     return w
 
 
@@ -202,14 +217,15 @@ def chosen_terms(counts: list[tuple[str, int, int]], toxic: int, others: int, ca
     share = min(0.9, max(toxic, 1) / max(toxic + others, 2))
     strong = [(evidence(n, o, share), t, n, o) for t, n, o in counts if n >= 3 and n >= o]
     strong = sorted((x for x in strong if x[0] >= math.log(100 * max(candidates, 1))), key=lambda x: (-x[0], -len(x[1]), x[1]))
-    covers = lambda s, t: s.endswith("*") and t.rstrip("*").startswith(s[:-1])
     kept: dict[str, float] = {}
+    begun: set[str] = set()          # beginnings of the kept
     weight = lambda n, o: math.log((n + 0.5) / (toxic + 1) * (others + 1) / (o + 0.5))
+    covered = lambda t: any(t[:k] + "*" in kept for k in STEMS if k <= len(t.rstrip("*")))
     for _, t, n, o in strong:
-        if len(kept) < MAX_TERMS and not any(covers(k, t) or covers(t, k) for k in kept):
+        if not covered(t) and not (t.endswith("*") and t[:-1] in begun):
             kept[t] = weight(n, o)
-    words = [(t, weight(n, o)) for _, t, n, o in strong if t not in kept and allowed(t) and any(covers(k, t) for k in kept)]
-    return kept | dict(words[:MAX_TERMS])
+            begun.update(t.rstrip("*")[:k] for k in range(len(t) + 1))
+    return kept | {t: weight(n, o) for _, t, n, o in strong if t not in kept and allowed(t) and covered(t)}
 
 
 @dataclass
@@ -223,32 +239,32 @@ class Model:
 
 def fit(labelled: DataFrame, sample: int = SAMPLE, text_col: str = "text", label_col: str = "toxic") -> Model:
     """Learns terms and weights from a sample of distinct labelled texts, about `sample` of them. Texts stay on the
-    executors: counts of candidate terms and one row of features for each sampled text come back."""
+    executors: counts of those terms of the sample that could be chosen, and one row of features for each sampled
+    text, come back."""
     rows = labelled.where(F.col(label_col).isin(0, 1)).select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("y"))
     n = rows.count()
     rows = rows.withColumn("h", F.xxhash64("text"))
     if n > sample:
         rows = rows.where(F.pmod(F.col("h"), F.lit(1 << 20)) < F.lit(int((1 << 20) * sample / n)))
-    rows = rows.repartition(F.col("h"))
+    once = rows.select("text", "y").distinct()      # copies collapse where they are read
 
     def toxic_terms(batches):
         for batch in batches:
-            sets = [candidate_terms(t) for t, y, first in zip(*(c.to_pylist() for c in batch.columns)) if y == 1 and first]
+            sets = [candidate_terms(t) for t, y in zip(*(c.to_pylist() for c in batch.columns)) if y == 1]
             yield pa.RecordBatch.from_arrays([pa.array([t for s in sets for t in s], pa.string())], names=["term"])
 
-    once = rows.withColumn("first", F.row_number().over(Window.partitionBy("h", "y").orderBy("y")) == 1).select("text", "y", "first")
-    sizes = {r.y: r.n for r in once.where("first").groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r.y: r.n for r in once.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, docs = sizes.get(1, 0), sum(sizes.values())
     support = once.mapInArrow(toxic_terms, "term string").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     candidates = support.count()
     least = max(3, math.log(100 * max(candidates, 1)) / -math.log(min(0.9, max(toxic, 1) / max(docs, 2))))
-    seen = {r.term: r.n for r in support.where(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(100 * MAX_TERMS).collect()}
+    seen = {r.term: r.n for r in support.where(F.col("n") >= least).collect()}
 
     def other_counts(batches):
         totals = dict.fromkeys(seen, 0)
         for batch in batches:
-            for text, y, first in zip(*(c.to_pylist() for c in batch.columns)):
-                if y == 0 and first:
+            for text, y in zip(*(c.to_pylist() for c in batch.columns)):
+                if y == 0:
                     for t in candidate_terms(text) & totals.keys():
                         totals[t] += 1
         hit = [(t, n) for t, n in totals.items() if n]
@@ -260,8 +276,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, text_col: str = "text", label
 
     def measured(batches):
         for batch in batches:
-            texts, ys, firsts = (c.to_pylist() for c in batch.columns)
-            keep = [(features(t, automaton), y) for t, y, f in zip(texts, ys, firsts) if f]
+            keep = [(features(t, automaton), y) for t, y in zip(*(c.to_pylist() for c in batch.columns))]
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keep], pa.list_(pa.float64())), pa.array([k[1] for k in keep], pa.int32())], names=["x", "y"])
 
     told = once.mapInArrow(measured, "x array<double>, y int").collect()
@@ -289,7 +304,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0,
     one; further columns are ignored."""
     fold = lambda c: F.pmod(F.crc32(F.col(c).cast("string").cast("binary")), F.lit(folds))
     known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("_toxic")).where(
-        F.col("_toxic").isNotNull() & F.col("_id").isNotNull()).where(fold("_id") != held)
+        F.col("_toxic").isNotNull() & F.col("_id").isNotNull()).where(fold("_id") != held).distinct()
     n = known.count()
     if n > 2 * sample:      # the sample of ids is bounded, so that texts need not be moved to find it
         known = known.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) < F.lit(int((1 << 20) * 2 * sample / n)))

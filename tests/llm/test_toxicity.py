@@ -1,6 +1,9 @@
 import random
 import zlib
 
+import numpy as np
+import pytest
+
 from skycal.llm import toxicity as tox
 
 DOCS = "doc_id bigint, text string, score string, term int, h int"
@@ -100,3 +103,38 @@ def test_odd_rows(spark):
     assert len(got) == 6 and {r.predicted for r in got if r.doc_id is None} == {1} and {r.held_out for r in got if r.doc_id is None} == {False}
     assert {r.predicted for r in got if r.doc_id in (1, 2, 4)} == {0}
     assert tox.toxicity(spark.createDataFrame([], DOCS), spark.createDataFrame([], LABELS)).collect() == []
+
+
+def test_fit_on_nearly_separable_features():
+    """Features of toxic texts go together and only few texts cross over: full Newton steps diverge here."""
+    rng = np.random.default_rng(4)
+    y = (rng.random(3000) < 0.11).astype(float)
+    strength = np.where(y == 1, 2 + 3 * rng.random(3000), 0) * (rng.random(3000) < 0.93)
+    x = np.column_stack([np.ones(3000), *[strength * (0.5 + 0.1 * k) + 0.01 * rng.random(3000) for k in range(5)], rng.random(3000) * (strength > 0)])
+    for prior in (tox.PRIOR, 10 * tox.PRIOR, np.zeros(7)):
+        w = tox.fit_logistic(x, y, prior)
+        end = tox.objective(x, y, w, prior, 1.0)
+        assert end < 0.7 * tox.objective(x, y, prior, prior, 1.0)
+        step = 1e-4 * rng.standard_normal((50, 7))
+        assert all(tox.objective(x, y, w + s, prior, 1.0) >= end - 1e-6 for s in step)
+        right = ((x @ w > 0) == y).mean()
+        assert right >= 0.98
+    assert (tox.fit_logistic(np.zeros((0, 7)), np.zeros(0), tox.PRIOR) == tox.PRIOR).all()
+
+
+@pytest.mark.parametrize("scale,recall", [("0.01", 0.6), ("0.1", 0.85)])
+def test_held_out_labels_of_the_tables(spark, scale, recall):
+    """Few labels at the smaller scale: six toxic texts are held out there."""
+    folder = f"/root/testdata/sf{scale}"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    found = tox.toxicity(spark.read.parquet(f"{folder}/documents.parquet"), labels)
+    told = found.where("held_out").join(labels.where("toxic IS NOT NULL"), "doc_id").select("toxic", "predicted").collect()
+    toxic, clean = ([r.predicted for r in told if r.toxic == y] for y in (1, 0))
+    assert sum(toxic) >= recall * len(toxic) and sum(clean) <= 0.02 * len(clean)
+
+
+def test_rows_of_one_id_do_not_break_the_sample(spark):
+    docs = [(7, f"text {k} stupid", "x", 1, 1) for k in range(300)]
+    labels = [(7, 1, 1)] * 300 + [(7, 1, 0)]
+    found = tox.toxicity(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS), sample=20).collect()
+    assert len(found) == 300
