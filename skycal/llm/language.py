@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 HIDDEN = 8
 SEGMENT = 128          # bytes read from an empty state, in both directions; a text is read as a whole, segment by segment
-BATCH = 2048           # segments that step together
+BATCH = 2048           # segments that step together: always so many, as matrix products of other shapes round otherwise
 TRAIN_SEGMENT = 64
 PER_LANGUAGE = 1500    # documents of a language that the network is fitted on, about
 PER_DOCUMENT = 2       # segments of such a document
@@ -139,18 +139,21 @@ def document_probabilities(net: Network, texts: list[bytes]) -> np.ndarray:
         data[at:at + len(t)] = np.frombuffer(t, np.uint8)
     data = data.reshape(-1, SEGMENT)
     for k in range(0, len(owner), BATCH):
-        x = np.ascontiguousarray(data[k:k + BATCH].T)
-        p = net.probabilities(x)[0]
+        own = owner[k:k + BATCH]
+        x = np.full((SEGMENT, BATCH), 32, np.uint8)
+        x[:, :len(own)] = data[k:k + BATCH].T
+        p = net.probabilities(x)[0][:, :len(own)]
         p[np.arange(SEGMENT)[:, None] >= left[None, k:k + BATCH]] = 0
-        np.add.at(out, owner[k:k + BATCH], p.sum(axis=0, dtype=np.float64))
+        np.add.at(out, own, p.sum(axis=0, dtype=np.float64))
     return out / np.maximum(sizes, 1)[:, None]
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Network | None:
-    """A network from about per_language documents of each language; None where none has one. Only segments of
-    TRAIN_SEGMENT bytes of the sampled documents reach the driver."""
+    """A network from about per_language documents of each language; None where none has one. Only distinct segments of
+    TRAIN_SEGMENT bytes of the sampled documents reach the driver. The sample goes by id and text, so that rows of
+    one id, or without any, are bounded too; repeated rows are taken together and count once."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("text"), F.pmod(F.xxhash64(id_col), F.lit(1 << 24)).alias("h"))
+        F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("text"), F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 24)).alias("h"))
     counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return None
@@ -168,7 +171,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, text_col: str = "text
                         out.append((lang, piece))
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.binary())], names=["lang", "piece"])
 
-    rows = known.where(F.col("h") < limit).select("lang", "text").mapInArrow(cut, "lang string, piece binary").collect()
+    rows = known.where(F.col("h") < limit).select("lang", "text").mapInArrow(cut, "lang string, piece binary").distinct().collect()
     rows = sorted((r.lang, bytes(r.piece)) for r in rows)      # the order in which tasks end must not matter
     return train([p for _, p in rows], [g for g, _ in rows]) if rows else None
 
