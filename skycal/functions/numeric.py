@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skycal.functions.decimals import with_rounded
+
 FRACTIONAL = (T.DoubleType, T.FloatType)
 
 
@@ -34,9 +36,10 @@ def require_columns(df: DataFrame, columns: list[str]) -> None:
         raise ValueError("missing required columns: " + ", ".join(missing))
 
 
-def round_fractions(df: DataFrame, decimals: int, skip: tuple[str, ...] = ()) -> DataFrame:
-    return df.select(*[
-        F.round(f.name, decimals).alias(f.name)
-        if isinstance(f.dataType, FRACTIONAL) and f.name not in skip else F.col(f.name)
-        for f in df.schema.fields
-    ])
+def round_fractions(df: DataFrame, decimals: int, skip: tuple[str, ...] = (), exact: bool = False) -> DataFrame:
+    """Fractional columns rounded to decimals: half up as Spark rounds, or, with exact, to what printf writes and a
+    reader gets back."""
+    chosen = [f.name for f in df.schema.fields if isinstance(f.dataType, FRACTIONAL) and f.name not in skip]
+    if exact:
+        return with_rounded(df, chosen, decimals)
+    return df.select(*[F.round(c, decimals).alias(c) if c in chosen else F.col(c) for c in df.columns])

@@ -68,6 +68,56 @@ def add_healpix(df: DataFrame, nside: int, ra: str, dec: str, name: str) -> Data
     return step.withColumn(name, pixel.cast("bigint")).drop(*[f"_h{i}" for i in range(6)])
 
 
+def _spread(x: Column) -> Column:
+    """The bits of a number below 2^29 with a zero between each and the next."""
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask))
+    return x
+
+
+def add_healpix_nested(df: DataFrame, nside: int, ra: str, dec: str, name: str) -> DataFrame:
+    """Add the HEALPix pixel number in the NESTED scheme (Gorski et al. 2005); NULL without a position. nside is a power
+    of two up to 2^29.
+
+    A pixel is a place (x, y) on one of twelve faces, and its number the face followed by the bits of y and x in turn.
+    So the pixels of a coarser grid are whole ranges of numbers, see nested_parent and nested_range."""
+    if nside < 1 or nside & (nside - 1) or nside > 1 << 29:
+        raise ValueError(f"nside: {nside} is no power of two up to 2^29")
+    z, t, up, down, quarter, face, x, y = (F.col(f"_h{i}") for i in range(8))
+    step = df.withColumns({"_h0": F.sin(F.radians(dec)), "_h1": F.pmod(F.col(ra), F.lit(360.0)) / 90})
+    belt = F.abs(z) <= 2.0 / 3.0
+    part = t - F.floor(t)
+    width = nside * F.sqrt(3 * (1 - F.abs(z)))
+    most = F.lit(nside - 1).cast("bigint")
+    # Lines that rise and that fall through the place: whole numbers of them from the start of the belt, or from the pole.
+    step = step.withColumns({
+        "_h2": F.when(belt, F.floor(nside * (0.5 + t) - nside * z * 0.75)).otherwise(F.least(F.floor(part * width), most)),
+        "_h3": F.when(belt, F.floor(nside * (0.5 + t) + nside * z * 0.75)).otherwise(F.least(F.floor((1 - part) * width), most)),
+        "_h4": F.least(F.floor(t), F.lit(3).cast("bigint")),
+    })
+    rising, falling = F.floor(up / F.lit(nside)), F.floor(down / F.lit(nside))
+    step = step.withColumns({
+        "_h5": F.when(~belt, F.when(z > 0, quarter).otherwise(quarter + 8)).when(rising == falling, F.pmod(rising, F.lit(4)) + 4).when(
+            rising < falling, F.pmod(rising, F.lit(4))).otherwise(F.pmod(falling, F.lit(4)) + 8),
+        "_h6": F.when(belt, F.pmod(down, F.lit(nside))).when(z > 0, most - down).otherwise(up),
+        "_h7": F.when(belt, most - F.pmod(up, F.lit(nside))).when(z > 0, most - up).otherwise(down),
+    })
+    pixel = face * F.lit(nside * nside) + _spread(x.cast("bigint")) + F.shiftleft(_spread(y.cast("bigint")), 1)
+    return step.withColumn(name, F.when(z.isNotNull() & t.isNotNull(), pixel.cast("bigint"))).drop(*[f"_h{i}" for i in range(8)])
+
+
+def nested_parent(pixel: Column, nside: int, coarser: int) -> Column:
+    """The pixel of a coarser grid that a NESTED pixel lies in."""
+    return F.shiftright(pixel, 2 * (nside.bit_length() - coarser.bit_length()))
+
+
+def nested_range(pixel: Column, nside: int, finer: int) -> tuple[Column, Column]:
+    """First and last pixel of a finer grid that a NESTED pixel is made of: a condition on a sorted column that skips
+    files and row groups by their statistics."""
+    bits = 2 * (finer.bit_length() - nside.bit_length())
+    return F.shiftleft(pixel, bits), F.shiftleft(pixel + 1, bits) - 1
+
+
 def add_healpix_center(df: DataFrame, nside: int, pix: str, ra: str, dec: str) -> DataFrame:
     """Add the position in degrees of the centre of a RING pixel."""
     n, ncap, npix = nside, 2 * nside * (nside - 1), 12 * nside * nside

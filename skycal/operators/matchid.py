@@ -37,6 +37,15 @@ def running_id(df: DataFrame, order: list, name: str = "MATCHID") -> DataFrame:
     )
 
 
-def match_ids(matched: DataFrame, star_order: list[str], obs_order: list[str]) -> DataFrame:
-    """MATCHID over (star order, observation order)."""
-    return running_id(matched, [F.col(c) for c in [*star_order, *obs_order]])
+def match_ids(matched: DataFrame, star_order: list[str], obs_order: list[str], per: list[str] | None = None) -> DataFrame:
+    """MATCHID over (star order, observation order); with per, 1, 2, ... in each of the groups of those columns.
+
+    Groups are numbered as one order, of which each then begins at its own least number: one row per group, whose
+    size at run time decides how it is joined."""
+    if not per:
+        return running_id(matched, [F.col(c) for c in [*star_order, *obs_order]])
+    numbered = materialize(running_id(matched, [F.col(c) for c in [*per, *star_order, *obs_order]], "_number"), "numbered")
+    first = numbered.groupBy(*per).agg((F.min("_number") - 1).alias("_before"))
+    on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in per]
+    return numbered.alias("a").join(first.alias("b"), on).select(
+        (F.col("a._number") - F.col("b._before")).alias("MATCHID"), *[F.col(f"a.`{c}`") for c in matched.columns])

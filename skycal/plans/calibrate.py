@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from skycal.operators.catalog import attach_to_matches, flatten_catalog, missing
 from skycal.operators.crossmatch import crossmatch
 from skycal.operators.matchid import match_ids
 from skycal.operators.materialize import materialize
-from skycal.operators.refcat import missing_pixels, prune_reference
+from skycal.operators.refcat import missing_pixels, object_pixels, prune_reference
 from skycal.operators.selection import select_survey_images
 from skycal.operators.zeropoints import zero_points
 from skycal.sources.sinks import write_table
@@ -42,13 +43,18 @@ def calibrate(exposure: DataFrame, archive: DataFrame, image: DataFrame, objects
               tiles: DataFrame, tol_arcsec: float = 2.0, pick: str = "first", bands: tuple[str, ...] | None = None,
               all_medians: bool = True, flux: str = "FLUX_APER_08_2", fluxerr: str = "FLUXERR_APER_08_2",
               images: DataFrame | None = None, matched: DataFrame | None = None, store: str | None = None,
+              prune: str = "images", number_per: list[str] | None = None, keep_matched: Callable[[DataFrame], DataFrame] | None = None,
               **clip) -> Calibration:
     """Select images, prune the reference catalogue, flatten, match, attach metadata, and solve.
 
     Tile and band are columns, so what used to be one run per tile and band is one job; the median
     window is taken per tile and band. bands=None takes the survey's selection. A step is skipped by
     passing its result (images, matched) from an earlier run; store names a folder to keep them in,
-    matches by band and tile.
+    matches by band and tile; keep_matched stores the matches in another way, and returns them. MATCHID runs over all
+    matches, or over those of each group of the columns number_per.
+
+    prune="images" keeps the reference stars in the pixels of the images' corners and centres, so that which stars an image
+    meets depends on the other images of the run; prune="objects" keeps those near any object, which loses none.
 
     The image table is written first, since several steps read it. Metadata is joined after the match, which depends on positions alone, so that the wide
     rows that find no star are shuffled once and not twice."""
@@ -56,13 +62,15 @@ def calibrate(exposure: DataFrame, archive: DataFrame, image: DataFrame, objects
     if images is None:
         images = select_survey_images(exposure, archive, image, tiles, **cuts)
         images = materialize(images, "images") if store is None else _keep(images, store, "images")
-    stars = prune_reference(refcat, images)
+    if prune not in ("images", "objects"):
+        raise ValueError(f"prune: {prune!r} is neither 'images' nor 'objects'")
+    observed = of_images(flatten_catalog(objects), images)
+    stars = prune_reference(refcat, images, pixels=object_pixels(observed, tol_arcsec=tol_arcsec) if prune == "objects" else None)
     if matched is None:
-        observed = of_images(flatten_catalog(objects), images)
         matched = attach_to_matches(crossmatch(stars, observed, tol_arcsec, pick, tie_break=STAR_ORDER), images)
         # The running number goes by star and then observation, as a sorted match file has it.
-        matched = match_ids(matched, ["RA_WRAP_1", "DEC_1"], ["RA_WRAP_2", "DEC_2", "NUMBER_2", "FILENAME_2"])
-        matched = _keep(matched, store, "matched", ["BAND_2", "TILE_2"])
+        matched = match_ids(matched, ["RA_WRAP_1", "DEC_1"], ["RA_WRAP_2", "DEC_2", "NUMBER_2", "FILENAME_2"], number_per)
+        matched = keep_matched(matched) if keep_matched else _keep(matched, store, "matched", ["BAND_2", "TILE_2"])
     solved = zero_points(matched, F.col("BAND_2"), flux, fluxerr, median_per=["TILE_2", "BAND_2"],
                          all_medians=all_medians, **clip)
     return Calibration(images, stars, matched, _keep(solved, store, "zero_points"),

@@ -3,6 +3,7 @@ that must give the same rows."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -15,10 +16,13 @@ from skycal.operators import catalog, histograms, medians, qa, refcat, selection
 from skycal.operators.clipping import flag_outliers, sigma_clip
 from skycal.operators.crossmatch import crossmatch
 from skycal.operators.matchid import match_ids
-from skycal.operators.materialize import materialize
+from skycal.operators.materialize import materialize, shared_folder
 from skycal.plans import oracle as sql
 from skycal.plans.calibrate import calibrate as calibrate_survey
 from skycal.plans.proxy import object_catalog, observed_catalog, star_catalog, stored, table
+from skycal.plans.resume import calibrate_changed
+from skycal.sources.catalog_store import attach_bucketed, read_unit_catalogs, write_bucketed, write_unit_catalogs
+from skycal.sources.headers import read_csv_by_header
 from skycal.sources.sinks import fixed_decimals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -238,6 +242,27 @@ def healpix4096(spark, d):
     return sky.add_healpix(table(spark, d, "obs"), 4096, "ra", "dec", "hpix").select("obs_id", "hpix")
 
 
+def _nested_sql(source: str, n: int, keep: str) -> str:
+    """NESTED pixels by face and place, their bits put together one by one."""
+    bits = n.bit_length() - 1
+    woven = " + ".join(f"(((x >> {k}) & 1) << {2 * k}) + (((y >> {k}) & 1) << {2 * k + 1})" for k in range(bits))
+    return f"""SELECT {keep}, face*{n * n} + {woven} AS nest FROM (
+      SELECT {keep}, CASE WHEN abs(z) > 2e0/3e0 THEN CASE WHEN z > 0 THEN q ELSE q+8 END WHEN jp // {n} = jm // {n} THEN (jp // {n}) % 4 + 4
+          WHEN jp // {n} < jm // {n} THEN (jp // {n}) % 4 ELSE (jm // {n}) % 4 + 8 END AS face,
+        CASE WHEN abs(z) <= 2e0/3e0 THEN jm % {n} WHEN z > 0 THEN {n - 1} - jm ELSE jp END AS x,
+        CASE WHEN abs(z) <= 2e0/3e0 THEN {n - 1} - jp % {n} WHEN z > 0 THEN {n - 1} - jp ELSE jm END AS y
+      FROM (SELECT {keep}, z, least(CAST(floor(t) AS BIGINT), 3) AS q,
+          CAST(CASE WHEN abs(z) <= 2e0/3e0 THEN floor({n}*(5e-1+t) - {n}*z*75e-2) ELSE least(floor((t-floor(t))*{n}*sqrt(3*(1-abs(z)))), {n - 1}) END AS BIGINT) AS jp,
+          CAST(CASE WHEN abs(z) <= 2e0/3e0 THEN floor({n}*(5e-1+t) + {n}*z*75e-2) ELSE least(floor((1-(t-floor(t)))*{n}*sqrt(3*(1-abs(z)))), {n - 1}) END AS BIGINT) AS jm
+        FROM (SELECT {keep}, sin(radians(dec)) AS z, {sql.pmod('ra', '360e0')}/90e0 AS t FROM {source}) AS a) AS b) AS c"""
+
+
+@query(sql.with_tables(["obs"], f"""SELECT obs_id, nest, nest >> 18 AS nest8 FROM ({_nested_sql('obs', 4096, 'obs_id')}) AS n"""))
+def healpix_nested(spark, d):
+    o = sky.add_healpix_nested(table(spark, d, "obs"), 4096, "ra", "dec", "nest")
+    return o.select("obs_id", "nest", sky.nested_parent(F.col("nest"), 4096, 8).alias("nest8"))
+
+
 def _center_sql(n: int) -> str:
     ncap, npix = 2 * n * (n - 1), 12 * n * n
     return f"""SELECT hpix, round(ra, 6) AS ra, round(degrees(asin(z)), 6) AS dec FROM (
@@ -369,6 +394,51 @@ def missing_catalogs(spark, d):
     return catalog.missing_catalogs(object_catalog(table(spark, d, "obs")), images)
 
 
+def _scratch(spark, label: str) -> str:
+    """A new folder where the cluster shares files."""
+    return f"{shared_folder(spark).rstrip('/')}/skycal-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+# Three kinds of files: other orders, and columns that two of them lack.
+HEADERS = [["expnum", "band", "radeg", "decdeg", "exptime"], ["field", "decdeg", "expnum", "radeg", "nite"],
+           ["nite", "object", "field", "expnum", "band", "program"]]
+HEADER_COLUMNS = ["expnum", "band", "radeg", "decdeg", "exptime", "nite", "field", "object", "program"]
+
+
+@query(sql.with_tables(["exposure"], "SELECT " + ", ".join(
+    c if c == "expnum" else "CASE WHEN " + " OR ".join(f"expnum % 3 = {k}" for k, h in enumerate(HEADERS) if c in h) + f" THEN {c} END AS {c}"
+    for c in HEADER_COLUMNS) + " FROM exposure"))
+def csv_union_by_header(spark, d):
+    """Exposures kept as CSV files of three different headers, read back as one table by column name."""
+    e, folder = materialize(table(spark, d, "exposure").select(*HEADER_COLUMNS), "exposure"), _scratch(spark, "headers")
+    for k, header in enumerate(HEADERS):
+        e.where(F.col("expnum") % 3 == k).select(*header).write.option("header", True).option("escape", '"').csv(f"{folder}/{k}")
+    return read_csv_by_header(spark, folder, e.schema)
+
+
+@query(sql.with_tables(FIELD_TABLES, """SELECT o.filename AS "FILENAME", o.obs_id AS "NUMBER", i.expnum AS "EXPNUM",
+  CAST(i.tile AS INTEGER) AS "TILE", i.band AS "BAND", round(o.flux_psf, 6) AS "FLUX_PSF"
+  FROM field_obs AS o JOIN images AS i ON o.filename = i.filename WHERE i.band IN ('r', 'z') AND i.expnum % 4 < 2""", FIELD_SELECTION))
+def listed_catalog_scan(spark, d):
+    """Objects stored by band and tile; the scan is driven by a list of images and opens their units only."""
+    objects, images = _field_images(spark, d)
+    images, folder = materialize(images, "images"), _scratch(spark, "units")
+    write_unit_catalogs(catalog.flatten_catalog(object_catalog(objects)), images, folder)
+    found = read_unit_catalogs(spark, folder, images.where("BAND IN ('r', 'z') AND EXPNUM % 4 < 2"))
+    return found.select("FILENAME", "NUMBER", "EXPNUM", "TILE", "BAND", r6("FLUX_PSF"))
+
+
+@query(sql.with_tables(FIELD_TABLES, """SELECT o.filename AS "FILENAME", o.obs_id AS "NUMBER", i.expnum AS "EXPNUM",
+  CAST(i.tile AS INTEGER) AS "TILE", i.band AS "BAND", round(o.ra, 6) AS "RA"
+  FROM field_obs AS o JOIN images AS i ON o.filename = i.filename""", FIELD_SELECTION))
+def attach_metadata_bucketed(spark, d):
+    """Objects stored in buckets of their file names: the join with the images does not move them."""
+    objects, images = _field_images(spark, d)
+    name = f"objects_{uuid.uuid4().hex}"
+    write_bucketed(catalog.flatten_catalog(object_catalog(objects)), name, _scratch(spark, "buckets"), 16)
+    return attach_bucketed(spark, name, images).select("FILENAME", "NUMBER", "EXPNUM", "TILE", "BAND", r6("RA"))
+
+
 # ---- cross-match ---------------------------------------------------------------------------------------
 
 def _stars(spark, d):
@@ -737,6 +807,18 @@ def rounded_sink(spark, d):
     return fixed_decimals(zp, 4)
 
 
+@query(sql.with_tables(["obs"], """SELECT obs_id, printf('%.4f', (obs_id % 20011 - 10005)/32e0) AS ties, printf('%.6f', ra) AS ra,
+  printf('%.2f', (obs_id % 4001)*5e-3) AS near_ties, CAST(printf('%.2f', flux_psf) AS DOUBLE) AS flux_psf FROM obs"""))
+def exact_decimals(spark, d):
+    """Halves that a double holds exactly, halves that it only seems to hold, and ordinary values, as text and read back."""
+    o = table(spark, d, "obs")
+    df = o.select("obs_id", ((F.col("obs_id") % 20011 - 10005) / F.lit(32.0)).alias("ties"), "ra",
+                  ((F.col("obs_id") % 4001) * F.lit(5e-3)).alias("near_ties"), "flux_psf")
+    text = fixed_decimals(df.select("obs_id", "ties"), 4).join(fixed_decimals(df.select("obs_id", "ra"), 6), "obs_id")
+    return text.join(fixed_decimals(df.select("obs_id", "near_ties"), 2), "obs_id").join(
+        round_fractions(df.select("obs_id", "flux_psf"), 2, exact=True), "obs_id")
+
+
 # ---- the whole calibration -----------------------------------------------------------------------------
 
 FIELD_POINTS = POINTS_SQL.replace("FROM sel", "FROM images")
@@ -755,6 +837,15 @@ FIELD_CTES = [
 ]
 
 
+def _field_ctes(stars: str) -> list[tuple[str, str]]:
+    at = [n for n, _ in FIELD_CTES].index("observed") + 1
+    return [*FIELD_CTES[:at], *sql.match(obs="observed", stars=stars), *FIELD_CTES[[n for n, _ in FIELD_CTES].index("mags"):]]
+
+
+#: The same without pruning: every star may be met.
+ALL_STARS_CTES = _field_ctes(sql.STARS6)
+
+
 def _calibrated(spark, d, **options):
     objects, metadata = _field(spark, d)
     return calibrate_survey(*metadata, object_catalog(objects), star_catalog(stored(spark, d, "star")),
@@ -773,6 +864,21 @@ def calibrate(spark, d):
     return zp.select("FILENAME_2", "TILE_2", "BAND_2", r6("RA_CENT_2_MEDIAN"), *[r6(c) for c in ZP], "MAG_ZERO_NUM", "MATCHID_MEDIAN")
 
 
+@query(sql.with_tables([*FIELD_TABLES, "star"], """SELECT filename AS "FILENAME_2", CAST(tile AS INTEGER) AS "TILE_2",
+  band AS "BAND_2", round(quantile_cont(mag_diff, 0.5), 6) AS "MAG_ZERO_MEDIAN", round(avg(mag_diff), 6) AS "MAG_ZERO_MEAN",
+  count(mag_diff) AS "MAG_ZERO_NUM", quantile_cont(CAST(matchid_unit AS DOUBLE), 0.5) AS "MATCHID_MEDIAN"
+  FROM clip3 JOIN (SELECT matchid AS m, row_number() OVER (PARTITION BY tile, band ORDER BY matchid) AS matchid_unit FROM matched) AS u
+    ON u.m = matchid GROUP BY filename, tile, band""", ALL_STARS_CTES))
+def calibrate_resumed(spark, d):
+    """A calibration kept by band and tile: a first run knows two thirds of the exposures, a second all of them."""
+    objects, (exposure, archive, image) = _field(spark, d)
+    stars, boxes, store = star_catalog(stored(spark, d, "star")), tiles.survey_tiles(spark), _scratch(spark, "calibration")
+    rest = (archive, image, object_catalog(objects), stars, boxes, store)
+    calibrate_changed(exposure.where("expnum % 3 <> 0"), *rest)
+    zp = calibrate_changed(exposure, *rest).zero_points
+    return zp.select("FILENAME_2", "TILE_2", "BAND_2", r6("MAG_ZERO_MEDIAN"), r6("MAG_ZERO_MEAN"), "MAG_ZERO_NUM", "MATCHID_MEDIAN")
+
+
 @query(sql.with_tables([*FIELD_TABLES, "star"], """SELECT 'catalog' AS kind, filename AS name FROM images
     WHERE filename NOT IN (SELECT filename FROM field_obs)
   UNION SELECT 'pixel', CAST(hpx8 AS VARCHAR) FROM pixels WHERE hpx8 NOT IN (SELECT hpx8 FROM starpix)""",

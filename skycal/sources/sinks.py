@@ -5,15 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skycal.functions.decimals import with_fixed_text
 from skycal.functions.numeric import FRACTIONAL
 from skycal.operators.refcat import PIXEL, with_pixel
 
 
 def fixed_decimals(df: DataFrame, decimals: int) -> DataFrame:
-    """Fractional columns as text with a fixed number of decimals; NULL stays NULL."""
-    return df.select(*[
-        F.when(F.col(f.name).isNotNull(), F.format_string(f"%.{decimals}f", F.col(f.name).cast("double"))).alias(f.name)
-        if isinstance(f.dataType, FRACTIONAL) else F.col(f.name) for f in df.schema.fields])
+    """Fractional columns as text with a fixed number of decimals, rounded as printf does; NULL stays NULL, NaN becomes it."""
+    return with_fixed_text(df, [f.name for f in df.schema.fields if isinstance(f.dataType, FRACTIONAL)], decimals)
 
 
 def write_csv(df: DataFrame, path: str, decimals: int | None = None, partition_by: list[str] | None = None,

@@ -1,0 +1,92 @@
+import csv
+
+import pytest
+from pyspark.sql import types as T
+
+from helpers import plan_of
+from skycal.sources.headers import header_groups, read_csv_by_header, read_headers
+
+SCHEMA = T.StructType([T.StructField("FILENAME", T.StringType()), T.StructField("NUMBER", T.IntegerType()), T.StructField("RA", T.DoubleType()),
+                       T.StructField("DEC", T.DoubleType()), T.StructField("NOTE", T.StringType())])
+
+
+def write(folder, name, lines):
+    path = folder / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with open(path, "w", newline="") as f:
+        csv.writer(f).writerows(lines)
+    return str(path)
+
+
+@pytest.fixture()
+def folder(tmp_path):
+    write(tmp_path, "a.csv", [["FILENAME", "NUMBER", "RA", "DEC"], ["a", 1, 10.5, -1], ["a", 2, 11, "NaN"]])
+    write(tmp_path, "b.csv", [["DEC", "RA", "NOTE", "FILENAME", "NUMBER"], [-2, 20.5, 'with "quotes", and commas', "b", 3], ["", "", "", "b", 4]])
+    write(tmp_path, "deep/c 100%.csv", [["FILENAME", "NUMBER", "RA", "DEC"], ["c", 5, 30, -3]])
+    write(tmp_path, "d.csv", [["NUMBER", "FILENAME", "OTHER"], [6, "d", "unread"]])
+    write(tmp_path, "header-only.csv", [["NUMBER", "FILENAME"]])
+    (tmp_path / "empty.csv").write_text("")
+    return tmp_path
+
+
+WANT = [("a", 1, 10.5, -1.0, None), ("a", 2, 11.0, None, None), ("b", 3, 20.5, -2.0, 'with "quotes", and commas'), ("b", 4, None, None, None),
+        ("c", 5, 30.0, -3.0, None), ("d", 6, None, None, None)]
+
+
+def test_columns_by_name(spark, folder):
+    df = read_csv_by_header(spark, str(folder), SCHEMA)
+    assert [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in SCHEMA.fields]
+    assert [tuple(r) for r in df.orderBy("NUMBER").collect()] == WANT
+
+
+def test_one_scan_for_each_header_and_only_wanted_columns(spark, folder):
+    groups = header_groups(spark, str(folder))
+    assert sorted((tuple(n), len(p)) for n, p in groups) == [
+        (("DEC", "RA", "NOTE", "FILENAME", "NUMBER"), 1), (("FILENAME", "NUMBER", "RA", "DEC"), 2), (("NUMBER", "FILENAME"), 1), (("NUMBER", "FILENAME", "OTHER"), 1)]
+    plan = plan_of(read_csv_by_header(spark, str(folder), SCHEMA).where("RA > 15").select("FILENAME"))
+    scans = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert 1 <= len(scans) <= len(groups) and not any("OTHER" in s or "NOTE" in s for s in scans)
+    assert "GreaterThan(RA,15.0)" in plan
+
+
+def test_only_first_lines_are_read(spark, tmp_path):
+    for k in range(3):
+        write(tmp_path, f"{k}.csv", [["a", "b"][:: 1 if k else -1], *([n, n] for n in range(200_000))])
+    assert sorted(r.header for r in read_headers(spark, str(tmp_path)).collect()) == ["a,b", "a,b", "b,a"]
+    assert read_headers(spark, str(tmp_path)).rdd.getNumPartitions() == 3
+    assert read_csv_by_header(spark, str(tmp_path), T.StructType.fromDDL("a int")).count() == 600_000
+
+
+def test_inferred_types_hold_all_values(spark, folder):
+    df = read_csv_by_header(spark, str(folder))
+    assert df.columns == ["DEC", "RA", "NOTE", "FILENAME", "NUMBER", "OTHER"]
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    assert types["RA"] == "double" and types["DEC"] == types["NUMBER"] == "int" and types["FILENAME"] == "string" and df.count() == 6
+    write(folder, "e.csv", [["NUMBER", "RA"], ["seven", 1]])
+    assert {f.name: f.dataType.simpleString() for f in read_csv_by_header(spark, str(folder)).schema.fields}["NUMBER"] == "string"
+
+
+def test_odd_files(spark, tmp_path):
+    with pytest.raises(ValueError, match="stands twice"):
+        read_csv_by_header(spark, write(tmp_path, "twice/t.csv", [["a", "b", "a"], [1, 2, 3]]), SCHEMA)
+    (tmp_path / "none").mkdir()
+    assert read_csv_by_header(spark, str(tmp_path / "none"), SCHEMA).collect() == []
+    with pytest.raises(ValueError, match="no file"):
+        read_csv_by_header(spark, str(tmp_path / "none"))
+    (tmp_path / "bom").mkdir()
+    (tmp_path / "bom" / "x.csv").write_text("﻿RA , NUMBER\n\n1.5,7\n", encoding="utf-8")
+    (tmp_path / "bom" / "y.csv").write_text('\n\nNUMBER,"RA"\r\n8,2.5\r\n', encoding="utf-8")
+    assert sorted((r.NUMBER, r.RA) for r in read_csv_by_header(spark, str(tmp_path / "bom"), SCHEMA).collect()) == [(7, 1.5), (8, 2.5)]
+    write(tmp_path, "lines/z.csv", [["NOTE", "NUMBER"], ["two\nlines", 9]])
+    assert [(r.NOTE, r.NUMBER) for r in read_csv_by_header(spark, str(tmp_path / "lines"), SCHEMA, multiline=True).collect()] == [("two\nlines", 9)]
+    assert read_csv_by_header(spark, str(tmp_path), T.StructType.fromDDL("RA double"), glob="x.csv").count() == 1
+
+
+def test_many_files_of_few_headers(spark, tmp_path):
+    """The plan has as many scans as headers, not as files."""
+    for k in range(60):
+        names = [["NUMBER", "RA"], ["RA", "NUMBER"]][k % 2]
+        write(tmp_path, f"{k:02d}.csv", [names, [k if n == "NUMBER" else k / 2 for n in names]])
+    df = read_csv_by_header(spark, str(tmp_path), SCHEMA)
+    assert sorted((r.NUMBER, r.RA) for r in df.collect()) == [(k, k / 2) for k in range(60)]
+    assert plan_of(df, "simple").count("FileScan csv") == 2
