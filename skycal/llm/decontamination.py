@@ -8,7 +8,6 @@ import math
 import re
 from dataclasses import dataclass
 from functools import cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -98,12 +97,12 @@ def _terms(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _some(batches, words: int = 1 << 19):
-    """Lists of documents that have about so many words together."""
+    """Lists of rows, words first, that have about so many words together."""
     held, size = [], 0
     for batch in batches:
-        for row in batch.column(0).to_pylist():
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
             held.append(row)
-            size += len(row) // 2
+            size += len(row[0]) // 2
             if size >= words:
                 yield held
                 held, size = [], 0
@@ -117,7 +116,7 @@ def inverse_frequencies(tokens: DataFrame) -> np.ndarray:
     def run(batches):
         total = np.zeros(TERMS + 1, np.int64)
         for rows in _some(batches):
-            term, passage = _terms(rows)
+            term, passage = _terms([words for words, in rows])
             if len(term):
                 # one row of words for each passage, sorted: a term counts where it differs from the one before
                 square = np.full((passage[-1] + 1, PASSAGE), TERMS, np.uint16)
@@ -151,24 +150,33 @@ def _sparse(total: np.ndarray) -> dict:
 def right_singular_vectors(tokens: DataFrame, idf: np.ndarray, rank: int = RANK, sketch: int = SKETCH, seed: int = 1) -> np.ndarray:
     """(TERMS, rank) leading right singular vectors of the TF-IDF matrix of all passages, each divided by its singular
     value. A sparse sign matrix folds the passages into `sketch` rows, partition by partition; the sums of these rows,
-    whose size does not grow with the documents, are decomposed."""
+    whose size does not grow with the documents, are decomposed. Row and sign of a passage come from a hash of its
+    document's id and text and its place there, so the result does not depend on how documents are dealt to tasks,
+    but for the order in which doubles are added. As many groups add up the tasks' rows as each has rows to add."""
+    salts = max(64, math.isqrt(tokens.rdd.getNumPartitions()) + 1)
 
     def run(batches):
         part = TaskContext.get().partitionId()
-        rng, total = np.random.default_rng([seed, part]), np.zeros(sketch * TERMS)
-        for rows in _some(batches):
-            term, passage = _terms(rows)
+        total = np.zeros(sketch * TERMS)
+        for pairs in _some(batches):
+            term, passage = _terms([words for words, _ in pairs])
             if len(term):
-                row, sign = rng.integers(0, sketch, passage[-1] + 1), rng.choice([-1.0, 1.0], passage[-1] + 1)
+                counts = [-(-len(words) // (2 * PASSAGE)) for words, _ in pairs]
+                place = np.concatenate([np.arange(c) for c in counts]).astype(np.uint64)
+                key = np.repeat(np.array([k for _, k in pairs], np.int64).view(np.uint64), counts)
+                mixed = (key ^ (place + np.uint64(seed)) * np.uint64(_BASE)) * np.uint64(0xC2B2AE3D27D4EB4F)
+                mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(_BASE)
+                mixed ^= mixed >> np.uint64(32)
+                row, sign = (mixed % np.uint64(sketch)).astype(np.int64), np.where(mixed >> np.uint64(63), 1.0, -1.0)
                 total += np.bincount(row[passage] * TERMS + term, weights=sign[passage] * idf[term], minlength=sketch * TERMS)
         for r, own in enumerate(total.reshape(sketch, TERMS)):
             if own.any():
                 cols = _sparse(own)
-                yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([part % 64], pa.int32()), cols["term"], cols["value"]],
+                yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([part % salts], pa.int32()), cols["term"], cols["value"]],
                                                  names=["row", "salt", "term", "value"])
 
     schema = "row int, salt int, term binary, value binary"
-    parts = tokens.select("words").mapInArrow(run, schema)
+    parts = tokens.select("words", F.xxhash64(tokens.columns[0], "h").alias("key")).mapInArrow(run, schema)
     folded = parts.groupBy("row", "salt").applyInArrow(_added, schema).groupBy("row").applyInArrow(_added, schema)
     matrix = np.zeros((sketch, TERMS))
     for r in folded.collect():
@@ -226,64 +234,80 @@ def items_of(rows: list[tuple[int, str | None]]) -> list[Item]:
 
 @dataclass
 class Retrieval:
-    """Projected items by window size, and the table that projects words."""
+    """Projected items by window size, their words (filled up with a word that is none), and the table that projects words."""
 
     items: dict[int, list[Item]]
     table: np.ndarray
     vectors: dict[int, np.ndarray]
+    words: dict[int, np.ndarray]
+    sizes: dict[int, np.ndarray]
 
     @classmethod
     def of(cls, items: list[Item], table: np.ndarray) -> Retrieval:
         by: dict[int, list[Item]] = {w: [] for w in WINDOWS}
         for item in items:
             by[min(WINDOWS, key=lambda w: abs(w - len(item.words)))].append(item)
+        by = {w: own for w, own in by.items() if own}
         unit = lambda v: v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
-        return cls(by, np.append(table, np.zeros((1, table.shape[1]), np.float32), axis=0), {w: unit(np.stack([table[i.words % TERMS].sum(axis=0) for i in own])) for w, own in by.items() if own})
+        filled = lambda i: np.append(i.words.astype(np.int64), np.full(WINDOWS[-1] - len(i.words), WORD_IDS))
+        return cls(by, np.append(table, np.zeros((1, table.shape[1]), np.float32), axis=0),
+                   {w: unit(np.stack([table[i.words % TERMS].sum(axis=0) for i in own])) for w, own in by.items()},
+                   {w: np.stack([filled(i) for i in own]) for w, own in by.items()},
+                   {w: np.array([len(i.words) for i in own]) for w, own in by.items()})
 
     def candidates(self, words: np.ndarray):
-        """(window size, number in it of an item, first word, cosine) of all passages close to an item."""
+        """For each part of a text and each window size: (size, numbers of items, first words, cosines) of all passages close
+        to an item."""
         step, k = math.gcd(*(w // SHIFT for w in self.vectors)), self.table.shape[1]
+        beyond = 2 * max(self.vectors) // step
         for at in range(0, max(len(words) - WINDOWS[-1] // 2, 1), CHUNK):
             own = words[at:at + CHUNK + WINDOWS[-1]] % TERMS
             if not len(own):
                 return
-            # sums of `step` words; what is missing at the end is a word without weight
+            # sums of `step` words; what is missing at the end, and all past it, is words without weight
             square = np.append(own, np.full(-len(own) % step, TERMS, np.uint16)).reshape(-1, step)
-            sums = self.table[square[:, 0]]
+            size = len(square)
+            sums = np.zeros((size + beyond, k), np.float32)
+            np.take(self.table, square[:, 0], axis=0, out=sums[:size])
             for j in range(1, step):
-                sums += self.table[square[:, j]]
-            total = np.concatenate([np.zeros((1, k)), np.cumsum(sums, axis=0, dtype=np.float64)])
+                sums[:size] += self.table[square[:, j]]
             for w, vectors in self.vectors.items():
                 n, move = w // step, w // step // SHIFT
-                first = np.arange(0, max(1, len(sums) - n // 2), move)
-                passages = (total[np.minimum(first + n, len(sums))] - total[first]).astype(np.float32)
-                norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", passages, passages)), 1e-9)
+                count = -(-max(1, size - n // 2) // move)
+                # A window is SHIFT parts, of which each is part of SHIFT windows.
+                parts = sums[:(count + SHIFT - 1) * move].reshape(-1, move, k).sum(axis=1) if move > 1 else sums[:count + SHIFT - 1]
+                two = parts[1:] + parts[:-1]
+                passages = two[:count] + two[2:count + 2]
+                least = np.sqrt(np.einsum("ij,ij->i", passages, passages))
+                np.maximum(least, 1e-9, out=least)
                 close = passages @ vectors.T
-                p, j = np.nonzero(close >= CANDIDATE * norm[:, None])
-                yield from zip(repeat(w), j.tolist(), (at + first[p] * step).tolist(), (close[p, j] / norm[p]).tolist())
+                p, j = np.nonzero(close >= CANDIDATE * least[:, None])
+                if len(p):
+                    yield w, j, at + p * (move * step), close[p, j] / least[p]
 
     def leaks(self, words: np.ndarray) -> list[tuple[int, float, float, bool, int]]:
         """(item, overlap, cosine, answer found, first word) of the best passage for each item that leaks."""
         best: dict[int, tuple] = {}
-        near: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for w, j, at, cosine in self.candidates(words):
-            near.setdefault((w, j), []).append((at, cosine))
-        flags = np.zeros(WORD_IDS, bool)
-        for (w, j), places in near.items():
-            item = self.items[w][j]
-            # only where enough words are the item's can a common subsequence be long enough
-            flags[item.words] = True
-            met = np.append(0, np.cumsum(flags[words]))
-            flags[item.words] = False
-            first = np.array([at for at, _ in places])
-            low, high = np.maximum(first - w // 2, 0), np.minimum(first + w + w // 2, len(words))
-            for k in np.flatnonzero(met[high] - met[low] >= PARAPHRASE * len(item.words)).tolist():
-                (at, cosine), around = places[k], words[low[k]:high[k]]
-                overlap = lcs(item.words, around, item.masks) / len(item.words)
-                if overlap >= PARAPHRASE:
-                    answered = lcs(item.answer, around) >= ANSWER * len(item.answer)
-                    if (overlap >= SURE or answered) and (overlap, cosine) > best.get(item.item_id, (0, 0, 0))[:2]:
-                        best[item.item_id] = (overlap, cosine, answered, at)
+        there, flags = np.zeros(WORD_IDS + 1, bool), np.zeros(WORD_IDS, bool)
+        there[words] = True
+        for w, j, first, cosine in self.candidates(words):
+            # An item can have a long enough subsequence only where enough of its words are: in the text, then in the passage.
+            numbers = np.flatnonzero(np.bincount(j))
+            enough = numbers[there[self.words[w][numbers]].sum(axis=1) >= PARAPHRASE * self.sizes[w][numbers]]
+            for number in enough.tolist():
+                item, own = self.items[w][number], np.flatnonzero(j == number)
+                flags[item.words] = True
+                met = np.zeros(len(words) + 1, np.int64)
+                np.cumsum(flags[words], out=met[1:])
+                flags[item.words] = False
+                low, high = np.maximum(first[own] - w // 2, 0), np.minimum(first[own] + w + w // 2, len(words))
+                for k in np.flatnonzero(met[high] - met[low] >= PARAPHRASE * len(item.words)).tolist():
+                    at, near, around = int(first[own[k]]), float(cosine[own[k]]), words[low[k]:high[k]]
+                    overlap = lcs(item.words, around, item.masks) / len(item.words)
+                    if overlap >= PARAPHRASE:
+                        answered = lcs(item.answer, around) >= ANSWER * len(item.answer)
+                        if (overlap >= SURE or answered) and (overlap, near) > best.get(item.item_id, (0, 0, 0))[:2]:
+                            best[item.item_id] = (overlap, near, answered, at)
         return [(i, *b) for i, b in best.items()]
 
 
