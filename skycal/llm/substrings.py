@@ -239,13 +239,17 @@ def repeats(docs: DataFrame, store: Store, length: int = LENGTH, shard_hot: int
     strings = contexts.where(F.col("distinct") > shard_hot).select(*columns).mapInArrow(
         _strings(length), "anchor bigint, c1 bigint, c2 bigint, times bigint, low bigint, h1 bigint, h2 bigint")
     often = strings.groupBy("h1", "h2").agg(F.sum("times").alias("n")).where("n > 1").drop("n")
-    single = strings.join(often, ["h1", "h2"]).select("anchor", "c1", "c2", "low", (F.col("low") + 1).alias("high"))
-    runs = store.put(sorted_.union(single), "runs")
+    hits = strings.join(often, ["h1", "h2"]).groupBy("anchor", "c1", "c2").agg(F.collect_set("low").alias("lows"))
+    edge = lambda step: F.sort_array(F.filter("lows", lambda k: ~F.array_contains("lows", k + step)))
+    single = hits.select("anchor", "c1", "c2", F.zip_with(
+        edge(-1), edge(1), lambda low, last: F.struct(low.alias("low"), (last + 1).alias("high"))).alias("runs"))
+    # One row of maximal runs for each context, so that the join makes a row for each copy and not for each of its starts.
+    runs = store.put(sorted_.groupBy("anchor", "c1", "c2").agg(F.collect_list(F.struct("low", "high")).alias("runs")).union(single), "runs")
     store.drop("contexts")
     span = lambda low, high: F.struct((F.col("first") + low).alias("s"), (F.col("first") + high - 1 + length).alias("e"))
-    spans = mixed.join(runs, ["anchor", "c1", "c2"]).select("k1", "k2", span(F.col("low"), F.col("high")).alias("span")).union(
-        twice.where("alike").select("k1", "k2", span(F.lit(0), F.col("count")).alias("span")))
-    return spans.groupBy("k1", "k2").agg(F.collect_set("span").alias("spans"))
+    spans = mixed.join(runs, ["anchor", "c1", "c2"]).select("k1", "k2", F.transform("runs", lambda r: span(r["low"], r["high"])).alias("spans")).union(
+        twice.where("alike").select("k1", "k2", F.array(span(F.lit(0), F.col("count"))).alias("spans")))
+    return spans.groupBy("k1", "k2").agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 
 _BLANK = np.isin(np.arange(256), list(b" \t\n\r\f\v"))
@@ -366,6 +370,33 @@ def without(data: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*parts, data[at:]])
 
 
+def cleaned(docs: DataFrame, length: int, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs, less the passages of `length` bytes, or of `words` words in fewer bytes, that occur twice: all their places go. What
+    a cut through a character leaves of it goes too.
+
+    Copies of a row lose all but what is shorter than a passage, so an emptied document stays as an empty one; null and
+    empty texts, rows without an id and columns of any name stay as they are; an empty table gives an empty one."""
+    store = Store(docs.sparkSession, "cleaned")
+    rows = keyed(docs, id_col, text_col).select("k1", "k2", "text")
+    long = repeats(rows, store, length).select("k1", "k2", F.explode("spans").alias("span"))
+    spans = long.union(word_repeats(rows, store, words, length)).groupBy("k1", "k2").agg(F.collect_set("span").alias("spans"))
+    names = docs.columns
+    # The columns travel as one, so that none of them can have the name of a key.
+    text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
+    keys = docs.select(F.xxhash64(text).alias("k1"), F.xxhash64(F.col(id_col), F.length(text)).alias("k2"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+
+    def run(batches):
+        for batch in batches:
+            columns, texts = dict(zip(names, batch.column("row").flatten())), []
+            for value, own in zip(columns[text_col], batch.column("spans")):
+                value, own = value.as_py(), own.as_py()
+                texts.append(without(value.encode(), merged(own)).decode("utf-8", "ignore") if own else value)
+            columns[text_col] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
+
+    return keys.join(spans, ["k1", "k2"], "left").select("row", "spans").mapInArrow(run, docs.schema)
+
+
 def spans_of(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, text (UTF-8 bytes; null: empty), spans: overlapping byte ranges [s, e) covered by strings
     of `length` bytes that start somewhere else too, null if there are none.

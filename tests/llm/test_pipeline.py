@@ -71,3 +71,25 @@ def test_an_empty_corpus(spark, tmp_path):
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert pipe.run(spark, str(tmp_path)).collect() == []
+
+
+def test_columns_with_clashing_names_come_through(spark, corpus):
+    folder, rows, _ = corpus
+    names = ["_h", "_text", "h", "key", "row", "spans", "k1", "k2", "content", "others", "_k1", "component", "fp"]
+    schema = SCHEMA + "".join(f", `{n}` string" for n in names)
+    docs = spark.createDataFrame([(*r, *[f"{n} of {r[0]}" for n in names]) for r in rows], schema)
+    for stage in (pipe.one_of_near_copies, pipe.without_repeats, pipe.without_benchmarks, pipe.good_quality):
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert len(got) > 200 and all(r[n] == f"{n} of {r.doc_id}" for r in got for n in names)
+
+
+def test_which_of_equal_and_of_nameless_rows_stays(spark):
+    text, near = "some words that all the copies share " * 8, "other words of another group " * 9
+    rows = [(5, text, "en", "b", 1), (5, text, "en", "a", 1), (5, near, "en", "c", 1), (7, near, "en", "d", 1), (None, text, "en", "e", 1),
+            (None, "no other has these words " * 5, "en", "f", 1), (None, "no other has these words " * 5, "de", "f", 1), (9, None, None, None, None), (8, "", "en", "g", 0)]
+    for parts in (1, 4):
+        docs = spark.createDataFrame(rows, SCHEMA).repartition(parts)
+        got = sorted((tuple(r) for r in pipe.one_of_near_copies(spark, docs, "").collect()), key=repr)
+        assert got == sorted([rows[1], rows[2], rows[6], rows[8]], key=repr)
