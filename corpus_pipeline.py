@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skycal.llm import decontamination, packing, quality, simhash, substrings
@@ -15,54 +14,44 @@ REPEAT_BYTES = 300     # a passage of so many bytes, or
 REPEAT_WORDS = 51      # of so many words, in however few bytes
 
 
+def _rows(docs: DataFrame) -> Column:
+    """All columns as one, so that none of them can have the name of a column that a stage adds."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained classifier does not reject."""
+    """Documents that the co-trained classifier does not reject. Null and empty texts are scored like others; repeated
+    rows share their fate."""
     return quality.kept(docs, table(spark, sf_dir, "labels"))
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of linked fingerprints, once. Rows without an id stay: none
-    can be told from another."""
-    found = simhash.near_duplicates(docs.select("doc_id", "text"))
-    first = found.where("doc_id = component").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").withColumn("_text", F.xxhash64("text"))
-    return named.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "_text"]).select(*docs.columns).union(
-        docs.where("doc_id IS NULL"))
+    """One document of every group of linked fingerprints: the one with the smallest id, and of its texts, if there are
+    several, that with the smallest hash. Documents without an id come after all others. Of rows equal in id and text
+    that stays whose other columns come first as JSON. Null and empty texts are one group."""
+    others = F.to_json(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]))
+    keys = docs.select(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64("text").alias("h")).alias("key"),
+                       F.col("text").alias("content"), _rows(docs), others.alias("others"))
+    found = simhash.near_duplicates(keys, id_col="key", text_col="content")
+    first = found.where("key = component").select("key").distinct()
+    return keys.join(first, "key", "left_semi").groupBy("key").agg(F.min_by("row", "others").alias("row")).select("row.*")
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, less the passages of REPEAT_BYTES or REPEAT_WORDS or more that occur twice; n_chars is counted anew. What a cut
-    through a character leaves of it goes too."""
-    store = Store(spark, "pipeline-repeats")
-    rows = substrings.keyed(docs, "doc_id", "text").select("k1", "k2", "text")
-    long = substrings.repeats(rows, store, REPEAT_BYTES).select("k1", "k2", F.explode("spans").alias("span"))
-    spans = long.union(substrings.word_repeats(rows, store, REPEAT_WORDS, REPEAT_BYTES)).groupBy("k1", "k2").agg(F.collect_set("span").alias("spans"))
-    text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
-    joined = docs.withColumn("_k1", F.xxhash64(text)).withColumn("_k2", F.xxhash64("doc_id", F.length(text))).join(
-        spans.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("spans").alias("_spans")), ["_k1", "_k2"], "left")
-    names = docs.columns
-
-    def run(batches):
-        for batch in batches:
-            texts = []
-            for value, spans in zip(batch.column("text"), batch.column("_spans")):
-                value, spans = value.as_py(), spans.as_py()
-                texts.append(substrings.without(value.encode(), substrings.merged(spans)).decode("utf-8", "ignore") if spans else value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names], names=names)
-
-    return joined.select(*names, "_spans").mapInArrow(run, docs.schema).withColumn("n_chars", F.length("text").cast("bigint"))
+    """All documents, less the passages of REPEAT_BYTES, or of REPEAT_WORDS in fewer bytes, that occur twice; n_chars is counted
+    anew. Odd rows as in substrings.cleaned."""
+    return substrings.cleaned(docs, REPEAT_BYTES, REPEAT_WORDS).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold or paraphrase no benchmark item. Equal texts share their fate, so ids may repeat or lack."""
+    """Documents that hold or paraphrase no benchmark item. Equal texts share their fate, so ids may repeat or lack;
+    null and empty texts stay."""
     leaks = decontamination.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    hit = leaks.select(F.col("h").alias("_h")).distinct()
-    return docs.withColumn("_h", F.xxhash64("text")).join(hit, "_h", "left_anti").select(*docs.columns)
+    return docs.select(F.xxhash64("text").alias("h"), _rows(docs)).join(leaks.select("h").distinct(), "h", "left_anti").select("row.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents, placed in sequences of 1024 tokens."""
+    """Pieces of all documents, placed in sequences of 1024 tokens. A null or empty text is a piece of its end id alone."""
     return packing.pack(docs)
 
 
