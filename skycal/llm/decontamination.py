@@ -268,9 +268,9 @@ class Retrieval:
             square = np.append(own, np.full(-len(own) % step, TERMS, np.uint16)).reshape(-1, step)
             size = len(square)
             sums = np.zeros((size + beyond, k), np.float32)
-            np.take(self.table, square[:, 0], axis=0, out=sums[:size])
+            np.take(self.table, square[:, 0], axis=0, out=sums[:size], mode="clip")      # every number is a row: no check, no copy
             for j in range(1, step):
-                sums[:size] += self.table[square[:, j]]
+                sums[:size] += np.take(self.table, square[:, j], axis=0, mode="clip")
             for w, vectors in self.vectors.items():
                 n, move = w // step, w // step // SHIFT
                 count = -(-max(1, size - n // 2) // move)
