@@ -2,76 +2,76 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skycal.operators.materialize import materialize
 from skycal.operators.skew import split_hot
 
-# Quantiles whose approximate values cut a group into buckets, narrow around the middle.
-_CUTS = [0.25, 0.45, 0.49, 0.499, 0.4995, 0.5005, 0.501, 0.51, 0.55, 0.75]
-_ACCURACY = 10_000
-
-# Distinct values of one bucket that are put in order by one task.
-BUCKET_VALUES = 1_000_000
-
-
-def _middle_buckets(rows: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows with the bucket _b of their _x, and per group the one or two buckets that hold the ranks _first to
-    _second, with _below: how many rows of the group come before the bucket."""
-    edges = rows.groupBy(*by).agg(F.percentile_approx("_x", _CUTS, _ACCURACY).alias("_edges"))
-    # Values equal to an edge have a bucket of their own, so a bucket that is cut again always loses a value at least.
-    bucketed = rows.join(edges, by).withColumn(
-        "_b", F.size(F.filter("_edges", lambda e: e < F.col("_x"))) + F.size(F.filter("_edges", lambda e: e <= F.col("_x")))).drop("_edges")
-    running = Window.partitionBy(*by).orderBy("_b")          # at most 2 * len(_CUTS) + 1 rows per group
-    middle = (
-        bucketed.groupBy(*by, "_b").agg(
-            F.count(F.lit(1)).alias("_c"), F.count_distinct("_x").alias("_values"), F.max("_first").alias("_f"), F.max("_second").alias("_s"))
-        .withColumn("_upto", F.sum("_c").over(running))
-        .where((F.col("_upto") >= F.col("_f")) & (F.col("_upto") - F.col("_c") < F.col("_s")))
-        .select(*by, "_b", (F.col("_upto") - F.col("_c")).alias("_below"), "_values")
-    )
-    return bucketed, middle
-
-
-def median_of_large_groups(df: DataFrame, keys: list[str], value: str, name: str = "median",
-                           bucket_values: int | None = None) -> DataFrame:
-    """Exact median of value per key for groups of any size.
-
-    A mergeable quantile sketch proposes bucket edges; exact counts per bucket then say in which bucket the two middle
-    ranks are. A bucket of more than bucket_values distinct values is cut again in the same way, as often as needed;
-    then only its distinct values are ordered. Sketches decide how fast buckets shrink, never the result. Every
-    shuffle carries partial aggregates: sketches, bucket counts, one bucket's values."""
-    limit = BUCKET_VALUES if bucket_values is None else bucket_values
-    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_x"))
-    if not keys:
-        rows = rows.withColumn("_all", F.lit(0))
+# Bits of a key that one pass decides: a group has at most 2^BITS counts a pass and task, 64 / BITS passes in all.
+BITS = 16
+_LOW = (1 << 63) - 1
+
+
+def _bits(method: str, x: Column) -> Column:
+    """java.lang.Double's view of a double as a long, or the other way."""
+    return F.java_method(F.lit("java.lang.Double"), F.lit(method), x)
+
+
+def _sortable(x: Column, whole: bool) -> Column:
+    """A long that sorts as the number does: whole numbers themselves; of doubles the bits, all but the sign turned over
+    below zero, where larger bits are smaller numbers."""
+    if whole:
+        return x.cast("bigint")
+    bits = _bits("doubleToLongBits", x.cast("double")).cast("bigint")
+    return bits.bitwiseXOR(F.shiftright(bits, 63).bitwiseAND(F.lit(_LOW)))
+
+
+def _number(key: Column, whole: bool) -> Column:
+    if whole:
+        return key.cast("double")
+    return _bits("longBitsToDouble", key.bitwiseXOR(F.shiftright(key, 63).bitwiseAND(F.lit(_LOW)))).cast("double")
+
+
+def median_of_large_groups(df: DataFrame, keys: list[str], value: str, name: str = "median", bits: int = BITS) -> DataFrame:
+    """Exact median of value per key for groups of any size, by radix selection.
+
+    Numbers become longs that sort alike, written once. Each pass counts the rows of every group by the next `bits` bits of
+    their long, with map-side combining, and keeps the one or two prefixes that hold the two middle ranks; the next pass
+    counts below those alone. The number of passes follows from `bits`, whatever the values, and nothing comes to the driver.
+    A window orders the counts of one prefix: at most 2^bits rows. NULL values are passed over, as are rows with a NULL
+    key; NaN is the largest number."""
+    if not 1 <= bits <= 32:
+        raise ValueError(f"bits: {bits} is not between 1 and 32")
+    whole = df.schema[value].dataType.typeName() in ("byte", "short", "integer", "long")
+    rows = df.where(F.col(value).isNotNull())
+    for k in keys:
+        rows = rows.where(F.col(k).isNotNull())
     by = keys or ["_all"]
-    # Ranks (n+1) div 2 and n div 2 + 1 are the middle row, or the two middle rows.
-    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).select(
-        *by, F.floor((F.col("_n") + 1) / 2).alias("_first"), (F.floor(F.col("_n") / 2) + 1).alias("_second"))
-    rows = rows.join(sizes, by)
-    within = list(by)
-    while True:
-        bucketed, middle = _middle_buckets(rows, within)
-        middle = materialize(middle, "buckets")
-        largest = middle.agg(F.max("_values")).first()[0] or 0
-        part = bucketed.join(middle.drop("_values"), [*within, "_b"])
-        # ranks within the bucket; in the first or second of two buckets one of them lies outside
-        part = part.withColumns({"_first": F.col("_first") - F.col("_below"), "_second": F.col("_second") - F.col("_below")}).drop("_below")
-        level = f"_b{len(within)}"
-        rows, within = part.withColumnRenamed("_b", level), [*within, level]
-        if largest <= limit or largest <= 1:
-            break
-        rows = materialize(rows, "middle")
-    ordered = Window.partitionBy(*within).orderBy("_x")
-    values = (
-        rows.groupBy(*within, "_x").agg(F.count(F.lit(1)).alias("_c"), F.max("_first").alias("_first"), F.max("_second").alias("_second"))
-        .withColumn("_upto", F.sum("_c").over(ordered))
-    )
-    covers = lambda rank: (F.col("_upto") >= F.col(rank)) & (F.col("_upto") - F.col("_c") < F.col(rank))
-    at = lambda rank: F.max(F.when(covers(rank), F.col("_x")))
-    return values.groupBy(*by).agg(((at("_first") + at("_second")) / 2.0).alias(name)).select(*keys, name)
+    rows = rows.select(*(keys or [F.lit(0).alias("_all")]), _sortable(F.col(value), whole).alias("_key"))
+    rows = materialize(rows, "keys")
+    prefix = lambda left: F.shiftright("_key", left)
+    group, state, left = Window.partitionBy(*by), None, 64
+    while left:
+        above, left = left, max(0, left - bits)
+        if state is None:
+            counts = rows.groupBy(*by, prefix(left).alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
+            n = F.sum("_c").over(group)
+            # Ranks (n+1) div 2 and n div 2 + 1 are the middle row, or the two middle rows.
+            counts = counts.withColumns({"_first": F.floor((n + 1) / 2), "_second": F.floor(n / 2) + 1, "_below": F.lit(0).cast("bigint")})
+            within = group
+        else:
+            counts = rows.withColumn("_top", prefix(above)).join(state, [*by, "_top"]).groupBy(*by, "_top", prefix(left).alias("_p")).agg(
+                F.count(F.lit(1)).alias("_c"), *[F.max(c).alias(c) for c in ("_first", "_second", "_below")])
+            within = Window.partitionBy(*by, "_top")
+        found = counts.withColumn("_upto", F.col("_below") + F.sum("_c").over(within.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)))
+        found = found.where((F.col("_upto") >= F.col("_first")) & (F.col("_upto") - F.col("_c") < F.col("_second")))
+        state = found.select(*by, F.col("_p").alias("_top"), "_first", "_second", (F.col("_upto") - F.col("_c")).alias("_below"))
+    covers = lambda rank: (F.col("_upto") >= F.col(rank)) & (F.col("_upto") - F.col("_c") < F.col(rank))
+    at = lambda rank: F.max(F.when(covers(rank), F.col("_p"))).alias(rank)
+    middle = found.groupBy(*by).agg(at("_first"), at("_second")).select(
+        *keys, _number(F.col("_first"), whole).alias("_a"), _number(F.col("_second"), whole).alias("_b"))
+    return middle.select(*keys, F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise((F.col("_a") + F.col("_b")) / 2.0).alias(name))
 
 
 def grouped_medians(df: DataFrame, keys: list[str], columns: list[str], suffix: str = "_MEDIAN",

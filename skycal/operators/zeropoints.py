@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skycal.functions import photometry as phot
 from skycal.functions.numeric import nan_to_null, numeric_columns, require_columns
 from skycal.operators.clipping import sigma_clip
+from skycal.operators.counts import StepCounts, watched
 from skycal.operators.materialize import materialize
 from skycal.operators.medians import first_of_each, median_of_large_groups, medians_of_hot_groups
 from skycal.operators.skew import split_hot
@@ -55,12 +56,13 @@ def zero_point_stats(value: str = "MAG_DIFF", over: Callable[[Column], Column] =
 
 
 def clip_and_aggregate(rows: DataFrame, keys: list[str], medians: list[str], nsigma: float = 3.0,
-                       passes: int = 3, apply_last: bool = False, hot_rows: int | None = None) -> DataFrame:
+                       passes: int = 3, apply_last: bool = False, hot_rows: int | None = None,
+                       counts: StepCounts | None = None) -> DataFrame:
     """Clip per image and aggregate. Ordinary images take one shuffle and one sort: the windows of the clip, the
     statistics and every median share them, and a task holds one image at a time. Images beyond hot_rows
     rows (by default so many that their cells are HOT_CELLS) never meet in one task."""
     ordinary, hot, groups = split_hot(rows, keys, hot_rows)
-    ordinary = sigma_clip(ordinary, keys, "MAG_DIFF", nsigma, passes, apply_last)
+    ordinary = sigma_clip(ordinary, keys, "MAG_DIFF", nsigma, passes, apply_last, counts=counts)
     names = list(dict.fromkeys([*medians, "MAG_DIFF"]))
     last = [*keys, *[f"{c}_MEDIAN" for c in medians], F.col("MAG_DIFF_MEDIAN").alias("MAG_ZERO_MEDIAN"),
             "MAG_ZERO_MEAN", "MAG_ZERO_STD", "MAG_ZERO_MEAN_ERR", "MAG_ZERO_NUM"]
@@ -70,7 +72,7 @@ def clip_and_aggregate(rows: DataFrame, keys: list[str], medians: list[str], nsi
         *[lambda w, k=k: zero_point_stats(over=lambda c: c.over(w))[k] for k in range(len(zero_point_stats()))]])
     if hot is None:
         return small.select(*last)
-    hot = materialize(sigma_clip(hot, keys, "MAG_DIFF", nsigma, passes, apply_last, groups), "hot-clipped")
+    hot = materialize(sigma_clip(hot, keys, "MAG_DIFF", nsigma, passes, apply_last, groups, counts), "hot-clipped")
     large = hot.groupBy(*keys).agg(*zero_point_stats()).join(medians_of_hot_groups(hot, keys, names), keys)
     return small.select(*last).unionByName(large.select(*last))
 
@@ -78,13 +80,14 @@ def clip_and_aggregate(rows: DataFrame, keys: list[str], medians: list[str], nsi
 def zero_points(matched: DataFrame, band: str | Column, flux: str = "FLUX_APER_08_2",
                 fluxerr: str = "FLUXERR_APER_08_2", key: str = "FILENAME_2", median_per: list[str] | None = None,
                 all_medians: bool = True, nsigma: float = 3.0, passes: int = 3, apply_last: bool = False,
-                hot_rows: int | None = None) -> DataFrame:
+                hot_rows: int | None = None, counts: StepCounts | None = None) -> DataFrame:
     """Zero points of every image in a matched frame.
 
     band is a band name, or a column with each row's band (rows of a band without a transform give
     nothing). median_per names the columns of one calibration unit, tile and band in a survey.
     The rows that pass the quality cut are written once, since the median, the group sizes, the clip
-    and the aggregates each read them."""
+    and the aggregates each read them. counts takes the rows of quality, of each clip pass and of
+    the result, which is written then, so that they are there on return."""
     need = ["G_1", "R_1", "I_1", "Z_1", "DG_1", "DR_1", "DI_1", "DZ_1", flux, fluxerr, key,
             "FLUX_PSF_2", "FLAGS_2", "SPREAD_MODEL_2", *(median_per or [])]
     require_columns(matched, need)
@@ -95,5 +98,6 @@ def zero_points(matched: DataFrame, band: str | Column, flux: str = "FLUX_APER_0
 
     rows = quality_cut(magnitudes(nan_to_null(matched), band, flux))
     medians = [c for c in numeric_columns(rows) if c not in keep_keys] if all_medians else []
-    rows = materialize(rows.select(*keep_keys, *(medians or ["MAG_DIFF"])), "quality")
-    return clip_and_aggregate(median_window(rows, per), keep_keys, medians, nsigma, passes, apply_last, hot_rows)
+    rows = materialize(watched(counts, rows.select(*keep_keys, *(medians or ["MAG_DIFF"])), "quality"), "quality")
+    solved = clip_and_aggregate(median_window(rows, per), keep_keys, medians, nsigma, passes, apply_last, hot_rows, counts)
+    return solved if counts is None else materialize(counts.watch(solved, "zero_points"), "zero_points")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skycal.operators.catalog import attach_to_matches, flatten_catalog, missing_catalogs, of_images
+from skycal.operators.counts import StepCounts, watched
 from skycal.operators.crossmatch import crossmatch
 from skycal.operators.matchid import match_ids
 from skycal.operators.materialize import materialize
@@ -44,7 +45,7 @@ def calibrate(exposure: DataFrame, archive: DataFrame, image: DataFrame, objects
               all_medians: bool = True, flux: str = "FLUX_APER_08_2", fluxerr: str = "FLUXERR_APER_08_2",
               images: DataFrame | None = None, matched: DataFrame | None = None, store: str | None = None,
               prune: str = "images", number_per: list[str] | None = None, keep_matched: Callable[[DataFrame], DataFrame] | None = None,
-              **clip) -> Calibration:
+              counts: StepCounts | None = None, **clip) -> Calibration:
     """Select images, prune the reference catalogue, flatten, match, attach metadata, and solve.
 
     Tile and band are columns, so what used to be one run per tile and band is one job; the median
@@ -56,11 +57,14 @@ def calibrate(exposure: DataFrame, archive: DataFrame, image: DataFrame, objects
     prune="images" keeps the reference stars in the pixels of the images' corners and centres, so that which stars an image
     meets depends on the other images of the run; prune="objects" keeps those near any object, which loses none.
 
+    counts takes the rows of each step: images, matched, quality, every clip pass, zero_points; of images and matches that
+    are passed in none. All counts are there on return.
+
     The image table is written first, since several steps read it. Metadata is joined after the match, which depends on positions alone, so that the wide
     rows that find no star are shuffled once and not twice."""
     cuts = {} if bands is None else {"bands": tuple(bands)}
     if images is None:
-        images = select_survey_images(exposure, archive, image, tiles, **cuts)
+        images = watched(counts, select_survey_images(exposure, archive, image, tiles, **cuts), "images")
         images = materialize(images, "images") if store is None else _keep(images, store, "images")
     if prune not in ("images", "objects"):
         raise ValueError(f"prune: {prune!r} is neither 'images' nor 'objects'")
@@ -70,8 +74,9 @@ def calibrate(exposure: DataFrame, archive: DataFrame, image: DataFrame, objects
         matched = attach_to_matches(crossmatch(stars, observed, tol_arcsec, pick, tie_break=STAR_ORDER), images)
         # The running number goes by star and then observation, as a sorted match file has it.
         matched = match_ids(matched, ["RA_WRAP_1", "DEC_1"], ["RA_WRAP_2", "DEC_2", "NUMBER_2", "FILENAME_2"], number_per)
+        matched = watched(counts, matched, "matched")
         matched = keep_matched(matched) if keep_matched else _keep(matched, store, "matched", ["BAND_2", "TILE_2"])
     solved = zero_points(matched, F.col("BAND_2"), flux, fluxerr, median_per=["TILE_2", "BAND_2"],
-                         all_medians=all_medians, **clip)
+                         all_medians=all_medians, counts=counts, **clip)
     return Calibration(images, stars, matched, _keep(solved, store, "zero_points"),
                        missing_catalogs(flatten_catalog(objects), images), missing_pixels(refcat, images))

@@ -14,6 +14,7 @@ from skycal.functions import names, photometry as phot, sky
 from skycal.functions.numeric import round_fractions
 from skycal.operators import catalog, histograms, medians, qa, refcat, selection, tiles, zeropoints
 from skycal.operators.clipping import flag_outliers, sigma_clip
+from skycal.operators.counts import StepCounts
 from skycal.operators.crossmatch import crossmatch
 from skycal.operators.matchid import match_ids
 from skycal.operators.materialize import materialize, shared_folder
@@ -568,7 +569,7 @@ def clip_2sigma(spark, d):
 @query(sql.with_tables(["star", "obs"], """SELECT obs_id AS "OBS_ID_2", agg AS "AGG_2", outlier AS "Outlier" FROM clip3""",
                        [*MAGS_G, *sql.clip_ctes("agg")]))
 def clip3_hot_groups(spark, d):
-    """The same clip by aggregate and broadcast, the way groups too large for one task take it."""
+    """The same clip by aggregate and join, the way groups too large for one task take it."""
     near = materialize(_near(spark, d), "near")
     groups = near.select("AGG_2").distinct().count()
     return sigma_clip(near, ["AGG_2"], "MAG_DIFF", hot_groups=groups).select("OBS_ID_2", "AGG_2", "Outlier")
@@ -888,3 +889,15 @@ def calibrate_missing(spark, d):
     run = _calibrated(spark, d)
     return run.missing_catalogs.select(F.lit("catalog").alias("kind"), F.col("FILENAME").alias("name")).union(
         run.missing_pixels.select(F.lit("pixel"), F.col("hpx8").cast("string")))
+
+
+@query(sql.with_tables([*FIELD_TABLES, "star"], """SELECT 'images' AS step, count(*) AS n_rows FROM images
+  UNION ALL SELECT 'matched', count(*) FROM matched UNION ALL SELECT 'quality', count(*) FROM quality
+  UNION ALL SELECT 'clip pass 1', count(*) FROM clip1 UNION ALL SELECT 'clip pass 2', count(*) FROM clip2
+  UNION ALL SELECT 'clip pass 3', count(*) FROM clip3
+  UNION ALL SELECT 'zero_points', count(*) FROM (SELECT DISTINCT filename, tile, band FROM clip3) AS z""", FIELD_CTES))
+def calibrate_step_counts(spark, d):
+    """Rows of every step of a whole calibration, counted while it runs."""
+    counts = StepCounts()
+    _calibrated(spark, d, counts=counts)
+    return spark.createDataFrame(list(counts.rows().items()), "step string, n_rows bigint")

@@ -11,6 +11,7 @@ from skycal.functions import photometry as phot
 from skycal.functions.numeric import nan_to_null
 from skycal.operators import zeropoints as z
 from skycal.operators.clipping import flag_outliers, sigma_clip
+from skycal.operators.counts import StepCounts
 from skycal.operators.materialize import materialize
 from skycal.operators.medians import grouped_medians, median_of_large_groups, medians_in_one_pass
 from skycal.operators.skew import split_hot
@@ -65,8 +66,8 @@ def test_quality_limits(spark):
 
 # ---- medians ----
 
-@pytest.mark.parametrize("bucket", [1_000_000, 20])      # cut once, or again and again
-def test_median_of_large_groups(spark, bucket):
+@pytest.mark.parametrize("bits", [16, 7])      # four passes, or ten with a short last one
+def test_median_of_large_groups(spark, bits):
     rng = random.Random(4)
     data = [("odd", float(v)) for v in rng.sample(range(1000), 501)]
     data += [("even", rng.gauss(0, 1e6)) for _ in range(400)]
@@ -74,13 +75,35 @@ def test_median_of_large_groups(spark, bucket):
     data += [("one", 3.5), ("null", None), ("two", 1.0), ("two", 2.0)]
     data += [("inf", -math.inf)] * 3 + [("inf", 7.0), ("inf", 8.0), ("inf", 9.0), ("inf", 10.0)]
     df = spark.createDataFrame(data, "k string, v double")
-    got = {r.k: r["median"] for r in median_of_large_groups(df, ["k"], "v", bucket_values=bucket).collect()}
+    got = {r.k: r["median"] for r in median_of_large_groups(df, ["k"], "v", bits=bits).collect()}
     want = pd.DataFrame(data, columns=["k", "v"]).dropna().groupby("k")["v"].median().to_dict()
     assert set(got) == set(want)
     for k in want:
         assert got[k] == pytest.approx(want[k], rel=1e-15), k
 
 
+def test_radix_medians_of_odd_numbers(spark):
+    inf, tiny = math.inf, 5e-324
+    groups = {"zeros": [-0.0, 0.0, -0.0], "signs": [-tiny, tiny, -1.5, 1.5], "ends": [-1.7e308, 1.7e308, inf], "below": [-3.0, -1.0, -2.0, -inf],
+              "near": [1.0, math.nextafter(1.0, 2), math.nextafter(1.0, 0)], "nan": [1.0, math.nan, 2.0]}
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs] + [(None, 9.0)], "k string, v double")
+    got = {r.k: r["median"] for r in median_of_large_groups(df, ["k"], "v").collect()}
+    assert got == {"zeros": 0.0, "signs": 0.0, "ends": 1.7e308, "below": -2.5, "near": 1.0, "nan": 2.0}
+    big = (1 << 62) + 1
+    whole = spark.createDataFrame([(1, -big), (1, 5), (1, big), (2, -3), (2, -4)], "k int, v bigint")
+    assert rows(median_of_large_groups(whole, ["k"], "v")) == [(1, 5.0), (2, -3.5)]
+    with pytest.raises(ValueError, match="bits"):
+        median_of_large_groups(df, ["k"], "v", bits=0)
+
+
+def test_radix_medians_run_lazily_in_as_many_passes_whatever_the_values(spark):
+    df = spark.range(3000).select((F.col("id") % 3).alias("k"), (F.col("id") * F.pow(F.lit(10.0), F.col("id") % 200 - 100)).alias("v"))
+    plan = plan_of(median_of_large_groups(df, ["k"], "v"), "simple")
+    assert plan.count("FileScan parquet") == 4 and "CartesianProduct" not in plan and "ObjectHashAggregate" not in plan
+    got = {r.k: r["median"] for r in median_of_large_groups(df, ["k"], "v").collect()}
+    assert got == df.toPandas().groupby("k")["v"].median().to_dict()
+
+
 def test_median_without_keys_and_of_nothing(spark):
     df = spark.createDataFrame([(float(i),) for i in range(11)], "v double")
     assert rows(median_of_large_groups(df, [], "v")) == [(5.0,)]
@@ -245,6 +268,38 @@ def test_zero_points_match_pandas(spark, hot_rows):
     assert np.isnan(got.loc["D00999999_g_01_r1p1_fullcat.fits", "MAG_ZERO_MEAN_ERR"])
 
 
+@pytest.mark.parametrize("hot_rows", [500_000, 60, 0])
+def test_counts_of_the_steps(spark, hot_rows):
+    pdf, df = matched_frame(spark)
+    counts = StepCounts()
+    solve = lambda c: z.zero_points(df, F.col("BAND_2"), median_per=["TILE_2", "BAND_2"], hot_rows=hot_rows, counts=c)
+    got, plain = solve(counts), solve(None)
+    assert rows(got, "FILENAME_2") == rows(plain, "FILENAME_2")
+    with np.errstate(divide="ignore", invalid="ignore"):
+        pdf["x"] = pdf.G_1 + 0.0994 * (pdf.G_1 - pdf.R_1) - 0.0076 + 2.5 * np.log10(pdf.FLUX_APER_08_2)
+    quality = int(((pdf.FLUX_APER_08_2 >= 0) & (1.0857 / pdf.FLUX_APER_08_2.where(pdf.FLUX_APER_08_2 > 0, np.nan) < 10)).sum())
+    med = pdf.groupby("TILE_2")["x"].transform("median")
+    left = pdf[(pdf.x > med - 5) & (pdf.x < med + 5) & pdf.FILENAME_2.notna()]
+    passes = [len(pandas_clip(left, "FILENAME_2", "x", passes=k)) for k in (1, 2, 3)]
+    counted = counts.rows()
+    assert [counted[f"clip pass {k}"] for k in (1, 2, 3)] == passes and passes[0] > passes[2]
+    assert counted["quality"] >= passes[0] and list(counted)[0] == "quality" and abs(counted["quality"] - quality) <= 5
+
+
+def test_clip_of_hot_groups_reads_the_rows_once_a_pass(spark):
+    df = materialize(spark.createDataFrame(clip_data()))
+    plan = plan_of(sigma_clip(df, ["k"], "x", hot_groups=10), "simple")
+    assert plan.count("FileScan") == 2 and plan.count("Window [") == 0
+
+
+def test_counting_adds_no_scan_and_no_shuffle(spark):
+    df = materialize(spark.createDataFrame(clip_data()).withColumnRenamed("x", "MAG_DIFF"))
+    with_counts, without = [plan_of(z.clip_and_aggregate(df, ["k"], [], counts=c), "simple") for c in (StepCounts(), None)]
+    for node in ("FileScan", "Exchange", "Sort ["):
+        assert with_counts.count(node) == without.count(node) > 0, node
+    assert with_counts.count("CollectMetrics") == 3
+
+
 def test_missing_columns_are_all_named(spark):
     _, df = matched_frame(spark)
     with pytest.raises(ValueError, match="DZ_1.*FLAGS_2"):
