@@ -55,8 +55,14 @@ def test_only_changed_units_are_run_again(spark, survey, tmp_path):
     assert told(redone) == told(scratch) != whole
     assert sorted(map(tuple, redone.matched.select("MATCHID", "NUMBER_2", "BAND_2", "TILE_2").collect())) == sorted(
         map(tuple, scratch.matched.select("MATCHID", "NUMBER_2", "BAND_2", "TILE_2").collect()))
-    # An exposure goes: its unit is redone without it, or is gone with all its rows.
-    fewer = [exposure.where(F.col("expnum") != exposure.agg(F.min("expnum")).first()[0]), archive, image, moved, stars, boxes]
+    # An exposure that no image is selected of goes: nothing follows from it.
+    chosen = {r.EXPNUM for r in units_images(spark, changed).select("EXPNUM").distinct().collect()}
+    unused = next(r.expnum for r in exposure.select("expnum").collect() if r.expnum not in chosen)
+    same = calibrate_changed(exposure.where(F.col("expnum") != unused), *changed[1:], str(tmp_path / "a"), **OPTIONS)
+    assert set(statuses(same).values()) == {"kept"} and told(same) == told(scratch)
+    # One with matches goes: its unit is redone without it, or is gone with all its rows.
+    used = redone.matched.agg(F.min("EXPNUM_2")).first()[0]
+    fewer = [exposure.where(F.col("expnum") != used), archive, image, moved, stars, boxes]
     less = calibrate_changed(*fewer, str(tmp_path / "a"), **OPTIONS)
     gone = fewer[0].select("expnum").collect()
     assert {r.EXPNUM_2 for r in less.matched.select("EXPNUM_2").distinct().collect()} <= {r.expnum for r in gone}
