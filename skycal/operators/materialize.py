@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,12 +25,31 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[context.applicationId]
 
 
-def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
+# The JVM compiles no method beyond so many bytes, and interprets it however often it runs.
+COMPILED = 8000
+
+
+@contextmanager
+def compiled_methods(spark: SparkSession) -> Iterator[None]:
+    """While tables of many columns are written: a step whose one generated method would be too large to be compiled is run as
+    several smaller ones. The session's own limit is back afterwards."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), COMPILED)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def materialize(df: DataFrame, label: str = "cut", dictionary: bool = True) -> DataFrame:
     """Write df once as Parquet and read it back: later passes over it are column-pruned scans,
     and a lost executor costs a re-read, not the whole plan behind it. The tables of one application
-    share a folder, which may be deleted once its results are read."""
+    share a folder, which may be deleted once its results are read. Without dictionary, wide tables of doubles are
+    written in half the time."""
     spark = df.sparkSession
     folder = f"{shared_folder(spark).rstrip('/')}/skycal-{spark.sparkContext.applicationId}"
     path = f"{folder}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with compiled_methods(spark):
+        df.write.option("parquet.enable.dictionary", str(dictionary).lower()).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

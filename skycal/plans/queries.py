@@ -22,7 +22,7 @@ from skycal.plans import oracle as sql
 from skycal.plans.calibrate import calibrate as calibrate_survey
 from skycal.plans.proxy import object_catalog, observed_catalog, star_catalog, stored, table
 from skycal.plans.resume import calibrate_changed
-from skycal.sources.catalog_store import attach_bucketed, read_unit_catalogs, write_bucketed, write_unit_catalogs
+from skycal.sources.catalog_store import attach_bucketed, buckets_for, read_unit_catalogs, write_bucketed, write_unit_catalogs
 from skycal.sources.headers import read_csv_by_header
 from skycal.sources.sinks import fixed_decimals
 
@@ -436,7 +436,8 @@ def attach_metadata_bucketed(spark, d):
     """Objects stored in buckets of their file names: the join with the images does not move them."""
     objects, images = _field_images(spark, d)
     name = f"objects_{uuid.uuid4().hex}"
-    write_bucketed(catalog.flatten_catalog(object_catalog(objects)), name, _scratch(spark, "buckets"), 16)
+    flat = catalog.flatten_catalog(object_catalog(objects))
+    write_bucketed(flat, name, _scratch(spark, "buckets"), buckets_for(flat, least=16))
     return attach_bucketed(spark, name, images).select("FILENAME", "NUMBER", "EXPNUM", "TILE", "BAND", r6("RA"))
 
 

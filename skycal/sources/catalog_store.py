@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from skycal.functions.names import base_name
 from skycal.functions.numeric import nan_to_null
 from skycal.operators.catalog import attach_metadata
+from skycal.operators.materialize import compiled_methods
 
 UNIT = ["BAND", "TILE"]
+BUCKET_CELLS = 8_000_000    # rows times columns of a bucket: about 64 MB of numbers
+MAX_BUCKETS = 100_000   # of a table, by Spark's own default
 MAX_UNITS = 20_000      # folders of a store: five bands of the survey's tiles are about a thousand
 
 
@@ -75,13 +78,24 @@ def read_named_files(spark: SparkSession, path: str | list[str], listed: DataFra
     return nan_to_null(rows.select(*[f.name for f in schema.fields], *([] if "FILENAME" in schema.names else ["FILENAME"]))), missing
 
 
+def buckets_for(df: DataFrame, least: int = 1, cells: int = BUCKET_CELLS) -> int:
+    """Number of buckets that have about so many cells (rows times columns) each: it grows with the table, and the task that
+    writes or reads a bucket does not. A power of two times least, so that tables of other sizes divide it. Rows of one key
+    stay in one bucket, however many they are."""
+    need, buckets = -(-df.count() * len(df.columns) // cells), max(1, least)
+    while buckets < need and 2 * buckets <= MAX_BUCKETS:
+        buckets *= 2
+    return buckets
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, keys: tuple[str, ...] = ("FILENAME",),
                    order: tuple[str, ...] = ("FILENAME", "RA"), mode: str = "error") -> None:
     """A table in buckets of its keys, each sorted, one file per bucket: joins and groups by the keys then move no row of it
-    again. Buckets should be some hundred megabytes; the number is part of the table, and both sides of a join should
+    again. buckets_for tells a number that suits the size; it is part of the table, and both sides of a join should
     have the same, or one a multiple of the other."""
     dealt = df.repartition(buckets, *keys)
-    dealt.write.mode(mode).option("path", path).bucketBy(buckets, *keys).sortBy(*order).format("parquet").saveAsTable(table)
+    with compiled_methods(df.sparkSession):
+        dealt.write.mode(mode).option("path", path).bucketBy(buckets, *keys).sortBy(*order).format("parquet").saveAsTable(table)
 
 
 def attach_bucketed(spark: SparkSession, objects_table: str, images: DataFrame, band: str | None = None) -> DataFrame:

@@ -120,3 +120,9 @@ def test_pruning_by_objects_loses_no_match(spark):
     own = refcat.object_pixels(observed, ["N"])
     pairs = refcat.with_pixel(catalogue).select("N", "hpx8").join(own, ["N", "hpx8"], "left_semi")
     assert pairs.count() == len(stars)
+
+
+def test_the_number_of_buckets_grows_with_the_table(spark):
+    few, many = spark.range(1000).withColumn("x", F.lit(1.0)), spark.range(16_000).withColumn("x", F.lit(1.0))
+    assert [cs.buckets_for(df, least=2, cells=100) for df in (few, many)] == [32, 512]
+    assert cs.buckets_for(few, least=16) == 16 and cs.buckets_for(few.limit(0)) == 1
