@@ -28,13 +28,14 @@ def image_pixels(images: DataFrame, per: list[str] | None = None) -> DataFrame:
 def object_pixels(observed: DataFrame, per: list[str] | None = None, tol_arcsec: float = 2.0) -> DataFrame:
     """Distinct pixels that hold every star within the tolerance of an object (RA, DEC), for each group of the columns per.
 
-    Objects collapse to cells of CELL degrees where they are read. Around each cell, the pixels of its middle and of
+    Objects collapse to cells of CELL degrees where they are read, and a cell is looked at once for all groups. Around each cell, the pixels of its middle and of
     POINTS_AROUND points on a circle of four times its reach are taken: a pixel that comes as near as a star may be is seen from
     one of them, as its corners are wider than the angle between two. Around a pole the circle is a whole ring."""
     per = list(per or [])
     reach = 4 * (CELL * 0.75 + tol_arcsec / 3600)
     cells = observed.where("RA IS NOT NULL AND DEC IS NOT NULL").select(
         *per, F.floor(F.col("RA") / CELL).alias("_i"), F.floor(F.col("DEC") / CELL).alias("_j")).distinct()
+    own, cells = cells, cells.select("_i", "_j").distinct() if per else cells
     ra, dec = (F.col("_i") + 0.5) * CELL, (F.col("_j") + 0.5) * CELL
     step = 360.0 / POINTS_AROUND
     turn = F.sequence(F.lit(0), F.lit(POINTS_AROUND - 1))
@@ -44,8 +45,11 @@ def object_pixels(observed: DataFrame, per: list[str] | None = None, tol_arcsec:
     ring = lambda b: F.transform(turn, lambda k: point(k * step, dec + b))
     rings = F.concat(ring(-reach), ring(0.0), ring(reach))
     points = F.when(F.abs(dec) > 87, rings).otherwise(F.concat(F.array(point(ra, dec)), around))
-    points = cells.select(*per, F.explode(points).alias("p")).select(*per, "p.ra", "p.dec")
-    return add_healpix(points, NSIDE, "ra", "dec", PIXEL).select(*per, PIXEL).distinct()
+    points = cells.select("_i", "_j", F.explode(points).alias("p")).select("_i", "_j", "p.ra", "p.dec")
+    found = add_healpix(points, NSIDE, "ra", "dec", PIXEL)
+    if per:
+        found = own.join(found.select("_i", "_j", PIXEL).distinct(), ["_i", "_j"])
+    return found.select(*per, PIXEL).distinct()
 
 
 def with_pixel(refcat: DataFrame) -> DataFrame:

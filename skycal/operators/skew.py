@@ -26,15 +26,15 @@ class Split(NamedTuple):
     groups: int              # number of hot groups
 
 
-def split_hot(df: DataFrame, keys: list[str], hot_rows: int | None = None) -> Split:
+def split_hot(df: DataFrame, keys: list[str], hot_rows: int | None = None, counted: DataFrame | None = None) -> Split:
     """Ordinary rows and the rows of hot groups, a group being hot with more than hot_rows rows. NULL keys are a
     group like any other.
 
-    Runs one count per group, combined map-side; give it a frame that is cheap to read again. The list of hot
+    Runs one count per group, combined map-side; give it a frame that is cheap to read again, or counted with the same groups. The list of hot
     groups holds at most rows/hot_rows keys and is written. Usually it is empty, and then df itself is all there is;
     otherwise its size decides at run time how it is joined."""
     limit = hot_rows_of(df) if hot_rows is None else hot_rows
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    hot = (df if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
     hot = materialize(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys]), "hot-keys")
     found = hot.count()
     if not found:

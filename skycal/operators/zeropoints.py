@@ -34,10 +34,14 @@ def quality_cut(mags: DataFrame) -> DataFrame:
     return mags.where(phot.quality_ok(F.col("MAG_STD"), F.col("MAGERR_STD")))
 
 
-def median_window(rows: DataFrame, per: list[str], half_width: float = WINDOW) -> DataFrame:
-    """Rows strictly within half_width of the median MAG_DIFF of their (tile, band).
-    The medians, one per tile and band, are computed once and kept, so the passes that follow only join them."""
-    med = materialize(median_of_large_groups(rows, per, "MAG_DIFF", "_med"), "median")
+def unit_medians(rows: DataFrame, per: list[str]) -> DataFrame:
+    """Median MAG_DIFF of every (tile, band), computed once and kept, so the passes that follow only join it."""
+    return materialize(median_of_large_groups(rows, per, "MAG_DIFF", "_med"), "median")
+
+
+def median_window(rows: DataFrame, per: list[str], half_width: float = WINDOW, med: DataFrame | None = None) -> DataFrame:
+    """Rows strictly within half_width of the median MAG_DIFF of their (tile, band), or of the given ones."""
+    med = unit_medians(rows, per) if med is None else med
     with_med = rows.join(med, per) if per else rows.withColumn("_med", med.scalar())
     near = (F.col("MAG_DIFF") > F.col("_med") - half_width) & (F.col("MAG_DIFF") < F.col("_med") + half_width)
     return with_med.where(near).drop("_med")
@@ -57,11 +61,14 @@ def zero_point_stats(value: str = "MAG_DIFF", over: Callable[[Column], Column] =
 
 def clip_and_aggregate(rows: DataFrame, keys: list[str], medians: list[str], nsigma: float = 3.0,
                        passes: int = 3, apply_last: bool = False, hot_rows: int | None = None,
-                       counts: StepCounts | None = None) -> DataFrame:
+                       counts: StepCounts | None = None, counted: DataFrame | None = None) -> DataFrame:
     """Clip per image and aggregate. Ordinary images take one shuffle and one sort: the windows of the clip, the
     statistics and every median share them, and a task holds one image at a time. Images beyond hot_rows
-    rows (by default so many that their cells are HOT_CELLS) never meet in one task."""
-    ordinary, hot, groups = split_hot(rows, keys, hot_rows)
+    rows (by default so many that their cells are HOT_CELLS) never meet in one task. counted holds the same rows in a
+    form that is cheaper to count; rows themselves are then read once, and those of huge images written."""
+    ordinary, hot, groups = split_hot(rows, keys, hot_rows, counted)
+    if hot is not None and counted is not None:
+        hot = materialize(hot, "hot-rows")
     ordinary = sigma_clip(ordinary, keys, "MAG_DIFF", nsigma, passes, apply_last, counts=counts)
     names = list(dict.fromkeys([*medians, "MAG_DIFF"]))
     last = [*keys, *[f"{c}_MEDIAN" for c in medians], F.col("MAG_DIFF_MEDIAN").alias("MAG_ZERO_MEDIAN"),
@@ -80,13 +87,14 @@ def clip_and_aggregate(rows: DataFrame, keys: list[str], medians: list[str], nsi
 def zero_points(matched: DataFrame, band: str | Column, flux: str = "FLUX_APER_08_2",
                 fluxerr: str = "FLUXERR_APER_08_2", key: str = "FILENAME_2", median_per: list[str] | None = None,
                 all_medians: bool = True, nsigma: float = 3.0, passes: int = 3, apply_last: bool = False,
-                hot_rows: int | None = None, counts: StepCounts | None = None) -> DataFrame:
+                hot_rows: int | None = None, counts: StepCounts | None = None, stored: bool = False) -> DataFrame:
     """Zero points of every image in a matched frame.
 
     band is a band name, or a column with each row's band (rows of a band without a transform give
     nothing). median_per names the columns of one calibration unit, tile and band in a survey.
     The rows that pass the quality cut are written once, since the median, the group sizes, the clip
-    and the aggregates each read them. counts takes the rows of quality, of each clip pass and of
+    and the aggregates each read them. stored says that matched is a table of files: then only keys and differences are
+    written for the median and the group sizes, and clip and aggregates read of the table the columns they need. counts takes the rows of quality, of each clip pass and of
     the result, which is written then, so that they are there on return."""
     need = ["G_1", "R_1", "I_1", "Z_1", "DG_1", "DR_1", "DI_1", "DZ_1", flux, fluxerr, key,
             "FLUX_PSF_2", "FLAGS_2", "SPREAD_MODEL_2", *(median_per or [])]
@@ -98,6 +106,10 @@ def zero_points(matched: DataFrame, band: str | Column, flux: str = "FLUX_APER_0
 
     rows = quality_cut(magnitudes(nan_to_null(matched), band, flux))
     medians = [c for c in numeric_columns(rows) if c not in keep_keys] if all_medians else []
-    rows = materialize(watched(counts, rows.select(*keep_keys, *(medians or ["MAG_DIFF"])), "quality"), "quality")
-    solved = clip_and_aggregate(median_window(rows, per), keep_keys, medians, nsigma, passes, apply_last, hot_rows, counts)
+    wanted = rows.select(*keep_keys, *(medians or ["MAG_DIFF"]))
+    kept = materialize(watched(counts, rows.select(*keep_keys, "MAG_DIFF") if stored else wanted, "quality"), "quality")
+    med = unit_medians(kept, per)
+    near = median_window(kept, per, med=med)
+    solved = clip_and_aggregate(median_window(wanted, per, med=med) if stored else near, keep_keys, medians, nsigma, passes,
+                                apply_last, hot_rows, counts, near if stored else None)
     return solved if counts is None else materialize(counts.watch(solved, "zero_points"), "zero_points")

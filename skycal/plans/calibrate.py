@@ -70,13 +70,14 @@ def calibrate(exposure: DataFrame, archive: DataFrame, image: DataFrame, objects
         raise ValueError(f"prune: {prune!r} is neither 'images' nor 'objects'")
     observed = of_images(flatten_catalog(objects), images)
     stars = prune_reference(refcat, images, pixels=object_pixels(observed, tol_arcsec=tol_arcsec) if prune == "objects" else None)
-    if matched is None:
+    own = matched is None
+    if own:
         matched = attach_to_matches(crossmatch(stars, observed, tol_arcsec, pick, tie_break=STAR_ORDER), images)
         # The running number goes by star and then observation, as a sorted match file has it.
         matched = match_ids(matched, ["RA_WRAP_1", "DEC_1"], ["RA_WRAP_2", "DEC_2", "NUMBER_2", "FILENAME_2"], number_per)
         matched = watched(counts, matched, "matched")
         matched = keep_matched(matched) if keep_matched else _keep(matched, store, "matched", ["BAND_2", "TILE_2"])
     solved = zero_points(matched, F.col("BAND_2"), flux, fluxerr, median_per=["TILE_2", "BAND_2"],
-                         all_medians=all_medians, counts=counts, **clip)
+                         all_medians=all_medians, counts=counts, stored=own, **clip)
     return Calibration(images, stars, matched, _keep(solved, store, "zero_points"),
                        missing_catalogs(flatten_catalog(objects), images), missing_pixels(refcat, images))

@@ -161,11 +161,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, given: dict[str, DataFram
 _stored: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A derived table kept as files for the session, the way a survey has its catalogues on disk."""
+def stored(spark: SparkSession, sf_dir: str, name: str, given: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A derived table kept as files for the session, the way a survey has its catalogues on disk; given as in table()."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
-        _stored[key] = materialize(table(spark, sf_dir, name), name)
+        _stored[key] = materialize(table(spark, sf_dir, name, given), name)
     return _stored[key]
 
 

@@ -368,9 +368,11 @@ FIELD_TABLES = ["field_obs", "field_exposure", "field_archive", "field_image"]
 
 
 def _field(spark, d):
-    """The derived field objects and the metadata tables over them."""
-    given = {"field_obs": stored(spark, d, "field_obs")}
-    return given["field_obs"], [table(spark, d, f"field_{t}", given) for t in ("exposure", "archive", "image")]
+    """The derived field objects and the metadata tables over them, each made once: a survey has them as tables."""
+    given: dict[str, DataFrame] = {}
+    for t in ("obs", "exposure", "archive", "image"):
+        given[f"field_{t}"] = stored(spark, d, f"field_{t}", given)
+    return given["field_obs"], [given[f"field_{t}"] for t in ("exposure", "archive", "image")]
 
 
 def _field_images(spark, d):

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from skycal.functions.names import base_name
 from skycal.operators.catalog import flatten_catalog
-from skycal.operators.materialize import materialize
+from skycal.operators.materialize import compiled_methods, materialize
 from skycal.operators.refcat import PIXEL, object_pixels, with_pixel
 from skycal.operators.selection import select_survey_images
 from skycal.plans.calibrate import calibrate
@@ -82,11 +82,14 @@ class _Manifest:
                 self.fs.delete(path, True)
 
 
-def _write_units(df: DataFrame, path: str) -> None:
-    """Only the folders of the units in df are replaced. About one file in each, more where it is large. The schema is kept beside
-    them, as there may be none left to infer it from."""
+def _write_units(df: DataFrame, path: str, dealt: bool = False) -> None:
+    """Only the folders of the units in df are replaced. About one file in each, more where it is large; dealt says that the rows
+    of a unit lie together already and need not be moved for it. The schema is kept beside them, as there may be none left
+    to infer it from."""
     df.sparkSession.createDataFrame([(df.schema.json(),)], "json string").coalesce(1).write.mode("overwrite").parquet(f"{path}_schema")
-    df.hint("rebalance", *STORED).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*STORED).parquet(path)
+    rows = df if dealt else df.hint("rebalance", *STORED)
+    with compiled_methods(df.sparkSession):
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*STORED).parquet(path)
 
 
 def _read(manifest: _Manifest, path: str) -> DataFrame:
@@ -132,7 +135,7 @@ def calibrate_changed(exposure: DataFrame, archive: DataFrame, image: DataFrame,
 
 
 def _stored(matched: DataFrame, path: str, units: list[tuple]) -> DataFrame:
-    _write_units(matched, path)
+    _write_units(matched, path, dealt=True)    # numbered by unit: ranges of them
     chosen = in_units(units)
     rows = matched.sparkSession.read.schema(matched.schema).parquet(path)
     return rows.withColumns({"BAND": F.col("BAND_2"), "TILE": F.col("TILE_2")}).where(chosen).drop("BAND", "TILE")

@@ -107,3 +107,16 @@ def test_numbers_per_group(spark):
     df = spark.createDataFrame([(u, s, o) for u in ("b", None, "a") for s in (2.0, 1.0) for o in (5.0, 3.0)], "u string, s double, o double").repartition(4)
     got = sorted(map(tuple, match_ids(df, ["s"], ["o"], ["u"]).select("u", "MATCHID", "s", "o").collect()), key=repr)
     assert got == sorted([(u, k + 1, s, o) for u in ("b", None, "a") for k, (s, o) in enumerate([(1.0, 3.0), (1.0, 5.0), (2.0, 3.0), (2.0, 5.0)])], key=repr)
+
+
+def test_numbers_within_groups_write_the_rows_once(spark, monkeypatch):
+    """Groups that span partitions, share one, and lack a key: no second table of the rows is made to number them."""
+    from skycal.operators import matchid
+    written = []
+    keep = matchid.materialize
+    monkeypatch.setattr(matchid, "materialize", lambda df, label, **options: written.append((label, "x" in df.columns)) or keep(df, label, **options))
+    data = [(u, s, s % 3, 1.5) for u, n in (("a", 400), (None, 7), ("b", 1), ("c", 90)) for s in range(n)]
+    df = spark.createDataFrame(data, "u string, s int, o int, x double").repartition(5)
+    got = match_ids(df, ["s"], ["o"], ["u"]).select("u", "s", "MATCHID").collect()
+    assert sorted((r.u or "", r.s, r.MATCHID) for r in got) == sorted((u or "", s, s + 1) for u, s, _, _ in data)
+    assert written == [("ordered", True), ("offsets", False)]

@@ -314,3 +314,25 @@ def test_column_names_are_parameters(spark):
                         flux="F_2", fluxerr="E_2", key="TILE_2", all_medians=False)
     assert got.columns == ["TILE_2", "MAG_ZERO_MEDIAN", "MAG_ZERO_MEAN", "MAG_ZERO_STD", "MAG_ZERO_MEAN_ERR", "MAG_ZERO_NUM"]
     assert got.count() == 2
+
+
+@pytest.mark.parametrize("hot_rows", [500_000, 60])
+def test_a_stored_match_table_is_not_written_again(spark, monkeypatch, hot_rows):
+    df = materialize(matched_frame(spark)[1])
+    written = {}
+    monkeypatch.setattr(z, "materialize", lambda rows, label: written.update({label: rows.columns}) or materialize(rows, label))
+    solve = lambda **o: z.zero_points(df, F.col("BAND_2"), median_per=["TILE_2", "BAND_2"], hot_rows=hot_rows, **o).toPandas()
+    want = solve().sort_values("FILENAME_2", ignore_index=True)
+    got = solve(stored=True).sort_values("FILENAME_2", ignore_index=True)
+    pd.testing.assert_frame_equal(got, want, rtol=1e-12)
+    assert len(got) and written["quality"] == ["FILENAME_2", "TILE_2", "BAND_2", "MAG_DIFF"]
+
+
+def test_the_limit_of_methods_is_the_sessions_own_again(spark):
+    from skycal.operators.materialize import COMPILED, compiled_methods
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    with pytest.raises(RuntimeError), compiled_methods(spark):
+        assert int(spark.conf.get(name)) == COMPILED
+        raise RuntimeError
+    assert spark.conf.get(name) == before
