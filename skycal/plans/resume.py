@@ -82,14 +82,12 @@ class _Manifest:
                 self.fs.delete(path, True)
 
 
-def _write_units(df: DataFrame, path: str, dealt: bool = False) -> None:
-    """Only the folders of the units in df are replaced. About one file in each, more where it is large; dealt says that the rows
-    of a unit lie together already and need not be moved for it. The schema is kept beside them, as there may be none left
-    to infer it from."""
+def _write_units(df: DataFrame, path: str) -> None:
+    """Only the folders of the units in df are replaced. The rows of a unit should lie together, which makes about one file in
+    each, more where it is large. The schema is kept beside them, as there may be none left to infer it from."""
     df.sparkSession.createDataFrame([(df.schema.json(),)], "json string").coalesce(1).write.mode("overwrite").parquet(f"{path}_schema")
-    rows = df if dealt else df.hint("rebalance", *STORED)
     with compiled_methods(df.sparkSession):
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*STORED).parquet(path)
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*STORED).parquet(path)
 
 
 def _read(manifest: _Manifest, path: str) -> DataFrame:
@@ -129,13 +127,13 @@ def calibrate_changed(exposure: DataFrame, archive: DataFrame, image: DataFrame,
             # The other images are not even read again: their units' conditions choose image rows, and these the objects.
             run = calibrate(exposure, archive, image, objects, refcat, tiles, images=images.where(in_units(todo)),
                             bands=bands, tol_arcsec=tol_arcsec, prune="objects", number_per=STORED, keep_matched=lambda m: _stored(m, matched_path, todo), **options)
-            _write_units(run.zero_points, solved_path)
+            _write_units(run.zero_points.hint("rebalance", *STORED), solved_path)
         manifest.write(now)
     return Resumed(_read(manifest, solved_path), _read(manifest, matched_path), units)
 
 
 def _stored(matched: DataFrame, path: str, units: list[tuple]) -> DataFrame:
-    _write_units(matched, path, dealt=True)    # numbered by unit: ranges of them
+    _write_units(matched, path)    # numbered by unit: ranges of them
     chosen = in_units(units)
     rows = matched.sparkSession.read.schema(matched.schema).parquet(path)
     return rows.withColumns({"BAND": F.col("BAND_2"), "TILE": F.col("TILE_2")}).where(chosen).drop("BAND", "TILE")
