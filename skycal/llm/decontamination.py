@@ -22,6 +22,7 @@ TERMS = 1 << 13        # terms of the matrix: the low bits of a word
 PASSAGE = 32           # words of a passage of the matrix
 SKETCH = 384           # rows of the sketch
 RANK = 128             # singular vectors kept
+FOLDED = 8             # partitions that a task folds into its sketch
 WINDOWS = (8, 16, 24, 32, 40, 48, 56, 64)      # words of the passages, of which an item looks at the size closest to its own
 SHIFT = 4              # a passage begins after each such part of the one before
 CANDIDATE = 0.45       # cosine of a candidate: paraphrases that only just share PARAPHRASE of an item have less than that share
@@ -29,13 +30,15 @@ SURE = 0.8             # share of an item in its longest common subsequence with
 PARAPHRASE = 0.6       # share from which the answer decides
 ANSWER = 0.9           # share of the answer that has to be there
 LEAST_WORDS = 5        # items below are too short to be told from chance
-CHUNK = 1 << 15        # words of a text that are projected at once
+CHUNK = 2 * math.lcm(*(w // SHIFT for w in WINDOWS))     # words projected at once: whole shifts, so that no cut moves a passage
+TEXTS = 64             # texts that are searched at once
 ITEM_BLOCK = 20_000    # items that one pass looks for
 _BASE = 0x9E3779B97F4A7C15
 _FOLD = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
 
 _PART = 1 << 20        # bytes of a text whose words are hashed at once
+_SHORT = 1 << 14       # bytes of texts that are hashed together
 
 
 @cache
@@ -48,15 +51,15 @@ def _powers() -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def _hashed(data: np.ndarray) -> np.ndarray:
-    """16 bits of a polynomial hash of every word of some folded bytes, by prefix sums."""
+def _hashed(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """16 bits of a polynomial hash of every word of some folded bytes, by prefix sums, and where each begins."""
     edge = np.flatnonzero(np.diff(data != 32, prepend=False, append=False))
     start, end, (up, down) = edge[::2], edge[1::2], _powers()
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data + np.uint64(7)) * up[: len(data)], out=sums[1:])
     value = (sums[end] - sums[start]) * down[start]
     value = (value ^ (value >> np.uint64(32))) * np.uint64(_BASE)
-    return (value >> np.uint64(48)).astype(np.uint16)
+    return (value >> np.uint64(48)).astype(np.uint16), start
 
 
 def word_ids(text: bytes | None) -> np.ndarray:
@@ -67,17 +70,37 @@ def word_ids(text: bytes | None) -> np.ndarray:
         if end < len(folded):
             cut = folded.rfind(b" ", at, end)
             end = cut if cut > at else end
-        parts.append(_hashed(np.frombuffer(folded, np.uint8, end - at, at)))
+        parts.append(_hashed(np.frombuffer(folded, np.uint8, end - at, at))[0])
         at = end
     return np.concatenate(parts) if parts else np.zeros(0, np.uint16)
 
 
+def all_word_ids(texts: list[bytes | None]) -> list[np.ndarray]:
+    """word_ids() of each text; short texts are hashed together."""
+    out, held, size = [], [], 0
+
+    def told() -> list[np.ndarray]:
+        ids, start = _hashed(np.frombuffer(b" ".join(held).translate(_FOLD), np.uint8))
+        return np.split(ids, np.searchsorted(start, np.cumsum([len(t) + 1 for t in held])[:-1]))
+
+    for text in texts:
+        if len(text or b"") >= _SHORT or size >= _SHORT:
+            out += told() if held else []
+            held, size = [], 0
+        if len(text or b"") >= _SHORT:
+            out.append(word_ids(text))
+        else:
+            held.append(text or b"")
+            size += len(held[-1])
+    return out + (told() if held else [])
+
+
 def tokenised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, h: hash of the text, words: two bytes each) of every document."""
 
     def run(batches):
         for batch in batches:
-            words = [word_ids(t).tobytes() for t in batch.column(2).to_pylist()]
+            words = [ids.tobytes() for ids in all_word_ids(batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(words, pa.binary())], names=[id_col, "h", "words"])
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -152,8 +175,11 @@ def right_singular_vectors(tokens: DataFrame, idf: np.ndarray, rank: int = RANK,
     value. A sparse sign matrix folds the passages into `sketch` rows, partition by partition; the sums of these rows,
     whose size does not grow with the documents, are decomposed. Row and sign of a passage come from a hash of its
     document's id and text and its place there, so the result does not depend on how documents are dealt to tasks,
-    but for the order in which doubles are added. As many groups add up the tasks' rows as each has rows to add."""
-    salts = max(64, math.isqrt(tokens.rdd.getNumPartitions()) + 1)
+    but for the order in which doubles are added. FOLDED partitions are folded by one task, if all cores have one then, since each
+task hands on a whole sketch; if there are many, as many groups add up the tasks' rows as each has rows to add."""
+    tasks = tokens.rdd.getNumPartitions()
+    tasks = min(tasks, max(tokens.sparkSession.sparkContext.defaultParallelism, -(-tasks // FOLDED)))
+    salts = max(64, math.isqrt(tasks) + 1)
 
     def run(batches):
         part = TaskContext.get().partitionId()
@@ -176,8 +202,10 @@ def right_singular_vectors(tokens: DataFrame, idf: np.ndarray, rank: int = RANK,
                                                  names=["row", "salt", "term", "value"])
 
     schema = "row int, salt int, term binary, value binary"
-    parts = tokens.select("words", F.xxhash64(tokens.columns[0], "h").alias("key")).mapInArrow(run, schema)
-    folded = parts.groupBy("row", "salt").applyInArrow(_added, schema).groupBy("row").applyInArrow(_added, schema)
+    parts = tokens.select("words", F.xxhash64(tokens.columns[0], "h").alias("key")).coalesce(tasks).mapInArrow(run, schema)
+    if tasks > salts:
+        parts = parts.groupBy("row", "salt").applyInArrow(_added, schema)
+    folded = parts.groupBy("row").applyInArrow(_added, schema)
     matrix = np.zeros((sketch, TERMS))
     for r in folded.collect():
         matrix[r.row, np.frombuffer(r.term, np.uint16)] = np.frombuffer(r.value, np.float32)
@@ -255,60 +283,91 @@ class Retrieval:
                    {w: np.stack([filled(i) for i in own]) for w, own in by.items()},
                    {w: np.array([len(i.words) for i in own]) for w, own in by.items()})
 
+    def near(self, texts: list[np.ndarray]):
+        """For some texts at a time and each window size: (size, numbers of texts, numbers of items, first words, cosines) of all
+        passages close to an item."""
+        held, size = [], 0
+        for number, words in enumerate(texts):
+            least = max(len(words) - WINDOWS[-1] // 2, 1)
+            for at in range(0, least, CHUNK):
+                own = words[at:at + CHUNK + WINDOWS[-1]]
+                if len(own):
+                    held.append((number, at, at + CHUNK >= least, own))
+                    size += len(own)
+                if size >= CHUNK:
+                    yield from self._near(held)
+                    held, size = [], 0
+        if held:
+            yield from self._near(held)
+
+    def _near(self, held: list[tuple[int, int, bool, np.ndarray]]):
+        """near() of parts of texts: (number of the text, first word, is it the last part, words)."""
+        step = math.gcd(*(w // SHIFT for w in self.vectors))
+        number, at, last, size = (np.array(c) for c in zip(*((n, a, z, -(-len(own) // step)) for n, a, z, own in held)))
+        # sums of `step` words; what is missing at the end of a part, and all past it, is words without weight
+        room = size + max(self.vectors) // step
+        begin = np.cumsum(room) - room
+        flat = np.full(room.sum() * step, TERMS, np.uint16)
+        for b, (*_, own) in zip((begin * step).tolist(), held):
+            np.remainder(own, TERMS, out=flat[b:b + len(own)])
+        square = flat.reshape(-1, step)
+        sums = np.take(self.table, square[:, 0], axis=0, mode="clip")      # every number is a row: no check, no copy
+        for j in range(1, step):
+            sums += np.take(self.table, square[:, j], axis=0, mode="clip")
+        for w, vectors in self.vectors.items():
+            n, move = w // step, w // step // SHIFT
+            count = np.where(last, -(-np.maximum(1, size - n // 2) // move), CHUNK // (move * step))
+            # A window is SHIFT shifts, of which each is part of SHIFT windows; the last windows reach past the end of their part.
+            shifts = count + SHIFT - 1
+            part = np.repeat(np.arange(len(held)), shifts)
+            place = np.arange(len(part)) - np.repeat(np.cumsum(shifts) - shifts, shifts)
+            first = begin[part] + place * move
+            parts = np.take(sums, first, axis=0, mode="clip")
+            for j in range(1, move):
+                parts += np.take(sums, first + j, axis=0, mode="clip")
+            two = parts[1:] + parts[:-1]
+            passages = two[:-2] + two[2:]
+            least = np.sqrt(np.einsum("ij,ij->i", passages, passages))
+            np.maximum(least, 1e-9, out=least)
+            close = passages @ vectors.T
+            p, j = np.divmod(np.flatnonzero(close >= CANDIDATE * least[:, None]), len(vectors))
+            inside = place[p] < count[part[p]]                             # others begin in one part and end in the next
+            p, j = p[inside], j[inside]
+            if len(p):
+                yield w, number[part[p]], j, at[part[p]] + place[p] * (move * step), close[p, j] / least[p]
+
     def candidates(self, words: np.ndarray):
-        """For each part of a text and each window size: (size, numbers of items, first words, cosines) of all passages close
-        to an item."""
-        step, k = math.gcd(*(w // SHIFT for w in self.vectors)), self.table.shape[1]
-        beyond = 2 * max(self.vectors) // step
-        for at in range(0, max(len(words) - WINDOWS[-1] // 2, 1), CHUNK):
-            own = words[at:at + CHUNK + WINDOWS[-1]] % TERMS
-            if not len(own):
-                return
-            # sums of `step` words; what is missing at the end, and all past it, is words without weight
-            square = np.append(own, np.full(-len(own) % step, TERMS, np.uint16)).reshape(-1, step)
-            size = len(square)
-            sums = np.zeros((size + beyond, k), np.float32)
-            np.take(self.table, square[:, 0], axis=0, out=sums[:size], mode="clip")      # every number is a row: no check, no copy
-            for j in range(1, step):
-                sums[:size] += np.take(self.table, square[:, j], axis=0, mode="clip")
-            for w, vectors in self.vectors.items():
-                n, move = w // step, w // step // SHIFT
-                count = -(-max(1, size - n // 2) // move)
-                # A window is SHIFT parts, of which each is part of SHIFT windows.
-                parts = sums[:(count + SHIFT - 1) * move].reshape(-1, move, k).sum(axis=1) if move > 1 else sums[:count + SHIFT - 1]
-                two = parts[1:] + parts[:-1]
-                passages = two[:count] + two[2:count + 2]
-                least = np.sqrt(np.einsum("ij,ij->i", passages, passages))
-                np.maximum(least, 1e-9, out=least)
-                close = passages @ vectors.T
-                p, j = np.nonzero(close >= CANDIDATE * least[:, None])
-                if len(p):
-                    yield w, j, at + p * (move * step), close[p, j] / least[p]
-
-    def leaks(self, words: np.ndarray) -> list[tuple[int, float, float, bool, int]]:
-        """(item, overlap, cosine, answer found, first word) of the best passage for each item that leaks."""
-        best: dict[int, tuple] = {}
-        there, flags = np.zeros(WORD_IDS + 1, bool), np.zeros(WORD_IDS, bool)
-        there[words] = True
-        for w, j, first, cosine in self.candidates(words):
+        """near() of one text, without its number."""
+        for w, _, j, first, cosine in self.near([words]):
+            yield w, j, first, cosine
+
+    def leaks(self, texts: list[np.ndarray]) -> list[list[tuple[int, float, float, bool, int]]]:
+        """For each text, (item, overlap, cosine, answer found, first word) of the best passage for each item that leaks."""
+        best: list[dict[int, tuple]] = [{} for _ in texts]
+        there, flags = np.zeros((len(texts), WORD_IDS + 1), bool), np.zeros(WORD_IDS, bool)
+        for own, words in zip(there, texts):
+            own[words] = True
+        for w, text, j, first, cosine in self.near(texts):
             # An item can have a long enough subsequence only where enough of its words are: in the text, then in the passage.
-            numbers = np.flatnonzero(np.bincount(j))
-            enough = numbers[there[self.words[w][numbers]].sum(axis=1) >= PARAPHRASE * self.sizes[w][numbers]]
-            for number in enough.tolist():
-                item, own = self.items[w][number], np.flatnonzero(j == number)
+            pairs, which = np.unique(text * len(self.items[w]) + j, return_inverse=True)
+            number, item_no = np.divmod(pairs, len(self.items[w]))
+            enough = there[number[:, None], self.words[w][item_no]].sum(axis=1) >= PARAPHRASE * self.sizes[w][item_no]
+            for pair in np.flatnonzero(enough).tolist():
+                item, own, words, found = self.items[w][item_no[pair]], np.flatnonzero(which == pair), texts[number[pair]], best[number[pair]]
+                low, high = np.maximum(first[own] - w // 2, 0), np.minimum(first[own] + w + w // 2, len(words))
+                start, end = int(low.min()), int(high.max())
                 flags[item.words] = True
-                met = np.zeros(len(words) + 1, np.int64)
-                np.cumsum(flags[words], out=met[1:])
+                met = np.zeros(end - start + 1, np.int64)
+                np.cumsum(flags[words[start:end]], out=met[1:])
                 flags[item.words] = False
-                low, high = np.maximum(first[own] - w // 2, 0), np.minimum(first[own] + w + w // 2, len(words))
-                for k in np.flatnonzero(met[high] - met[low] >= PARAPHRASE * len(item.words)).tolist():
+                for k in np.flatnonzero(met[high - start] - met[low - start] >= PARAPHRASE * len(item.words)).tolist():
                     at, near, around = int(first[own[k]]), float(cosine[own[k]]), words[low[k]:high[k]]
                     overlap = lcs(item.words, around, item.masks) / len(item.words)
                     if overlap >= PARAPHRASE:
                         answered = lcs(item.answer, around) >= ANSWER * len(item.answer)
-                        if (overlap >= SURE or answered) and (overlap, near) > best.get(item.item_id, (0, 0, 0))[:2]:
-                            best[item.item_id] = (overlap, near, answered, at)
-        return [(i, *b) for i, b in best.items()]
+                        if (overlap >= SURE or answered) and (overlap, near) > found.get(item.item_id, (0, 0, 0))[:2]:
+                            found[item.item_id] = (overlap, near, answered, at)
+        return [[(i, *b) for i, b in found.items()] for found in best]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -333,8 +392,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         def run(batches):
             retrieval = shared.value
             for batch in batches:
-                out = [(row, *leak) for row, words in enumerate(batch.column(2).to_pylist())
-                       for leak in retrieval.leaks(np.frombuffer(words, np.uint16))]
+                texts = [np.frombuffer(words, np.uint16) for words in batch.column(2).to_pylist()]
+                out = [(row, *leak) for k in range(0, len(texts), TEXTS)
+                       for row, leaks in enumerate(retrieval.leaks(texts[k:k + TEXTS]), k) for leak in leaks]
                 cols = list(zip(*out)) if out else [()] * 6
                 rows = pa.array(cols[0], pa.int64())
                 yield pa.RecordBatch.from_arrays(

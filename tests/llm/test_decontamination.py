@@ -125,3 +125,40 @@ def test_the_decomposition_does_not_depend_on_the_layout(spark):
         v = dec.right_singular_vectors(tokens, idf, rank=8)
         tables.append(v @ v.T)
     assert all(np.allclose(tables[0], t, rtol=1e-3, atol=1e-6 * np.abs(tables[0]).max()) for t in tables[1:])
+
+
+def test_texts_searched_together_leak_what_each_leaks_alone():
+    rng = np.random.default_rng(11)
+    table = rng.standard_normal((dec.TERMS, dec.RANK)).astype(np.float32)
+    items = [dec.Item(k, rng.integers(0, dec.WORD_IDS, size).astype(np.uint16), np.zeros(1, np.uint16)) for k, size in enumerate((7, 17, 27, 41, 59) * 4)]
+    retrieval = dec.Retrieval.of(items, table)
+    texts = [rng.integers(0, dec.WORD_IDS, size).astype(np.uint16) for size in (0, 1, 3, 8, 40, 300, 3 * dec.CHUNK + 20, dec.CHUNK + 33, 5, 900, dec.CHUNK)]
+    for number, at, k in ((4, 0, 0), (5, 250, 3), (6, dec.CHUNK - 20, 8), (6, 3 * dec.CHUNK - 40, 4), (7, dec.CHUNK - 10, 1), (9, 400, 7), (10, dec.CHUNK - 41, 13)):
+        texts[number][at:at + len(items[k].words)] = items[k].words[:len(texts[number]) - at]
+    together = retrieval.leaks(texts)
+    assert [{leak[0] for leak in own} for own in together] == [set(), set(), set(), set(), {0}, {3}, {8, 4}, {1}, set(), {7}, {13}]
+    for own, words in zip(together, texts):
+        alone = retrieval.leaks([words])[0]
+        assert [(i, o, a, p) for i, o, _, a, p in own] == [(i, o, a, p) for i, o, _, a, p in alone]
+        assert np.allclose([leak[2] for leak in own], [leak[2] for leak in alone], atol=1e-5)
+    # no cut of a long text moves a passage: windows begin at whole shifts everywhere
+    assert all((first % (w // dec.SHIFT) == 0).all() for w, _, _, first, _ in retrieval.near(texts))
+
+
+def test_word_ids_of_texts_hashed_together():
+    rng = random.Random(12)
+    texts = [None, b"", b" ", b"one", b" two  words ", b"--", "é über x1".encode(), *(" ".join(word(rng) for _ in range(n)).encode() for n in (5, 900, 4000, 3, 20_000)), b""]
+    got = dec.all_word_ids(texts)
+    assert len(got) == len(texts) and all(np.array_equal(a, dec.word_ids(b)) for a, b in zip(got, texts))
+    assert dec.all_word_ids([]) == []
+
+
+def test_a_task_hands_on_one_sketch_for_many_partitions(spark, monkeypatch):
+    monkeypatch.setattr(dec, "FOLDED", 1000)
+    cores = spark.sparkContext.defaultParallelism
+    docs = spark.createDataFrame([(k, "some words of text number " + "x" * k, "x", 1, 2) for k in range(1, 60)], DOCS).repartition(5 * cores)
+    tokens = dec.tokenised(docs).cache()
+    idf, seen, plain = dec.inverse_frequencies(tokens), [], type(tokens).mapInArrow
+    monkeypatch.setattr(type(tokens), "mapInArrow", lambda self, *rest: seen.append(self.rdd.getNumPartitions()) or plain(self, *rest))
+    assert dec.right_singular_vectors(tokens, idf, rank=4).shape[0] == dec.TERMS
+    assert tokens.rdd.getNumPartitions() == 5 * cores and seen == [cores]
