@@ -120,13 +120,21 @@ def _batches(batches, length: int) -> Iterator[tuple[list[tuple], list[bytes]]]:
 
 
 def _anchored(length: int):
-    names = ["k1", "k2", "anchor", "c1", "c2", "first", "count"]
+    """One row for each context of a text, however often a line makes it come again: its first place, and the others if there are any."""
+    names = ["k1", "k2", "anchor", "c1", "c2", "first", "count", "more"]
 
     def run(batches):
         for rows, texts in _batches(batches, length):
             keys = np.array(rows, np.int64)
-            for own, anchor, c1, c2, first, count in anchors(texts, length):
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(a), pa.int64()) for a in (keys[own, 0], keys[own, 1], anchor, c1, c2, first + keys[own, 2], count)], names=names)
+            for found in anchors(texts, length):
+                order = np.lexsort((found[4], found[3], found[2], found[1], found[0]))
+                own, anchor, c1, c2, first, count = (a[order] for a in found)
+                new = np.any([np.diff(a) != 0 for a in (own, anchor, c1, c2)], axis=0)
+                at = np.append(0, np.flatnonzero(new) + 1)
+                place, others = first + keys[own, 2], np.diff(at, append=len(own)) - 1
+                more = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(others)), pa.int32()), pa.array(np.delete(place, at), pa.int64()), mask=pa.array(others == 0))
+                cols = (keys[own, 0], keys[own, 1], anchor, c1, c2, place, count)
+                yield pa.RecordBatch.from_arrays([*(pa.array(a[at], pa.int64()) for a in cols), more], names=names)
 
     return run
 
@@ -216,14 +224,15 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def repeats(docs: DataFrame, store: Store, length: int = LENGTH, shard_hot: int = HOT) -> DataFrame:
     """(k1, k2, spans): byte ranges of documents of keyed() that a repeated string covers, overlapping and unordered."""
     found = store.put(docs.select("k1", "k2", "text").where(F.length("text") >= length).mapInArrow(
-        _anchored(length), f"{_ROW}, anchor bigint, c1 bigint, c2 bigint, first bigint, count bigint"), "anchors")
+        _anchored(length), f"{_ROW}, anchor bigint, c1 bigint, c2 bigint, first bigint, count bigint, more array<bigint>"), "anchors")
+    places = F.sum(F.lit(1) + F.coalesce(F.array_size("more"), F.lit(0)))
     # Stored, so that the join finds two plain shuffles and a very frequent anchor is split by adaptive execution.
-    groups = store.put(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), (
+    groups = store.put(found.groupBy("anchor").agg(places.alias("n"), (
         (F.min("c1") == F.max("c1")) & (F.min("c2") == F.max("c2"))).alias("alike")).where("n > 1").drop("n"), "groups")
     twice = store.put(found.join(groups, "anchor"), "twice")
     store.drop("anchors", "groups")
     mixed = twice.where("NOT alike")
-    distinct = mixed.groupBy("anchor", "c1", "c2").agg(F.min(F.struct("k1", "k2", "first", "count")).alias("r"), F.count(F.lit(1)).alias("times"))
+    distinct = mixed.groupBy("anchor", "c1", "c2").agg(F.min(F.struct("k1", "k2", "first", "count")).alias("r"), places.alias("times"))
     sizes = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("distinct"))
     wanted = distinct.join(sizes, "anchor").groupBy("r.k1", "r.k2").agg(F.collect_list(F.struct(
         "anchor", "c1", "c2", "times", "distinct", F.col("r.first").alias("first"), F.col("r.count").alias("count"))).alias("wanted"))
@@ -243,12 +252,14 @@ def repeats(docs: DataFrame, store: Store, length: int = LENGTH, shard_hot: int
     edge = lambda step: F.sort_array(F.filter("lows", lambda k: ~F.array_contains("lows", k + step)))
     single = hits.select("anchor", "c1", "c2", F.zip_with(
         edge(-1), edge(1), lambda low, last: F.struct(low.alias("low"), (last + 1).alias("high"))).alias("runs"))
-    # One row of maximal runs for each context, so that the join makes a row for each copy and not for each of its starts.
+    # One row of maximal runs for each context, so that the join makes a row for each text with a copy and not for each of its starts.
     runs = store.put(sorted_.groupBy("anchor", "c1", "c2").agg(F.collect_list(F.struct("low", "high")).alias("runs")).union(single), "runs")
     store.drop("contexts")
-    span = lambda low, high: F.struct((F.col("first") + low).alias("s"), (F.col("first") + high - 1 + length).alias("e"))
-    spans = mixed.join(runs, ["anchor", "c1", "c2"]).select("k1", "k2", F.transform("runs", lambda r: span(r["low"], r["high"])).alias("spans")).union(
-        twice.where("alike").select("k1", "k2", F.array(span(F.lit(0), F.col("count"))).alias("spans")))
+    span = lambda at, low, high: F.struct((at + low).alias("s"), (at + high - 1 + length).alias("e"))
+    each = F.concat(F.array("first"), F.coalesce("more", F.array().cast("array<bigint>")))
+    spans = mixed.join(runs, ["anchor", "c1", "c2"]).select("k1", "k2", F.flatten(F.transform(each, lambda at: F.transform(
+        "runs", lambda r: span(at, r["low"], r["high"])))).alias("spans")).union(
+        twice.where("alike").select("k1", "k2", F.transform(each, lambda at: span(at, F.lit(0), F.col("count"))).alias("spans")))
     return spans.groupBy("k1", "k2").agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 

@@ -121,3 +121,18 @@ def test_passages_counted_in_words(spark, tmp_path, monkeypatch):
     asked = pa.RecordBatch.from_pylist([{"k1": r["k1"], "k2": 0, "text": texts[r["k1"]], "runs": [{"s": r["s"], "e": r["e"]}]} for r in runs])
     got = [(rows[r["k1"]][0], r["s"], r["e"]) for b in sub._word_strings(6, 15)([asked]) for r in b.to_pylist()]
     assert sorted(got, key=repr) == sorted(brute_words(rows, 6, 15, least=1), key=repr)
+
+
+def test_a_line_that_comes_again_in_a_text_is_one_row(spark):
+    rng = random.Random(4)
+    prose = lambda k: "".join(rng.choice("abcdé \n") for _ in range(k))
+    rows = [(k, prose(60) + "again and " * 100 + prose(60)) for k in range(30)] + [(30, "z" * 700), (31, "z" * 50)]
+    data = [t.encode() for _, t in rows]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array([0] * len(rows)), pa.array(data, pa.binary())], names=["k1", "k2", "text"])
+    got = [r for b in sub._anchored(40)([batch]) for r in b.to_pylist()]
+    # every place of every context is there once, and a text has one row for each context
+    assert len(got) == len({(r["k1"], r["anchor"], r["c1"], r["c2"]) for r in got})
+    places = [(r["k1"], r["anchor"], r["c1"], r["c2"], at, r["count"]) for r in got for at in [r["first"], *(r["more"] or [])]]
+    want = [(int(t), int(a), int(c1), int(c2), int(at), int(n)) for found in sub.anchors(data, 40) for t, a, c1, c2, at, n in zip(*found)]
+    assert sorted(places) == sorted(want) and len(places) > 5 * len(got)
+    assert run(spark, rows, 40) == brute(rows, 40)
