@@ -136,3 +136,65 @@ def test_a_line_that_comes_again_in_a_text_is_one_row(spark):
     want = [(int(t), int(a), int(c1), int(c2), int(at), int(n)) for found in sub.anchors(data, 40) for t, a, c1, c2, at, n in zip(*found)]
     assert sorted(places) == sorted(want) and len(places) > 5 * len(got)
     assert run(spark, rows, 40) == brute(rows, 40)
+
+
+def covered(rows, length, words):
+    """Bytes of each row that repeated strings of `length` bytes, or repeated passages of `words` words, cover."""
+    texts = [(t or "").encode() for _, t in rows]
+    counts = Counter(t[i:i + length] for t in texts for i in range(len(t) - length + 1))
+    gone = [np.zeros(len(t), bool) for t in texts]
+    for t, g in zip(texts, gone):
+        for p in range(len(t) - length + 1):
+            if counts[t[p:p + length]] > 1:
+                g[p:p + length] = True
+    for k, s, e in brute_words([(k, t) for k, (_, t) in enumerate(rows)], words, length):
+        gone[k][s:e] = True
+    return [int(g.sum()) for g in gone]
+
+
+@pytest.mark.parametrize("hot, shard, chunk", [(4096, 1 << 19, 1 << 18), (4096, 300, 120), (3, 300, 1 << 18), (1, 300, 500)])
+def test_passages_of_words_are_told_and_stay(spark, monkeypatch, hot, shard, chunk):
+    monkeypatch.setattr(sub, "SHARD", shard)
+    monkeypatch.setattr(sub, "CHUNK", chunk)
+    monkeypatch.setattr(sub.repeats, "__defaults__", (sub.LENGTH, hot))
+    rng = random.Random(hot + shard)
+    prose = lambda n: "".join(rng.choice(["a", "bé", "cde", "fg"]) + rng.choice([" ", " ", "\n", "  "]) for _ in range(n))
+    passages = [prose(n) for n in (5, 6, 7, 9, 20)]
+    rows = [(k, prose(rng.randint(0, 40)) + rng.choice(passages) + prose(rng.randint(0, 40))) for k in range(80)]
+    near = prose(60).split(" ")
+    for k in range(25):
+        own = near[:]
+        own[rng.randrange(len(own))] = f"own{k}"
+        rows.append((100 + k, " ".join(own)))
+    rows += [(200, None), (201, ""), (202, "a " * 60), (203, prose(200) + passages[3]), (None, prose(50)), (204, "x" * 90), (205, "again and " * 90),
+             (206, rows[3][1]), (3, rows[3][1]), (3, rows[3][1]), (207, passages[1].strip()), (208, "\n" + passages[1]), (209, " ".join(map(str, range(90))))]
+    df = spark.createDataFrame([(i, t, 1, "x", "y") for i, t in rows], SCHEMA).repartition(3)
+    for words, length in ((6, 25), (12, 60)):
+        got = sorted((tuple(r) for r in sub.deduplicated(df, length, words).collect()), key=repr)
+        assert [r[:5] for r in got] == brute(rows, length)
+        want = [(i, len((t or "").encode()), n) for (i, t), n in zip(rows, covered(rows, length, words))]
+        assert sorted(((r[0], r[1], r[5]) for r in got), key=repr) == sorted(want, key=repr)
+        assert any(r[5] > r[2] for r in got) and any(r[5] == 0 < r[1] for r in got)
+
+
+def test_passages_of_over_50_words_across_documents(spark, tmp_path):
+    from skycal.llm.queries import op1_substrings
+
+    rng = random.Random(12)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7))) for _ in range(n))
+    passages = [prose(51) for _ in range(10)]
+    rows = [(k, prose(rng.randint(0, 60)) + " " + passages[k % 10] + " " + prose(rng.randint(0, 60))) for k in range(30)] + [(100 + k, prose(120)) for k in range(30)]
+    assert max(map(len, passages)) < 400
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in op1_substrings(spark, str(tmp_path)).collect()}
+    assert [got[k].n_repeated for k in range(30)] == [len(passages[k % 10]) for k in range(30)]
+    assert all(got[100 + k].n_repeated == 0 for k in range(30))
+    assert all(r.n_removed == 0 for r in got.values())
+    assert got[0].asDict().keys() >= {"doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"}
+    assert [c for c in got[0].__fields__][:5] == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+
+
+def test_no_passages(spark):
+    df = lambda rows: spark.createDataFrame([(i, t, 1, "x", "y") for i, t in rows], SCHEMA)
+    assert sub.deduplicated(df([]), 400, 51).collect() == []
+    assert [r.n_repeated for r in sub.deduplicated(df([(1, "short"), (2, None), (3, "a b " * 20)]), 400, 51).collect()] == [0, 0, 0]
