@@ -72,7 +72,8 @@ def links(prints: DataFrame, store: Store) -> DataFrame:
     two such prints one half is equal or differs in one bit, so it shares the half itself or one of its 32
     one-wildcard variants. A variant is indexed on one side where the bit is 0 and on the other where it
     is 1, so a pair meets once per half. The join verifies the distance and passes over pairs that have
-    the same leader, which the edges to leaders connect already."""
+    the same leader, which the edges to leaders connect already. Both sides hold some 34 rows for each print,
+    which Spark sizes as one, so neither is left to be sent to the driver."""
     one = lambda k: F.call_function("shiftleft", F.lit(1).cast("bigint"), k)
     flips = prints.select("fp", F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(63)), lambda k: F.col("fp").bitwiseXOR(one(k)))).alias("other"))
@@ -96,7 +97,7 @@ def links(prints: DataFrame, store: Store) -> DataFrame:
     left = variants(0)
     right = variants(1).select("key", F.col("fp").alias("other"), F.col("leader").alias("led"))
     is_whole = F.shiftright("key", 32).isin(32, 65)
-    pairs = left.join(right, "key").where(
+    pairs = left.join(right.hint("merge"), "key").where(
         (F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= DISTANCE)
         & (F.col("leader") != F.col("led")) & (~is_whole | (F.col("fp") < F.col("other"))))
     return pairs.select(F.col("fp").alias("a"), F.col("other").alias("b")).union(

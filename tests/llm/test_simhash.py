@@ -74,6 +74,19 @@ def test_links_between_every_pattern_of_three_bits(spark):
     assert {p: got.get(p, p) for p in signed} == group
 
 
+def test_variants_are_never_sent_to_the_driver(spark):
+    """Spark sizes some 34 variants of a print as one row, so a table of prints below its limit is no sign that they are few."""
+    from helpers import plan_of
+    from skycal.llm.shared import Store
+    from skycal.llm.simhash import links
+    df = spark.createDataFrame([(k * 7_919_000_017,) for k in range(300)], "fp bigint")
+    found = links(df, Store(spark, "test"))
+    plan = plan_of(found, "simple")
+    assert plan.count("SortMergeJoin") == 1 and "Broadcast" not in plan
+    found.collect()
+    assert "Broadcast" not in plan_of(found, "simple")
+
+
 def test_empty_table_and_long_text(spark):
     assert run(spark, []) == []
     text = "long words here " * 200_000
