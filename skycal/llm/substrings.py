@@ -304,8 +304,9 @@ def repeats(docs: DataFrame, store: Store, length: int = LENGTH, shard_hot: int
         sorted_ = sorted_.union(in_shards(few.where(worded), _word_shards(words, length)))
         strings = strings.union(many.where(worded).mapInArrow(
             _word_windows(words, length), "anchor bigint, c1 bigint, c2 bigint, times bigint, n bigint, low bigint, high bigint, h1 bigint, h2 bigint"))
+    # A context makes hundreds of strings, which Spark sizes as one row: their counts are not left to be sent to the driver.
     often = strings.groupBy("h1", "h2").agg(F.sum("times").alias("sum")).where("sum > 1").drop("sum")
-    hits = strings.join(often, ["h1", "h2"]).groupBy("anchor", "c1", "c2").agg(
+    hits = strings.join(often.hint("merge"), ["h1", "h2"]).groupBy("anchor", "c1", "c2").agg(
         F.sort_array(F.collect_set(F.struct("n", "low", "high"))).alias("hits"), F.collect_set("n").alias("ns"))
     edge = lambda step: F.filter("hits", lambda k: ~F.array_contains("ns", k["n"] + step))
     single = hits.select("anchor", "c1", "c2", F.zip_with(
