@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import nullcontext
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -12,7 +13,7 @@ from skycal.operators.catalog import attach_to_matches, flatten_catalog, missing
 from skycal.operators.counts import StepCounts, watched
 from skycal.operators.crossmatch import crossmatch
 from skycal.operators.matchid import match_ids
-from skycal.operators.materialize import materialize
+from skycal.operators.materialize import dropped_afterwards, materialize
 from skycal.operators.refcat import missing_pixels, object_pixels, prune_reference
 from skycal.operators.selection import select_survey_images
 from skycal.operators.zeropoints import zero_points
@@ -73,10 +74,12 @@ def calibrate(exposure: DataFrame, archive: DataFrame, image: DataFrame, objects
     own = matched is None
     if own:
         matched = attach_to_matches(crossmatch(stars, observed, tol_arcsec, pick, tie_break=STAR_ORDER), images)
-        # The running number goes by star and then observation, as a sorted match file has it.
-        matched = match_ids(matched, ["RA_WRAP_1", "DEC_1"], ["RA_WRAP_2", "DEC_2", "NUMBER_2", "FILENAME_2"], number_per)
-        matched = watched(counts, matched, "matched")
-        matched = keep_matched(matched) if keep_matched else _keep(matched, store, "matched", ["BAND_2", "TILE_2"])
+        # Once the matches are kept, the ordered rows that their numbers were told by are a second copy of them.
+        with dropped_afterwards(refcat.sparkSession) if keep_matched or store is not None else nullcontext():
+            # The running number goes by star and then observation, as a sorted match file has it.
+            matched = match_ids(matched, ["RA_WRAP_1", "DEC_1"], ["RA_WRAP_2", "DEC_2", "NUMBER_2", "FILENAME_2"], number_per)
+            matched = watched(counts, matched, "matched")
+            matched = keep_matched(matched) if keep_matched else _keep(matched, store, "matched", ["BAND_2", "TILE_2"])
     solved = zero_points(matched, F.col("BAND_2"), flux, fluxerr, median_per=["TILE_2", "BAND_2"],
                          all_medians=all_medians, counts=counts, stored=own, **clip)
     return Calibration(images, stars, matched, _keep(solved, store, "zero_points"),

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from skycal.functions.names import base_name
 from skycal.operators.catalog import flatten_catalog
-from skycal.operators.materialize import compiled_methods, materialize
+from skycal.operators.materialize import CODEC, compiled_methods, materialize, shuffles_dropped
 from skycal.operators.refcat import PIXEL, object_pixels, with_pixel
 from skycal.operators.selection import select_survey_images
 from skycal.plans.calibrate import calibrate
@@ -86,8 +86,8 @@ def _write_units(df: DataFrame, path: str) -> None:
     """Only the folders of the units in df are replaced. The rows of a unit should lie together, which makes about one file in
     each, more where it is large. The schema is kept beside them, as there may be none left to infer it from."""
     df.sparkSession.createDataFrame([(df.schema.json(),)], "json string").coalesce(1).write.mode("overwrite").parquet(f"{path}_schema")
-    with compiled_methods(df.sparkSession):
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*STORED).parquet(path)
+    with compiled_methods(df.sparkSession), shuffles_dropped(df.sparkSession):
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC).partitionBy(*STORED).parquet(path)
 
 
 def _read(manifest: _Manifest, path: str) -> DataFrame:

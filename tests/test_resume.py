@@ -2,10 +2,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_DIR
+from helpers import left_after, shuffle_blocks
 from skycal.operators.materialize import materialize
 from skycal.operators.matchid import match_ids
 from skycal.operators.tiles import survey_tiles
 from skycal.plans import resume
+from skycal.plans.calibrate import calibrate
 from skycal.plans.proxy import object_catalog, star_catalog, table
 from skycal.plans.resume import calibrate_changed
 
@@ -103,6 +105,26 @@ def test_an_empty_store_of_nothing(spark, survey, tmp_path):
     assert run.zero_points.collect() == [] and run.units.collect() == []
 
 
+def test_no_second_copy_of_the_matches_stays(spark, survey, tmp_path, monkeypatch):
+    """The rows ordered to be numbered are gone when their matches are stored."""
+    monkeypatch.setattr("skycal.operators.materialize.shared_folder", lambda spark: str(tmp_path / "shared"))
+    run = calibrate_changed(*survey, str(tmp_path / "s"), **OPTIONS)
+    labels = {p.name.rsplit("-", 5)[0] for p in tmp_path.glob("shared/skycal-*/*")}
+    assert {"images", "units", "quality"} <= labels and not {"ordered", "offsets"} & labels
+    assert run.matched.count() > 100 and run.zero_points.count() > 5
+    # Without a folder the matches are still made of those rows.
+    free = calibrate(*survey, **OPTIONS)
+    assert free.matched.count() > 100
+    assert "ordered" in {p.name.rsplit("-", 5)[0] for p in tmp_path.glob("shared/skycal-*/*")}
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    before = shuffle_blocks(spark)
+    kept = materialize(spark.range(5000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count(), "grouped")
+    assert left_after(spark, before) == set() and kept.count() == 7
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_numbers_per_group(spark):
     df = spark.createDataFrame([(u, s, o) for u in ("b", None, "a") for s in (2.0, 1.0) for o in (5.0, 3.0)], "u string, s double, o double").repartition(4)
     got = sorted(map(tuple, match_ids(df, ["s"], ["o"], ["u"]).select("u", "MATCHID", "s", "o").collect()), key=repr)
