@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from skycal.functions.names import base_name
 from skycal.functions.numeric import nan_to_null
 from skycal.operators.catalog import attach_metadata
-from skycal.operators.materialize import compiled_methods
+from skycal.operators.materialize import CODEC, compiled_methods, delete, shuffles_dropped
 
 UNIT = ["BAND", "TILE"]
 BUCKET_CELLS = 8_000_000    # rows times columns of a bucket: about 64 MB of numbers
 MAX_BUCKETS = 100_000   # of a table, by Spark's own default
+ROUND_BUCKETS, MAX_ROUNDS = 16, 8    # buckets that are dealt at once, at least; each round reads the rows once more
 MAX_UNITS = 20_000      # folders of a store: five bands of the survey's tiles are about a thousand
 
 
@@ -92,10 +93,25 @@ def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, keys: tup
                    order: tuple[str, ...] = ("FILENAME", "RA"), mode: str = "error") -> None:
     """A table in buckets of its keys, each sorted, one file per bucket: joins and groups by the keys then move no row of it
     again. buckets_for tells a number that suits the size; it is part of the table, and both sides of a join should
-    have the same, or one a multiple of the other."""
-    dealt = df.repartition(buckets, *keys)
-    with compiled_methods(df.sparkSession):
-        dealt.write.mode(mode).option("path", path).bucketBy(buckets, *keys).sortBy(*order).format("parquet").saveAsTable(table)
+    have the same, or one a multiple of the other.
+
+    A new table of many buckets is dealt in rounds, some of its buckets in each, and the shuffle files of a round go when it ends: beside
+    the table there is never more than a part of its rows on the disks. It is whole when the call returns; if a round fails, what the others
+    wrote is taken back. The rows must be the same each time they are read."""
+    spark = df.sparkSession
+    rounds = min(MAX_ROUNDS, max(1, buckets // ROUND_BUCKETS)) if mode in ("error", "errorifexists", "overwrite") else 1
+    bucket = F.pmod(F.hash(*keys), F.lit(buckets))
+    for k in range(rounds):
+        some = df.where(bucket % rounds == k) if rounds > 1 else df
+        writer = some.repartition(buckets, *keys).write.mode("append" if k else mode).option("path", path).option("compression", CODEC)
+        try:
+            with compiled_methods(spark), shuffles_dropped(spark):
+                writer.bucketBy(buckets, *keys).sortBy(*order).format("parquet").saveAsTable(table)
+        except BaseException:
+            if k:
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
+                delete(spark, path)
+            raise
 
 
 def attach_bucketed(spark: SparkSession, objects_table: str, images: DataFrame, band: str | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import plan_of, rows
+from helpers import left_after, plan_of, rows, shuffle_blocks
 from skycal.operators import catalog, refcat
 from skycal.schemas import OBJECT_CATALOG
 from skycal.sources import catalog_store as cs
@@ -101,6 +101,37 @@ def test_joins_of_buckets_move_no_object(spark, sky, tmp_path):
         spark.sql("DROP TABLE test_bucketed_objects")
 
 
+def test_a_table_of_many_buckets_is_dealt_in_rounds(spark, tmp_path):
+    """All rows, those without a key and copies too, in one file for each bucket; each round is a write of its own, whose shuffle files go."""
+    data = [(f"f{k % 50}.fits" if k % 11 else None, k // 2 % 97, float(k)) for k in range(3000)] + [("f1.fits", 1, 1.0)] * 40
+    df = spark.createDataFrame(data, "FILENAME string, RA int, X double").repartition(3)
+    before = shuffle_blocks(spark)
+    try:
+        cs.write_bucketed(df, "test_rounds", f"{tmp_path}/rounds", 48)
+        assert left_after(spark, before) == set()
+        assert sorted(map(tuple, spark.table("test_rounds").collect()), key=repr) == sorted(data, key=repr)
+        files = [p.name for p in (tmp_path / "rounds").glob("*.parquet")]
+        write, bucket = ({n[11:47] for n in files}, [n[48:53] for n in files])
+        assert len(write) == 3 and len(set(bucket)) == len(bucket) > 16
+        grouped = spark.table("test_rounds").groupBy("FILENAME").count()
+        assert "Exchange" not in plan_of(grouped, "simple") and grouped.count() == 51
+    finally:
+        spark.sql("DROP TABLE IF EXISTS test_rounds")
+
+
+def test_a_round_that_fails_takes_the_others_back(spark, tmp_path):
+    df = spark.range(2000).select(F.col("id").cast("string").alias("FILENAME"), F.col("id").alias("RA"))
+    last = F.pmod(F.hash("FILENAME"), F.lit(32)) % 2 == 1
+    broken = df.withColumn("RA", F.when(last, F.raise_error(F.lit("lost")).cast("bigint")).otherwise(F.col("RA")))
+    with pytest.raises(Exception, match="lost"):
+        cs.write_bucketed(broken, "test_broken", f"{tmp_path}/broken", 32)
+    assert not spark.catalog.tableExists("test_broken")
+    cs.write_bucketed(df, "test_broken", f"{tmp_path}/broken", 32)
+    cs.write_bucketed(df.limit(5), "test_broken", f"{tmp_path}/broken", 32, mode="append")
+    assert spark.table("test_broken").count() == 2005
+    spark.sql("DROP TABLE test_broken")
+
+
 def test_pruning_by_objects_loses_no_match(spark):
     """Objects at the poles, over RA 0 and at borders and corners of pixels, each with a star within the tolerance."""
     rng = random.Random(3)
